@@ -1 +1,540 @@
+"""Training, scoring, evaluation and tuning queries.
 
+Labels of the given tables are mostly random, so fits learn labels computed from
+the columns, or from few features, in a way SQL can follow step by step. Where a
+fit draws random numbers, the SQL covers keys and shape only.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from larkspur.functions import PAGE_KIND
+from larkspur.operators import evaluate, features, gradient, splits, train, tune
+from larkspur.plans import sqltext
+from larkspur.plans.registry import query
+from larkspur.sources import table
+
+# -- inputs -------------------------------------------------------------------
+
+# Line items: features with few distinct values, and labels computed from them.
+LINE_FEATURES = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
+_YIELD = "l_quantity * (1 - l_discount) - 2 * l_linenumber"
+LINE_LABELS = {
+    "binary": f"CASE WHEN {_YIELD} > 12 THEN 1 ELSE 0 END",
+    "multi": f"CASE WHEN {_YIELD} < 8 THEN 0 WHEN {_YIELD} < 24 THEN 1 ELSE 2 END",
+    "regression": f"{_YIELD} + 100 * l_tax",
+    "flag": "CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END",
+}
+_LINE_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
+
+
+def lines(spark: SparkSession, sf: str, label: str) -> DataFrame:
+    """(id, features, label) of every line item."""
+    raw = table(spark, sf, "lineitem").withColumns(
+        {"label": F.expr(f"double({LINE_LABELS[label]})"), "id": F.expr(_LINE_ID)}
+    )
+    return features.assemble(raw, LINE_FEATURES).select("id", "features", "label")
+
+
+def lines_sql(label: str) -> str:
+    names = ", ".join(LINE_FEATURES)
+    return (
+        f"line AS (SELECT {_LINE_ID} AS id, {names}, ({LINE_LABELS[label]}) AS y FROM lineitem)"
+    )
+
+
+# Line items scaled to comparable ranges, for the linear models.
+_SCALED = {
+    "x0": "l_quantity / 50",
+    "x1": "l_discount * 10",
+    "x2": "l_tax * 10",
+    "x3": "l_extendedprice / 100000",
+}
+_SCALED_SQL = (
+    "line AS (SELECT l_orderkey AS k, "
+    + ", ".join(f"{e} AS {n}" for n, e in _SCALED.items())
+    + f", {LINE_LABELS['binary']} AS y FROM lineitem)"
+)
+
+
+def scaled_lines(spark: SparkSession, sf: str) -> DataFrame:
+    columns = {**_SCALED, "label": f"double({LINE_LABELS['binary']})"}
+    raw = table(spark, sf, "lineitem").selectExpr(
+        "l_orderkey AS k", *[f"{e} AS {n}" for n, e in columns.items()]
+    )
+    return features.assemble(raw, list(_SCALED)).select("k", "features", "label")
+
+
+# Documents: text measures and language; a part of them carries a quality label.
+_COUNTS = ["n_chars", "n_words", "n_lines"]
+_DOCUMENT_SQL = """
+    document AS (
+        SELECT doc_id, lang, n_chars::DOUBLE / 100 AS n_chars,
+               length(text) - length(replace(text, ' ', '')) AS n_words,
+               length(text) - length(replace(text, chr(10), '')) AS n_lines
+        FROM documents)
+"""
+
+
+def documents(spark: SparkSession, sf: str) -> DataFrame:
+    def occurrences(character: str):
+        without = F.replace(F.col("text"), F.lit(character), F.lit(""))
+        return (F.length("text") - F.length(without)).cast("double")
+
+    return table(spark, sf, "documents").select(
+        "doc_id",
+        "lang",
+        (F.col("n_chars") / 100).alias("n_chars"),
+        occurrences(" ").alias("n_words"),
+        occurrences("\n").alias("n_lines"),
+    )
+
+
+def labelled(spark: SparkSession, sf: str) -> DataFrame:
+    quality = table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+    return documents(spark, sf).join(quality, "doc_id")
+
+
+def _constant(spark: SparkSession, **values: float) -> DataFrame:
+    """A driver-side result as a one-row frame."""
+    schema = ", ".join(f"{name} double" for name in values)
+    return spark.createDataFrame([tuple(float(v) for v in values.values())], schema)
+
+
+# -- trees --------------------------------------------------------------------
+
+
+def _tree_sql(label: str, impurity: str, classes: int = 0) -> str:
+    return (
+        f"WITH {lines_sql(label)}, "
+        + sqltext.tree("line", LINE_FEATURES, 2, impurity, classes)
+        + " SELECT id, round(prediction, 6) AS prediction FROM t_pred"
+    )
+
+
+def _predictions(model, rows: DataFrame) -> DataFrame:
+    scored = evaluate.score(model, rows)
+    return scored.select("id", F.round("prediction", 6).alias("prediction"))
+
+
+@query("fit_tree_binary", _tree_sql("binary", "gini", 2))
+def fit_tree_binary(spark: SparkSession, sf: str) -> DataFrame:
+    rows = lines(spark, sf, "binary")
+    return _predictions(train.fit_tree(rows, impurity="gini", depth=2, bins=64), rows)
+
+
+@query("fit_tree_multi", _tree_sql("multi", "entropy", 3))
+def fit_tree_multi(spark: SparkSession, sf: str) -> DataFrame:
+    rows = lines(spark, sf, "multi")
+    return _predictions(train.fit_tree(rows, impurity="entropy", depth=2, bins=64), rows)
+
+
+@query("fit_tree_regressor", _tree_sql("regression", "variance"))
+def fit_tree_regressor(spark: SparkSession, sf: str) -> DataFrame:
+    rows = lines(spark, sf, "regression")
+    return _predictions(train.fit_tree_regressor(rows, depth=2, bins=64), rows)
+
+
+@query(
+    "fit_random_forest",
+    f"SELECT {_LINE_ID} AS id, 3 AS n_probabilities, true AS is_class FROM lineitem",
+)
+def fit_random_forest(spark: SparkSession, sf: str) -> DataFrame:
+    """Trees see random row samples, so the check covers shape only."""
+    rows = lines(spark, sf, "multi")
+    scored = evaluate.score(train.fit_forest(rows, trees=10, depth=3, bins=64), rows)
+    return scored.select(
+        "id",
+        F.size(vector_to_array("probability")).alias("n_probabilities"),
+        F.col("prediction").isin(0.0, 1.0, 2.0).alias("is_class"),
+    )
+
+
+@query(
+    "fit_gbt",
+    f"WITH {lines_sql('regression')}, "
+    + sqltext.tree("line", LINE_FEATURES, 1, "variance", prefix="a")
+    + ", residual AS (SELECT line.* REPLACE (2 * (y - prediction) AS y) FROM line JOIN a_pred USING (id)), "
+    + sqltext.tree("residual", LINE_FEATURES, 1, "variance", prefix="b")
+    + " SELECT id, round(a.prediction + 0.1::DOUBLE * b.prediction, 6) AS prediction"
+    " FROM (SELECT DISTINCT * FROM a_pred) a JOIN b_pred b USING (id)",
+)
+def fit_gbt(spark: SparkSession, sf: str) -> DataFrame:
+    """Two rounds of stumps: the second one fits the scaled residual of the first."""
+    rows = lines(spark, sf, "regression")
+    return _predictions(train.fit_gbt(rows, depth=1, bins=64, iterations=2), rows)
+
+
+# -- linear models and naive Bayes --------------------------------------------
+
+
+def _weights_sql(loss: str) -> str:
+    fit = sqltext.gradient_descent("line", list(_SCALED), loss, 3, 1.0, 0.01)
+    rows = " UNION ALL ".join(
+        f"SELECT {j} AS feature, round(w{j}, 6) AS weight FROM w3" for j in range(len(_SCALED))
+    )
+    return f"WITH {_SCALED_SQL}, {fit} {rows}"
+
+
+def _weights(spark: SparkSession, sf: str, loss: str) -> DataFrame:
+    model = gradient.fit_gd(scaled_lines(spark, sf), loss, iterations=3, step=1.0, reg=0.01, tol=0.0)
+    return model.weight_table(spark).withColumn("weight", F.round("weight", 6))
+
+
+@query("fit_logistic_sgd", _weights_sql("logistic"))
+def fit_logistic_sgd(spark: SparkSession, sf: str) -> DataFrame:
+    return _weights(spark, sf, "logistic")
+
+
+@query("fit_svm_sgd", _weights_sql("hinge"))
+def fit_svm_sgd(spark: SparkSession, sf: str) -> DataFrame:
+    return _weights(spark, sf, "hinge")
+
+
+@query(
+    "fit_naive_bayes",
+    f"WITH {lines_sql('flag')}, {sqltext.naive_bayes('line', LINE_FEATURES, 1.0)} "
+    "SELECT y AS class, f AS feature, round(pi, 6) AS pi, round(theta, 6) AS theta "
+    "FROM nb_theta JOIN nb_pi USING (y)",
+)
+def fit_naive_bayes(spark: SparkSession, sf: str) -> DataFrame:
+    model = train.fit_naive_bayes(lines(spark, sf, "flag"), smoothing=1.0)
+    pi, theta = model.pi.toArray(), model.theta.toArray()
+    cells = [
+        (c, j, float(pi[c]), float(theta[c, j]))
+        for c in range(theta.shape[0])
+        for j in range(theta.shape[1])
+    ]
+    fitted = spark.createDataFrame(cells, "class int, feature int, pi double, theta double")
+    return fitted.withColumns({n: F.round(n, 6) for n in ("pi", "theta")})
+
+
+_PIPELINE_FEATURES = [f"is{j}" for j in range(5)] + _COUNTS
+
+
+def _pipeline_sql(smoothing: float = 1.0) -> str:
+    """Encoded documents, and naive Bayes fitted on the training part of the labels."""
+    slots = ", ".join(f"coalesce(i = {j}, {j} = 4)::INTEGER AS is{j}" for j in range(5))
+    return f"""
+    {_DOCUMENT_SQL},
+    trained AS (SELECT d.*, quality AS y FROM document d JOIN labels USING (doc_id)
+                WHERE {sqltext.below('doc_id', 7, 10)}),
+    codes AS (SELECT lang, row_number() OVER (ORDER BY count(*) DESC, lang) - 1 AS i
+              FROM trained GROUP BY lang),
+    encoded AS (SELECT d.*, {slots} FROM document d LEFT JOIN codes USING (lang)),
+    sample AS (SELECT e.*, y FROM encoded e JOIN trained USING (doc_id)),
+    {sqltext.naive_bayes('sample', _PIPELINE_FEATURES, smoothing)}
+    """
+
+
+def _pipeline_model(spark: SparkSession, sf: str, smoothing: float = 1.0) -> PipelineModel:
+    sample = splits.split_random(labelled(spark, sf), "doc_id", {"train": 7, "test": 3})
+    pipeline = features.build_pipeline(
+        [
+            features.string_indexer("lang"),
+            features.one_hot_encoder("lang_index"),
+            features.assembler(["lang_index_vec", *_COUNTS]),
+            train.naive_bayes(smoothing),
+        ]
+    )
+    return pipeline.fit(sample.filter("split = 'train'"))
+
+
+@query(
+    "pipeline_fit_transform",
+    f"WITH {_pipeline_sql()}, {sqltext.naive_bayes_scores('encoded', 'doc_id', _PIPELINE_FEATURES)} "
+    "SELECT doc_id, quality::DOUBLE AS label, prediction FROM nb_pred JOIN labels USING (doc_id) "
+    f"WHERE NOT {sqltext.below('doc_id', 7, 10)}",
+)
+def pipeline_fit_transform(spark: SparkSession, sf: str) -> DataFrame:
+    """Index, encode, assemble and model learnt on one part, applied to the other."""
+    rest = splits.split_random(labelled(spark, sf), "doc_id", {"train": 7, "test": 3})
+    scored = evaluate.score(_pipeline_model(spark, sf), rest.filter("split = 'test'"))
+    return scored.select("doc_id", "label", "prediction")
+
+
+# -- scoring ------------------------------------------------------------------
+
+_FLAG_SCORES = (
+    f"WITH {lines_sql('flag')}, {sqltext.naive_bayes('line', LINE_FEATURES, 1.0)}, "
+    f"numbered AS (SELECT *, row_number() OVER () AS n FROM line), "
+    f"{sqltext.naive_bayes_scores('numbered', 'n', LINE_FEATURES)} "
+)
+
+
+@query(
+    "score_batch",
+    _FLAG_SCORES
+    + "SELECT id, prediction, round(1 / total, 6) AS probability FROM numbered JOIN nb_pred USING (n) "
+    "JOIN (SELECT n, sum(exp(joint - best)) AS total FROM nb_joint JOIN "
+    "(SELECT n, max(joint) AS best FROM nb_joint GROUP BY n) USING (n) GROUP BY n) USING (n)",
+)
+def score_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """Class and its probability for every row."""
+    rows = lines(spark, sf, "flag")
+    scored = evaluate.score(train.fit_naive_bayes(rows), rows)
+    top = F.array_max(vector_to_array("probability"))
+    return scored.select("id", "prediction", F.round(top, 6).alias("probability"))
+
+
+@query(
+    "join_score_label",
+    _FLAG_SCORES
+    + 'SELECT y::DOUBLE AS label, prediction, count(*) AS "count" '
+    "FROM numbered JOIN nb_pred USING (n) GROUP BY ALL",
+)
+def join_score_label(spark: SparkSession, sf: str) -> DataFrame:
+    """Predictions stay beside their labels; here counted as a confusion table."""
+    rows = lines(spark, sf, "flag")
+    scored = evaluate.score(train.fit_naive_bayes(rows), rows)
+    return scored.groupBy("label", "prediction").count()
+
+
+@query(
+    "score_unlabelled_decoded",
+    f"WITH {_pipeline_sql()}, {sqltext.naive_bayes_scores('encoded', 'doc_id', _PIPELINE_FEATURES)} "
+    "SELECT doc_id, prediction::INTEGER AS prediction, "
+    f"CASE prediction WHEN 0 THEN '{PAGE_KIND[0]}' WHEN 1 THEN '{PAGE_KIND[1]}' END AS description "
+    "FROM nb_pred ANTI JOIN labels USING (doc_id)",
+)
+def score_unlabelled_decoded(spark: SparkSession, sf: str) -> DataFrame:
+    known = table(spark, sf, "labels").select("doc_id")
+    rest = documents(spark, sf).join(known, "doc_id", "left_anti")
+    return evaluate.score_decoded(_pipeline_model(spark, sf), rest, PAGE_KIND, ["doc_id"])
+
+
+@query(
+    "score_with_error",
+    f"WITH {lines_sql('regression')}, "
+    + sqltext.tree("line", LINE_FEATURES, 1, "variance")
+    + " SELECT id, round(y, 6) AS label, trunc(prediction)::BIGINT AS prediction, "
+    "CASE WHEN y = trunc(prediction) THEN '正确' ELSE '错误' END AS result, "
+    "round(abs(y - trunc(prediction)), 6) AS error "
+    "FROM (SELECT DISTINCT id, y FROM line) JOIN t_pred USING (id)",
+)
+def score_with_error(spark: SparkSession, sf: str) -> DataFrame:
+    rows = lines(spark, sf, "regression")
+    model = train.fit_tree_regressor(rows, depth=1, bins=64)
+    compared = evaluate.score_with_error(model, rows, keep=["id"])
+    return compared.withColumns({n: F.round(n, 6) for n in ("label", "error")})
+
+
+# -- evaluation ---------------------------------------------------------------
+
+_GUESS_SQL = """
+    guess AS (
+        SELECT CASE l_returnflag WHEN 'R' THEN 1 ELSE 0 END AS y,
+               l_extendedprice * (1 - l_discount) AS score,
+               CASE WHEN l_extendedprice > 40000 THEN 1 ELSE 0 END AS prediction
+        FROM lineitem)
+"""
+
+
+def _guesses(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "lineitem").select(
+        F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.0).alias("label"),
+        (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("score"),
+        F.when(F.col("l_extendedprice") > 40000, 1.0).otherwise(0.0).alias("prediction"),
+    )
+
+
+@query(
+    "eval_auc_hard",
+    f"WITH {_GUESS_SQL} SELECT round((avg(prediction) FILTER (y = 1) "
+    "+ avg(1 - prediction) FILTER (y = 0)) / 2, 6) AS auc FROM guess",
+)
+def eval_auc_hard(spark: SparkSession, sf: str) -> DataFrame:
+    return evaluate.auc_hard(_guesses(spark, sf)).select(F.round("auc", 6).alias("auc"))
+
+
+@query(
+    "eval_auc_score",
+    f"""
+    WITH {_GUESS_SQL},
+    grouped AS (SELECT score, sum(y)::DOUBLE AS p, sum(1 - y)::DOUBLE AS n FROM guess GROUP BY score),
+    ranked AS (SELECT *, coalesce(sum(n) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING
+                                               AND 1 PRECEDING), 0) AS below FROM grouped)
+    SELECT round(sum(p * (below + n / 2)) / (sum(p) * sum(n)), 6) AS auc FROM ranked
+    """,
+)
+def eval_auc_score(spark: SparkSession, sf: str) -> DataFrame:
+    auc = evaluate.auc(_guesses(spark, sf), score="score")
+    return _constant(spark, auc=auc).select(F.round("auc", 6).alias("auc"))
+
+
+@query(
+    "eval_accuracy",
+    f"WITH {_GUESS_SQL} SELECT round(avg((prediction = y)::INTEGER), 6) AS accuracy FROM guess",
+)
+def eval_accuracy(spark: SparkSession, sf: str) -> DataFrame:
+    return evaluate.accuracy(_guesses(spark, sf)).select(F.round("accuracy", 6).alias("accuracy"))
+
+
+@query(
+    "eval_rmse",
+    "SELECT round(sqrt(avg(pow(l_quantity - l_extendedprice / 2000, 2))), 6) AS rmse FROM lineitem",
+)
+def eval_rmse(spark: SparkSession, sf: str) -> DataFrame:
+    guesses = table(spark, sf, "lineitem").select(
+        F.col("l_quantity").alias("label"), (F.col("l_extendedprice") / 2000).alias("prediction")
+    )
+    return evaluate.rmse(guesses).select(F.round("rmse", 6).alias("rmse"))
+
+
+# -- tuning -------------------------------------------------------------------
+
+
+def _gd_grid_sql() -> str:
+    """Two step sizes, two iteration counts, measured on the validation part."""
+    runs = {"p": 1.0, "q": 10.0}
+    ctes = [
+        _SCALED_SQL,
+        f"fit AS (SELECT * FROM line WHERE {sqltext.below('k', 8, 10)})",
+        f"held AS (SELECT * FROM line WHERE NOT {sqltext.below('k', 8, 10)})",
+    ]
+    ctes += [
+        sqltext.gradient_descent("fit", list(_SCALED), "logistic", 2, step, 0.01, prefix)
+        for prefix, step in runs.items()
+    ]
+    dot = " + ".join(f"{x} * w{j}" for j, x in enumerate(_SCALED))
+    trials = [
+        f"SELECT {trial} AS trial, {iterations} AS maxIter, {step}::DOUBLE AS stepSize, "
+        f"round((avg((m > 0)::INTEGER) FILTER (y = 1) + avg((m <= 0)::INTEGER) FILTER (y = 0)) / 2, 6)"
+        f" AS metric FROM (SELECT y, {dot} AS m FROM held, {prefix}{iterations})"
+        for trial, (iterations, (prefix, step)) in enumerate(
+            (i, run) for i in (1, 2) for run in runs.items()
+        )
+    ]
+    ctes.append("trials AS (" + " UNION ALL ".join(trials) + ")")
+    return (
+        "WITH " + ", ".join(ctes) + " SELECT trial::BIGINT AS trial, maxIter::BIGINT AS \"maxIter\","
+        " stepSize AS \"stepSize\", metric,"
+        " trial = (SELECT arg_min(trial, (-metric, trial)) FROM trials) AS chosen FROM trials"
+    )
+
+
+def _marked(tuned: tune.Tuned) -> DataFrame:
+    """The trial table with the winner marked."""
+    chosen = F.lit(True)
+    for name, value in tuned.params.items():
+        chosen = chosen & (F.col(name) == F.lit(value))
+    return tuned.table.withColumn("chosen", chosen).withColumn("metric", F.round("metric", 6))
+
+
+@query("tune_grid_holdout", _gd_grid_sql())
+def tune_grid_holdout(spark: SparkSession, sf: str) -> DataFrame:
+    rows = splits.split_random(scaled_lines(spark, sf), "k", {"train": 8, "validation": 2})
+    stage = gradient.GradientDescentClassifier(tol=0.0)
+    grid = tune.param_grid(stage, {"maxIter": [1, 2], "stepSize": [1.0, 10.0]})
+    tuned = tune.tune_grid(
+        stage,
+        grid,
+        rows.filter("split = 'train'"),
+        rows.filter("split = 'validation'"),
+        evaluate.hard_auc_evaluator(),
+    )
+    return _marked(tuned)
+
+
+def _smoothing_sweep_sql() -> str:
+    ctes = [
+        lines_sql("flag"),
+        "fit AS (SELECT * FROM line WHERE " + sqltext.below("id", 8, 10) + ")",
+        "held AS (SELECT *, row_number() OVER () AS n FROM line WHERE NOT "
+        + sqltext.below("id", 8, 10)
+        + ")",
+    ]
+    trials = []
+    for trial, smoothing in enumerate(tune.GRIDS["naive_bayes"]["smoothing"]):
+        prefix = f"nb{trial}"
+        ctes.append(sqltext.naive_bayes("fit", LINE_FEATURES, smoothing, prefix))
+        ctes.append(sqltext.naive_bayes_scores("held", "n", LINE_FEATURES, prefix))
+        trials.append(
+            f"SELECT {trial}::BIGINT AS trial, {smoothing}::DOUBLE AS smoothing,"
+            f" round(avg((prediction = y)::INTEGER), 6) AS metric"
+            f" FROM held JOIN {prefix}_pred USING (n)"
+        )
+    return (
+        "WITH " + ", ".join(ctes) + ", trials AS (" + " UNION ALL ".join(trials) + ") SELECT *,"
+        " trial = (SELECT arg_min(trial, (-metric, trial)) FROM trials) AS chosen FROM trials"
+    )
+
+
+@query("tune_sweep", _smoothing_sweep_sql())
+def tune_sweep(spark: SparkSession, sf: str) -> DataFrame:
+    rows = splits.split_random(lines(spark, sf, "flag"), "id", {"train": 8, "validation": 2})
+    stage = train.naive_bayes()
+    tuned = tune.tune_sweep(
+        stage,
+        stage,
+        "smoothing",
+        tune.GRIDS["naive_bayes"]["smoothing"],
+        rows.filter("split = 'train'"),
+        rows.filter("split = 'validation'"),
+        evaluate.accuracy_evaluator(),
+        parallelism=4,
+    )
+    return _marked(tuned)
+
+
+@query(
+    "tune_tvs",
+    """
+    SELECT trial, impurity, "maxDepth", true AS measured FROM (VALUES
+        (0::BIGINT, 'gini', 1::BIGINT), (1, 'gini', 2), (2, 'entropy', 1), (3, 'entropy', 2)
+    ) grid(trial, impurity, "maxDepth")
+    """,
+)
+def tune_tvs(spark: SparkSession, sf: str) -> DataFrame:
+    """The split is drawn at random, so the check covers the grid and the metric's range."""
+    rows = lines(spark, sf, "multi")
+    stage = train.tree_classifier(bins=64)
+    grid = tune.param_grid(stage, {"impurity": ["gini", "entropy"], "maxDepth": [1, 2]})
+    search = tune.tune_split(stage, grid, evaluate.accuracy_evaluator(), parallelism=2)
+    searched = search.fit(rows)
+    return tune.validation_table(spark, searched, grid).select(
+        "trial", "impurity", "maxDepth", F.col("metric").between(0.34, 1.0).alias("measured")
+    )
+
+
+def _folds_sql() -> str:
+    smoothings = (1.0, 15.0)
+    fold = sqltext.key_hash("id", "fold:") + " % 3"
+    ctes = [
+        lines_sql("flag"),
+        f"folded AS (SELECT *, {fold} AS fold, row_number() OVER () AS n FROM line)",
+    ]
+    measured = []
+    for k in range(3):
+        ctes.append(f"fit{k} AS (SELECT * FROM folded WHERE fold <> {k})")
+        ctes.append(f"held{k} AS (SELECT * FROM folded WHERE fold = {k})")
+        for trial, smoothing in enumerate(smoothings):
+            prefix = f"nb{k}{trial}"
+            ctes.append(sqltext.naive_bayes(f"fit{k}", LINE_FEATURES, smoothing, prefix))
+            ctes.append(sqltext.naive_bayes_scores(f"held{k}", "n", LINE_FEATURES, prefix))
+            measured.append(
+                f"SELECT {trial}::BIGINT AS trial, {smoothing}::DOUBLE AS smoothing,"
+                f" avg((prediction = y)::INTEGER) AS metric FROM held{k} JOIN {prefix}_pred USING (n)"
+            )
+    return (
+        "WITH " + ", ".join(ctes) + " SELECT trial, smoothing, round(avg(metric), 6) AS metric FROM ("
+        + " UNION ALL ".join(measured)
+        + ") GROUP BY trial, smoothing"
+    )
+
+
+@query("tune_cv", _folds_sql())
+def tune_cv(spark: SparkSession, sf: str) -> DataFrame:
+    fold = (splits.key_hash("id", "fold:") % 3).cast("int")
+    rows = lines(spark, sf, "flag").withColumn("fold", fold)
+    stage = train.naive_bayes()
+    grid = tune.param_grid(stage, {"smoothing": [1.0, 15.0]})
+    search = tune.tune_folds(
+        stage, grid, evaluate.accuracy_evaluator(), folds=3, fold_col="fold", parallelism=2
+    )
+    table_ = tune.validation_table(spark, search.fit(rows), grid)
+    return table_.withColumn("metric", F.round("metric", 6))
