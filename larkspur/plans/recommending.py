@@ -1 +1,148 @@
+"""Recommender queries.
 
+Ratings are average ordered quantities per (customer, part). Factors depend on the
+random start, so the checks cover who is scored, ranks and invariants."""
+
+from __future__ import annotations
+
+from pyspark.ml.recommendation import ALSModel
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from larkspur.operators import evaluate, recommend
+from larkspur.plans.registry import query
+from larkspur.session import scratch_path
+from larkspur.sources import load_or_fit, save_model, table
+
+_RATING_SQL = """
+    rating AS (
+        SELECT CAST(o_custkey AS INTEGER) AS "user", CAST(l_partkey AS INTEGER) AS item,
+               avg(l_quantity) / 10 AS rating
+        FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2)
+"""
+
+
+def ratings(spark: SparkSession, sf: str) -> DataFrame:
+    orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").cast("int").alias("user"))
+    lines = table(spark, sf, "lineitem").select(
+        "l_orderkey", F.col("l_partkey").cast("int").alias("item"), "l_quantity"
+    )
+    joined = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+    return joined.groupBy("user", "item").agg((F.avg("l_quantity") / 10).alias("rating"))
+
+
+def _asked_users(spark: SparkSession, sf: str) -> DataFrame:
+    customers = table(spark, sf, "customer").filter("c_mktsegment = 'BUILDING'")
+    return customers.select(F.col("c_custkey").cast("int").alias("user"))
+
+
+def _asked_items(spark: SparkSession, sf: str) -> DataFrame:
+    parts = table(spark, sf, "part").filter("p_brand = 'Brand#7'")
+    return parts.select(F.col("p_partkey").cast("int").alias("item"))
+
+
+_RANKS = "(SELECT unnest(range(1, 11))::INTEGER AS rank)"
+_RANKED_USERS = f"""
+    (SELECT DISTINCT r."user" FROM rating r JOIN customer ON r."user" = c_custkey
+     WHERE c_mktsegment = 'BUILDING'), {_RANKS}
+"""
+_RANKED_ITEMS = f"""
+    (SELECT DISTINCT item FROM rating JOIN part ON item = p_partkey
+     WHERE p_brand = 'Brand#7'), {_RANKS}
+"""
+
+
+def _ordered(ranked: DataFrame, owner: str) -> DataFrame:
+    """Owner and rank, with whether the scores fall with the rank."""
+    previous = F.lag("score").over(Window.partitionBy(owner).orderBy("rank"))
+    falling = F.coalesce(F.col("score") <= previous, F.lit(True))
+    return ranked.select(owner, "rank", falling.alias("falling"))
+
+
+@query(
+    "rec_fit_als",
+    f'WITH {_RATING_SQL} SELECT DISTINCT "user", 10 AS n_factors FROM rating',
+)
+def rec_fit_als(spark: SparkSession, sf: str) -> DataFrame:
+    model = recommend.fit_als(ratings(spark, sf), rank=10, iterations=10, reg=0.01)
+    return model.userFactors.select(
+        F.col("id").alias("user"), F.size("features").alias("n_factors")
+    )
+
+
+@query(
+    "rec_fit_als_implicit",
+    f"WITH {_RATING_SQL} SELECT DISTINCT item, 5 AS n_factors FROM rating",
+)
+def rec_fit_als_implicit(spark: SparkSession, sf: str) -> DataFrame:
+    model = recommend.fit_als(ratings(spark, sf), rank=5, iterations=10, reg=0.1, implicit=True)
+    return model.itemFactors.select(
+        F.col("id").alias("item"), F.size("features").alias("n_factors")
+    )
+
+
+@query(
+    "rec_items_for_users",
+    f'WITH {_RATING_SQL} SELECT "user", rank, true AS falling FROM {_RANKED_USERS}',
+)
+def rec_items_for_users(spark: SparkSession, sf: str) -> DataFrame:
+    model = recommend.fit_als(ratings(spark, sf), rank=5, reg=0.1)
+    return _ordered(recommend.recommend_items(model, _asked_users(spark, sf), 10), "user")
+
+
+@query(
+    "rec_users_for_items",
+    f"WITH {_RATING_SQL} SELECT item, rank, true AS falling FROM {_RANKED_ITEMS}",
+)
+def rec_users_for_items(spark: SparkSession, sf: str) -> DataFrame:
+    model = recommend.fit_als(ratings(spark, sf), rank=5, reg=0.1)
+    return _ordered(recommend.recommend_users(model, _asked_items(spark, sf), 10), "item")
+
+
+@query(
+    "rec_predict_pair",
+    f'WITH {_RATING_SQL} SELECT "user", item, true AS is_product FROM rating',
+)
+def rec_predict_pair(spark: SparkSession, sf: str) -> DataFrame:
+    """A predicted rating is the product of the two factor vectors."""
+    rated = ratings(spark, sf)
+    model = recommend.fit_als(rated, rank=5, reg=0.1)
+    users = model.userFactors.toDF("user", "u")
+    items = model.itemFactors.toDF("item", "v")
+    both = evaluate.score(model, rated).join(users, "user").join(items, "item")
+    product = F.aggregate(
+        F.zip_with("u", "v", lambda a, b: (a * b).cast("double")),
+        F.lit(0.0),
+        lambda total, x: total + x,
+    )
+    near = F.abs(product - F.col("prediction")) < 1e-4 * (1 + F.abs(product))
+    return both.select("user", "item", near.alias("is_product"))
+
+
+@query(
+    "rec_with_titles",
+    f'WITH {_RATING_SQL} SELECT "user", rank, true AS titled FROM {_RANKED_USERS}',
+)
+def rec_with_titles(spark: SparkSession, sf: str) -> DataFrame:
+    model = recommend.fit_als(ratings(spark, sf), rank=5, reg=0.1)
+    titles = table(spark, sf, "part").select("p_partkey", "p_name")
+    named = recommend.recommend_named(
+        model, _asked_users(spark, sf), titles, 10, "user", "p_partkey", "p_name"
+    )
+    return named.select("user", "rank", F.col("p_name").isNotNull().alias("titled"))
+
+
+@query(
+    "snk_model_save_load",
+    f'WITH {_RATING_SQL} SELECT "user", item, true AS same FROM rating',
+)
+def snk_model_save_load(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored model scores like the one it was made from."""
+    rated = ratings(spark, sf)
+    fitted = recommend.fit_als(rated, rank=5, reg=0.1)
+    path = save_model(fitted, scratch_path(spark, "als"))
+    loaded = load_or_fit(spark, path, ALSModel, lambda: recommend.fit_als(rated))
+    once = evaluate.score(fitted, rated).withColumnRenamed("prediction", "before")
+    return evaluate.score(loaded, once).select(
+        "user", "item", (F.col("before") == F.col("prediction")).alias("same")
+    )
