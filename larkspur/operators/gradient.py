@@ -6,8 +6,8 @@ weights start at 0, step ``i`` has the size ``step / sqrt(i)``, the squared L2
 penalty shrinks the weights first, there is no intercept, and the descent ends
 early once the weights move by less than ``tol`` relative to their length.
 
-Each step is one aggregation over the frame. It returns one gradient vector, and
-nothing but that vector and the weights ever is on the driver.
+Each step is one aggregation over the frame. It returns a fixed number of partial
+gradients, and nothing but those and the weights ever is on the driver.
 """
 
 from __future__ import annotations
@@ -40,6 +40,7 @@ from larkspur.operators.splits import _HASH_RANGE, key_hash
 from larkspur.sources.tables import cached
 
 LOSSES = ("logistic", "hinge")
+_MERGE_GROUPS = 64
 
 
 def _margin(features: str, weights: list[float]) -> Column:
@@ -168,26 +169,27 @@ class GradientDescentClassifier(
                 else:
                     side = 2 * y - 1
                     pull = F.when(side * margin < 1, -side).otherwise(F.lit(0.0))
-                # The summarizer takes weights >= 0 only, hence both signs apart.
+                # |pull| <= 1, and the summarizer takes positive weights only: sum up
+                # x * (pull + 2) and x, then subtract. Merging the tasks' vectors in
+                # a few groups first keeps the last merge small on any number of tasks.
                 sums = (
                     rows.filter(self._batch(step))
-                    .select(x, pull.alias("_pull"))
+                    .select(x, (pull + 2).alias("_lifted"))
+                    .groupBy((F.spark_partition_id() % _MERGE_GROUPS).alias("_group"))
                     .agg(
-                        Summarizer.sum(F.col(x), F.greatest("_pull", F.lit(0.0))).alias("up"),
-                        Summarizer.sum(F.col(x), F.greatest(-F.col("_pull"), F.lit(0.0))).alias("down"),
+                        Summarizer.sum(F.col(x), F.col("_lifted")).alias("lifted"),
+                        Summarizer.sum(F.col(x)).alias("plain"),
                         F.count("*").alias("n"),
                     )
-                    .first()
+                    .collect()
                 )
-                if not sums["n"]:
+                if not sums:
                     continue
-                up, down = (
-                    v.toArray() if v is not None and v.size else np.zeros_like(weights)
-                    for v in (sums["up"], sums["down"])
-                )
+                n = sum(part["n"] for part in sums)
+                gradient = sum(part["lifted"].toArray() - 2 * part["plain"].toArray() for part in sums) / n
                 rate = self.getStepSize() / math.sqrt(step)
                 previous = weights
-                weights = previous * (1 - rate * self.getRegParam()) - rate * (up - down) / sums["n"]
+                weights = previous * (1 - rate * self.getRegParam()) - rate * gradient
                 moved = np.linalg.norm(weights - previous)
                 if step > 1 and moved < self.getTol() * max(np.linalg.norm(weights), 1.0):
                     break

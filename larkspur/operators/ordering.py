@@ -5,8 +5,8 @@ the data, sends all those rows to one task. Nothing here does that: rows are
 range-partitioned, numbered inside their range, and shifted by the sizes of the
 ranges before it.
 
-Input order is not a property of a DataFrame, so the order is always a list of
-columns, ascending, and must be unique: ties have no defined position.
+Input order is not a property of a DataFrame, so the order is always given. Where
+positions are to be reproducible it must be unique.
 """
 
 from __future__ import annotations
@@ -19,15 +19,42 @@ from pyspark.sql import functions as F
 
 from larkspur.session import materialize
 
+Order = Column | str
+
 # monotonically_increasing_id puts the partition number above these bits.
 _ROW_BITS = 33
-# A key is split when it owns more rows than this, or than 1/_MAX_HOT of all rows,
-# whichever is more; so there are never more than _MAX_HOT keys to treat apart.
+# A key is treated apart when it owns more rows than this, or than 1/_MAX_HOT of all rows,
+# whichever is more; so there are never more than _MAX_HOT such keys.
 _GROUP_ROWS = 5_000_000
+# Up to this many rows a top-k is merged on the driver.
+_TOP_MERGED = 100_000
 _MAX_HOT = 10_000
 
 
-def with_position(df: DataFrame, order: Sequence[str], name: str = "position") -> DataFrame:
+def sort_rows(df: DataFrame, *order: Order) -> DataFrame:
+    """Total order over all rows.
+
+    A plain sort sends every row of one sort value to the same task. Here ties are
+    told apart by a hash of the whole row, and exact copies by the input partition
+    they come from, so that a value owning much of the data is cut into ranges too.
+    Both are the same again when a lost task is repeated.
+    """
+    tagged = df.withColumns({"_tie": F.xxhash64(*df.columns), "_from": F.spark_partition_id()})
+    return tagged.orderBy(*order, "_tie", "_from").select(*df.columns)
+
+
+def top_k(df: DataFrame, k: int, *order: Order) -> DataFrame:
+    """First ``k`` rows of an ordering.
+
+    Each task keeps no more than ``k`` rows and the driver merges them; where ``k``
+    is too large for that, rows are chosen by their position instead.
+    """
+    if k <= _TOP_MERGED:
+        return df.orderBy(*order).limit(k)
+    return with_position(df, order, "_position").filter(F.col("_position") < k).drop("_position")
+
+
+def with_position(df: DataFrame, order: Sequence[Order], name: str = "position") -> DataFrame:
     """0-based global position of every row, by one range shuffle.
 
     The sorted rows are written once, because the sizes and the shifted numbers
@@ -35,7 +62,7 @@ def with_position(df: DataFrame, order: Sequence[str], name: str = "position") -
     """
     row = F.col("_row")
     placed = materialize(
-        df.orderBy(*order).withColumn("_row", F.monotonically_increasing_id()), "position"
+        sort_rows(df, *order).withColumn("_row", F.monotonically_increasing_id()), "position"
     )
     part = F.shiftright(row, _ROW_BITS)
     sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
@@ -50,7 +77,7 @@ def with_position(df: DataFrame, order: Sequence[str], name: str = "position") -
 
 
 def position_folds(df: DataFrame, order: Sequence[str], k: int, name: str = "fold") -> DataFrame:
-    """Equal contiguous folds 0..k-1 by position.
+    """Equal contiguous folds 0..k-1 by position in a unique order.
 
     Only the order columns are sorted. That yields the at most ``k - 1`` rows at
     which a new fold begins; comparing with those labels the full rows in place,
@@ -89,9 +116,8 @@ def nth_per_key(
     keys = [key] if isinstance(key, str) else list(key)
     running = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint")
     sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    # A key above 1/_MAX_HOT of all rows is hot; one pass decides about all keys.
-    bound = sizes.agg(F.sum("_rows")).scalar() / _MAX_HOT
-    hot = materialize(sizes.filter(F.col("_rows") > F.greatest(F.lit(group_rows), bound)), "hot")
+    bound = df.agg(F.count("*") / _MAX_HOT).scalar()
+    hot = materialize(sizes.filter((F.col("_rows") > group_rows) & (F.col("_rows") > bound)), "hot")
     if hot.isEmpty():
         return df.withColumn(name, running)
     cold = df.join(F.broadcast(hot), _same_key(df, hot, keys), "left_anti")

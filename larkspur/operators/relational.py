@@ -1,4 +1,4 @@
-"""Grouping, joining and ordering.
+"""Grouping and joining.
 
 No join here forces a strategy. A side is broadcast only when Spark's own size
 check (``spark.sql.autoBroadcastJoinThreshold``, and AQE's measured sizes) allows
@@ -127,11 +127,6 @@ def lookup(
     return joined.select(*df.columns, text.alias(value))
 
 
-def top_k(df: DataFrame, k: int, *order: Column | str) -> DataFrame:
-    """First ``k`` rows of an ordering; each task keeps no more than ``k``."""
-    return df.orderBy(*order).limit(k)
-
-
 def split_by(df: DataFrame, predicate: Column) -> tuple[DataFrame, DataFrame]:
     """Rows that satisfy the predicate, and the complement (unknown counts as no)."""
     hit = F.coalesce(predicate, F.lit(False))

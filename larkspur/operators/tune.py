@@ -113,21 +113,27 @@ def tune_grid(
     if not grid:
         raise ValueError("no combinations to try")
 
+    sign = 1 if evaluator.isLargerBetter() else -1
+    metrics: dict[int, float] = {}
+    best: tuple[int, Model] | None = None
+
     def trial(_: int) -> tuple[int, Model, float]:
         index, model = next(fits)
         return index, model, evaluator.evaluate(model.transform(valid_rows))
 
     with cached(train, valid) as (train_rows, valid_rows), ThreadPool(parallelism) as pool:
         fits = estimator.fitMultiple(train_rows, list(grid))
-        done = sorted(pool.imap_unordered(trial, range(len(grid))), key=lambda d: d[0])
-    metrics = [metric for _, _, metric in done]
-    best = max(metrics) if evaluator.isLargerBetter() else min(metrics)
-    index = metrics.index(best)
+        for index, model, metric in pool.imap_unordered(trial, range(len(grid))):
+            metrics[index] = metric
+            # Only the best model so far is kept.
+            if best is None or (sign * metric, -index) > (sign * metrics[best[0]], -best[0]):
+                best = (index, model)
+    index, model = best
     return Tuned(
-        model=done[index][1],
+        model=model,
         params={param.name: value for param, value in grid[index].items()},
-        metric=best,
-        table=_table(train.sparkSession, grid, metrics),
+        metric=metrics[index],
+        table=_table(train.sparkSession, grid, [metrics[i] for i in range(len(grid))]),
     )
 
 

@@ -456,29 +456,30 @@ _ORDERS_SORTED = f"SELECT {', '.join(_ORDER_COLUMNS)} FROM orders ORDER BY "
 
 @query("sort_asc", _ORDERS_SORTED + "o_totalprice")
 def sort_asc(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "orders").select(*_ORDER_COLUMNS).orderBy("o_totalprice")
+    return ordering.sort_rows(table(spark, sf, "orders").select(*_ORDER_COLUMNS), "o_totalprice")
 
 
 @query("sort_desc", _ORDERS_SORTED + "o_totalprice DESC")
 def sort_desc(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "orders").select(*_ORDER_COLUMNS).orderBy(F.desc("o_totalprice"))
+    orders = table(spark, sf, "orders").select(*_ORDER_COLUMNS)
+    return ordering.sort_rows(orders, F.desc("o_totalprice"))
 
 
-@query("sort_multi", _ORDERS_SORTED + "o_totalprice DESC, o_orderstatus ASC")
+@query("sort_multi", _ORDERS_SORTED + "o_orderstatus DESC, o_totalprice ASC")
 def sort_multi(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select(*_ORDER_COLUMNS)
-    return orders.orderBy(F.desc("o_totalprice"), F.asc("o_orderstatus"))
+    return ordering.sort_rows(orders, F.desc("o_orderstatus"), F.asc("o_totalprice"))
 
 
 @query("topk", _ORDERS_SORTED + "o_totalprice DESC, o_orderkey LIMIT 10")
 def topk(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select(*_ORDER_COLUMNS)
-    return relational.top_k(orders, 10, F.desc("o_totalprice"), "o_orderkey")
+    return ordering.top_k(orders, 10, F.desc("o_totalprice"), "o_orderkey")
 
 
 @query("limit", _ORDERS_SORTED + "o_orderkey LIMIT 20")
 def limit(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "orders").select(*_ORDER_COLUMNS).orderBy("o_orderkey").limit(20)
+    return ordering.top_k(table(spark, sf, "orders").select(*_ORDER_COLUMNS), 20, "o_orderkey")
 
 
 @query(

@@ -8,6 +8,8 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from larkspur.operators.ordering import sort_rows
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One Parquet table of a folder of tables."""
@@ -42,5 +44,5 @@ def write_split(base: DataFrame, test: DataFrame, path: str, by: Sequence[str])
     """
     sides = {"base": base, "test": test}
     for name, side in sides.items():
-        side.orderBy(*by).write.mode("overwrite").parquet(f"{path}/{name}")
+        sort_rows(side, *by).write.mode("overwrite").parquet(f"{path}/{name}")
     return {name: f"{path}/{name}" for name in sides}

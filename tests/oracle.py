@@ -76,7 +76,7 @@ def main() -> int:
 
     folder, *wanted = sys.argv[1:]
     spark = build_session(
-        master="local[8]", spark__ui__enabled="false", spark__sql__shuffle__partitions="8",
+        master="local[8]", spark__ui__enabled="false", spark__ui__showConsoleProgress="false", spark__sql__shuffle__partitions="8",
         spark__driver__memory="12g",
     )
     spark.sparkContext.setLogLevel("ERROR")
