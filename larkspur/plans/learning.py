@@ -41,9 +41,11 @@ def lines(spark: SparkSession, sf: str, label: str) -> DataFrame:
 
 
 def lines_sql(label: str) -> str:
+    """The same rows, numbered, because ids may repeat: n, id, the features and y."""
     names = ", ".join(LINE_FEATURES)
     return (
-        f"line AS (SELECT {_LINE_ID} AS id, {names}, ({LINE_LABELS[label]}) AS y FROM lineitem)"
+        f"line AS MATERIALIZED (SELECT row_number() OVER () AS n, {_LINE_ID} AS id, {names}, "
+        f"({LINE_LABELS[label]}) AS y FROM lineitem)"
     )
 
 
@@ -112,7 +114,7 @@ def _tree_sql(label: str, impurity: str, classes: int = 0) -> str:
     return (
         f"WITH {lines_sql(label)}, "
         + sqltext.tree("line", LINE_FEATURES, 2, impurity, classes)
-        + " SELECT id, round(prediction, 6) AS prediction FROM t_pred"
+        + " SELECT id, round(prediction, 6) AS prediction FROM line JOIN t_pred USING (n)"
     )
 
 
@@ -158,10 +160,10 @@ def fit_random_forest(spark: SparkSession, sf: str) -> DataFrame:
     "fit_gbt",
     f"WITH {lines_sql('regression')}, "
     + sqltext.tree("line", LINE_FEATURES, 1, "variance", prefix="a")
-    + ", residual AS (SELECT line.* REPLACE (2 * (y - prediction) AS y) FROM line JOIN a_pred USING (id)), "
+    + ", residual AS (SELECT line.* REPLACE (2 * (y - prediction) AS y) FROM line JOIN a_pred USING (n)), "
     + sqltext.tree("residual", LINE_FEATURES, 1, "variance", prefix="b")
     + " SELECT id, round(a.prediction + 0.1::DOUBLE * b.prediction, 6) AS prediction"
-    " FROM (SELECT DISTINCT * FROM a_pred) a JOIN b_pred b USING (id)",
+    " FROM line JOIN a_pred a USING (n) JOIN b_pred b USING (n)",
 )
 def fit_gbt(spark: SparkSession, sf: str) -> DataFrame:
     """Two rounds of stumps: the second one fits the scaled residual of the first."""
@@ -261,15 +263,14 @@ def pipeline_fit_transform(spark: SparkSession, sf: str) -> DataFrame:
 
 _FLAG_SCORES = (
     f"WITH {lines_sql('flag')}, {sqltext.naive_bayes('line', LINE_FEATURES, 1.0)}, "
-    f"numbered AS (SELECT *, row_number() OVER () AS n FROM line), "
-    f"{sqltext.naive_bayes_scores('numbered', 'n', LINE_FEATURES)} "
+    f"{sqltext.naive_bayes_scores('line', 'n', LINE_FEATURES)} "
 )
 
 
 @query(
     "score_batch",
     _FLAG_SCORES
-    + "SELECT id, prediction, round(1 / total, 6) AS probability FROM numbered JOIN nb_pred USING (n) "
+    + "SELECT id, prediction, round(1 / total, 6) AS probability FROM line JOIN nb_pred USING (n) "
     "JOIN (SELECT n, sum(exp(joint - best)) AS total FROM nb_joint JOIN "
     "(SELECT n, max(joint) AS best FROM nb_joint GROUP BY n) USING (n) GROUP BY n) USING (n)",
 )
@@ -285,7 +286,7 @@ def score_batch(spark: SparkSession, sf: str) -> DataFrame:
     "join_score_label",
     _FLAG_SCORES
     + 'SELECT y::DOUBLE AS label, prediction, count(*) AS "count" '
-    "FROM numbered JOIN nb_pred USING (n) GROUP BY ALL",
+    "FROM line JOIN nb_pred USING (n) GROUP BY ALL",
 )
 def join_score_label(spark: SparkSession, sf: str) -> DataFrame:
     """Predictions stay beside their labels; here counted as a confusion table."""
@@ -314,7 +315,7 @@ def score_unlabelled_decoded(spark: SparkSession, sf: str) -> DataFrame:
     + " SELECT id, round(y, 6) AS label, trunc(prediction)::BIGINT AS prediction, "
     "CASE WHEN y = trunc(prediction) THEN '正确' ELSE '错误' END AS result, "
     "round(abs(y - trunc(prediction)), 6) AS error "
-    "FROM (SELECT DISTINCT id, y FROM line) JOIN t_pred USING (id)",
+    "FROM line JOIN t_pred USING (n)",
 )
 def score_with_error(spark: SparkSession, sf: str) -> DataFrame:
     rows = lines(spark, sf, "regression")
@@ -444,9 +445,7 @@ def _smoothing_sweep_sql() -> str:
     ctes = [
         lines_sql("flag"),
         "fit AS (SELECT * FROM line WHERE " + sqltext.below("id", 8, 10) + ")",
-        "held AS (SELECT *, row_number() OVER () AS n FROM line WHERE NOT "
-        + sqltext.below("id", 8, 10)
-        + ")",
+        "held AS (SELECT * FROM line WHERE NOT " + sqltext.below("id", 8, 10) + ")",
     ]
     trials = []
     for trial, smoothing in enumerate(tune.GRIDS["naive_bayes"]["smoothing"]):
@@ -506,7 +505,7 @@ def _folds_sql() -> str:
     fold = sqltext.key_hash("id", "fold:") + " % 3"
     ctes = [
         lines_sql("flag"),
-        f"folded AS (SELECT *, {fold} AS fold, row_number() OVER () AS n FROM line)",
+        f"folded AS (SELECT *, {fold} AS fold FROM line)",
     ]
     measured = []
     for k in range(3):

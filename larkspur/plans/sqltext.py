@@ -102,7 +102,7 @@ def tree(
 ) -> str:
     """Greedy binary tree of fixed depth over features with few distinct values.
 
-    ``source`` has ``id``, the features and ``y``. Gives ``{prefix}_pred(id, prediction)``:
+    ``source`` has a unique ``n``, the features and ``y``. Gives ``{prefix}_pred(n, prediction)``:
     the leaf's majority class, or the leaf's mean for ``variance``. Every value
     present in a node is a candidate, "up to and including it" goes left.
     """
@@ -158,5 +158,5 @@ def tree(
             f"SELECT node, CAST(y AS DOUBLE) AS prediction FROM {leaf} GROUP BY node, y"
             " QUALIFY row_number() OVER (PARTITION BY node ORDER BY count(*) DESC, y) = 1"
         )
-    ctes.append(f"{prefix}_pred AS (SELECT id, prediction FROM {leaf} JOIN ({value}) USING (node))")
+    ctes.append(f"{prefix}_pred AS (SELECT n, prediction FROM {leaf} JOIN ({value}) USING (node))")
     return ", ".join(ctes)

@@ -22,7 +22,7 @@ def planted(spark):
     y = (x[:, 0] - 0.5 * x[:, 1] + 0.3 * chance.normal(size=600) > 0).astype(float)
     rows = [(i, *map(float, v), float(c)) for i, (v, c) in enumerate(zip(x, y))]
     df = spark.createDataFrame(rows, "id long, x0 double, x1 double, x2 double, x3 double, label double")
-    return features.assemble(df, ["x0", "x1", "x2", "x3"]).cache()
+    return features.assemble(df.coalesce(2), ["x0", "x1", "x2", "x3"]).cache()
 
 
 # -- features -----------------------------------------------------------------
@@ -74,7 +74,7 @@ def test_vector_index_boundary(spark):
         lambda d: train.fit_tree(d, impurity="entropy", depth=4, bins=20),
         lambda d: train.fit_forest(d, trees=10, depth=4),
         lambda d: train.fit_logistic(d),
-        lambda d: train.fit_linear_svm(d),
+        lambda d: train.fit_linear_svm(d, iterations=20),
         lambda d: gradient.fit_gd(d, "logistic", iterations=20, step=5.0),
         lambda d: gradient.fit_gd(d, "hinge", iterations=20, step=1.0),
     ],
@@ -154,8 +154,8 @@ def test_descent_equals_the_rdd_trainers(planted, loss):
     )
     with warnings.catch_warnings():
         warnings.simplefilter("ignore")
-        expected = kind.train(points, iterations=30, step=1.0, regParam=0.01)
-    ours = gradient.fit_gd(planted, loss, iterations=30, step=1.0, reg=0.01)
+        expected = kind.train(points, iterations=15, step=1.0, regParam=0.01)
+    ours = gradient.fit_gd(planted, loss, iterations=15, step=1.0, reg=0.01)
     assert np.allclose(ours.weights, expected.weights.toArray(), atol=1e-8)
 
 

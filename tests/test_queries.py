@@ -31,6 +31,7 @@ def test_query(spark, con, name):
 
 
 def test_scans_read_only_what_is_needed(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", 1000)
     plan = REGISTRY["flt_conjunction"].run(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     for pushed in ("EqualTo(l_returnflag,R)", "EqualTo(l_linestatus,O)", "EqualTo(l_quantity,24.0)"):
         assert pushed in plan
