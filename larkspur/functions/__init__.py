@@ -8,6 +8,7 @@ from larkspur.functions.columns import (
     strip_quotes,
 )
 from larkspur.functions.dictionaries import (
+    COVER_NAMES,
     HOLIDAY,
     PAGE_KIND,
     RENTAL_MAXIMA,
@@ -18,6 +19,7 @@ from larkspur.functions.dictionaries import (
 )
 
 __all__ = [
+    "COVER_NAMES",
     "HOLIDAY",
     "PAGE_KIND",
     "RENTAL_MAXIMA",

@@ -16,3 +16,8 @@ WEATHER = {1: "晴", 2: "阴", 3: "小雨", 4: "大雨"}
 
 # Hourly rentals: the maximum each measured column was divided by.
 RENTAL_MAXIMA = {"temp": 41, "atemp": 50, "hum": 100, "windspeed": 67}
+
+# Terrain cover: display names of the first measurements.
+COVER_NAMES = {
+    "f0": "海拔", "f1": "方位", "f2": "斜率", "f3": "垂直距离", "f4": "水平距离", "f5": "阴影",
+}

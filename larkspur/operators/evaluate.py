@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.functions.columns import abs_error, decode, match_flag
+from larkspur.sources.tables import cached
 
 
 def score(model: Transformer, df: DataFrame) -> DataFrame:
@@ -93,4 +94,6 @@ def rmse_evaluator(label: str = "label") -> RegressionEvaluator:
 
 
 def auc(df: DataFrame, score: str = "rawPrediction", label: str = "label") -> float:
-    return auc_evaluator(score, label).evaluate(df)
+    """Exact ROC area. The curve takes several passes over the scores, which are kept."""
+    with cached(df.select(score, label)) as (kept,):
+        return auc_evaluator(score, label).evaluate(kept)

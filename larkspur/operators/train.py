@@ -3,6 +3,7 @@ estimator builders beside them serve pipelines and tuning."""
 
 from __future__ import annotations
 
+from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
     DecisionTreeClassificationModel,
     DecisionTreeClassifier,
@@ -23,6 +24,8 @@ from pyspark.ml.regression import (
 )
 from pyspark.sql import DataFrame
 
+from larkspur.sources.tables import cached
+
 
 def tree_classifier(
     impurity: str = "gini",
@@ -84,20 +87,29 @@ def naive_bayes(
     )
 
 
+def _fit(estimator: Estimator, df: DataFrame) -> Model:
+    """Fit on the two columns needed, kept for the several passes these fits make.
+
+    Naive Bayes makes a single pass and goes without.
+    """
+    with cached(df.select(estimator.getFeaturesCol(), estimator.getLabelCol())) as (rows,):
+        return estimator.fit(rows)
+
+
 def fit_tree(df: DataFrame, **options) -> DecisionTreeClassificationModel:
-    return tree_classifier(**options).fit(df)
+    return _fit(tree_classifier(**options), df)
 
 
 def fit_tree_regressor(df: DataFrame, **options) -> DecisionTreeRegressionModel:
-    return tree_regressor(**options).fit(df)
+    return _fit(tree_regressor(**options), df)
 
 
 def fit_forest(df: DataFrame, **options) -> RandomForestClassificationModel:
-    return forest_classifier(**options).fit(df)
+    return _fit(forest_classifier(**options), df)
 
 
 def fit_gbt(df: DataFrame, **options) -> GBTRegressionModel:
-    return gbt_regressor(**options).fit(df)
+    return _fit(gbt_regressor(**options), df)
 
 
 def fit_naive_bayes(df: DataFrame, **options) -> NaiveBayesModel:
@@ -109,9 +121,10 @@ def fit_logistic(
     features: str = "features", label: str = "label",
 ) -> LogisticRegressionModel:
     """Logistic regression solved to convergence; the default choice for new work."""
-    return LogisticRegression(
+    estimator = LogisticRegression(
         regParam=reg, maxIter=iterations, featuresCol=features, labelCol=label
-    ).fit(df)
+    )
+    return _fit(estimator, df)
 
 
 def fit_linear_svm(
@@ -119,6 +132,7 @@ def fit_linear_svm(
     features: str = "features", label: str = "label",
 ) -> LinearSVCModel:
     """Linear support vector machine solved to convergence."""
-    return LinearSVC(
+    estimator = LinearSVC(
         regParam=reg, maxIter=iterations, featuresCol=features, labelCol=label
-    ).fit(df)
+    )
+    return _fit(estimator, df)

@@ -57,6 +57,23 @@ GRIDS: dict[str, dict[str, list]] = {
     "gbt": {"maxDepth": [5, 10], "maxBins": [25, 40], "maxIter": [10, 50]},
 }
 
+# One-parameter sweeps: the parameter's values, and what the others are held at.
+# Fixed values.
+SWEEPS: dict[tuple[str, str], tuple[list, dict]] = {
+    ("tree", "maxDepth"): ([3, 5, 10, 15, 20], {"impurity": "gini", "maxBins": 10}),
+    ("tree", "maxBins"): ([3, 5, 10, 50, 100, 200], {"impurity": "gini", "maxDepth": 10}),
+    ("tree", "impurity"): (["gini", "entropy"], {"maxDepth": 10, "maxBins": 10}),
+    ("regression_tree", "maxDepth"): ([3, 5, 10, 15, 20, 25], {"maxBins": 10}),
+    ("regression_tree", "maxBins"): ([3, 5, 10, 50, 100], {"maxDepth": 10}),
+    ("logistic", "maxIter"): ([5, 10, 15, 20, 60, 100], {"stepSize": 10.0}),
+    ("logistic", "stepSize"): ([10.0, 50.0, 100.0, 200.0], {"maxIter": 50}),
+    ("logistic", "miniBatchFraction"): ([0.5, 0.8, 1.0], {"maxIter": 50, "stepSize": 500.0}),
+    ("svm", "maxIter"): ([5, 10, 15, 20, 60, 100], {"stepSize": 10.0, "regParam": 1.0}),
+    ("svm", "stepSize"): ([10.0, 50.0, 100.0, 200.0], {"maxIter": 50, "regParam": 1.0}),
+    ("svm", "regParam"): ([0.01, 0.1, 1.0], {"maxIter": 50, "stepSize": 500.0}),
+    ("naive_bayes", "smoothing"): (GRIDS["naive_bayes"]["smoothing"], {}),
+}
+
 
 @dataclass(frozen=True)
 class Tuned:
@@ -184,6 +201,12 @@ def tune_folds(
     )
 
 
+def run_search(search: Estimator, rows: DataFrame) -> Model:
+    """Fit a search with its rows kept for the passes of all combinations."""
+    with cached(rows) as (kept,):
+        return search.fit(kept)
+
+
 def validation_table(spark: SparkSession, searched: Model, grid: Sequence[dict]) -> DataFrame:
     """Metric per combination of a fitted split or cross-validation search."""
     metrics = getattr(searched, "validationMetrics", None) or searched.avgMetrics

@@ -494,7 +494,7 @@ def tune_tvs(spark: SparkSession, sf: str) -> DataFrame:
     stage = train.tree_classifier(bins=64)
     grid = tune.param_grid(stage, {"impurity": ["gini", "entropy"], "maxDepth": [1, 2]})
     search = tune.tune_split(stage, grid, evaluate.accuracy_evaluator(), parallelism=2)
-    searched = search.fit(rows)
+    searched = tune.run_search(search, rows)
     return tune.validation_table(spark, searched, grid).select(
         "trial", "impurity", "maxDepth", F.col("metric").between(0.34, 1.0).alias("measured")
     )
@@ -535,5 +535,5 @@ def tune_cv(spark: SparkSession, sf: str) -> DataFrame:
     search = tune.tune_folds(
         stage, grid, evaluate.accuracy_evaluator(), folds=3, fold_col="fold", parallelism=2
     )
-    table_ = tune.validation_table(spark, search.fit(rows), grid)
+    table_ = tune.validation_table(spark, tune.run_search(search, rows), grid)
     return table_.withColumn("metric", F.round("metric", 6))

@@ -27,11 +27,14 @@ _INDEXED_SOURCE = """
 """
 
 
-def _unpacked(column: str, n: int, digits: int | None = None) -> list:
-    slots = [vector_to_array(column)[i] for i in range(n)]
+def _unpacked(df: DataFrame, column: str, n: int, digits: int | None = None) -> DataFrame:
+    """Line keys and the vector's slots as columns."""
+    slots = [F.col("_slots")[i] for i in range(n)]
     if digits is not None:
         slots = [F.round(s, digits) for s in slots]
-    return [s.alias(f"f{i}") for i, s in enumerate(slots)]
+    keys = ("l_orderkey", "l_linenumber")
+    opened = df.select(*keys, vector_to_array(column).alias("_slots"))
+    return opened.select(*keys, *[s.alias(f"f{i}") for i, s in enumerate(slots)])
 
 
 @query(
@@ -72,7 +75,7 @@ def feat_one_hot(spark: SparkSession, sf: str) -> DataFrame:
 )
 def feat_assemble(spark: SparkSession, sf: str) -> DataFrame:
     assembled = features.assemble(table(spark, sf, "lineitem"), NUMERIC)
-    return assembled.select("l_orderkey", "l_linenumber", *_unpacked("features", 4))
+    return _unpacked(assembled, "features", 4)
 
 
 @query(
@@ -90,7 +93,7 @@ def feat_vector_index(spark: SparkSession, sf: str) -> DataFrame:
         table(spark, sf, "lineitem"), ["l_quantity", "l_discount", "l_tax"]
     ).select("l_orderkey", "l_linenumber", "features")
     indexed = features.index_vectors(assembled).transform(assembled)
-    return indexed.select("l_orderkey", "l_linenumber", *_unpacked("indexed", 3))
+    return _unpacked(indexed, "indexed", 3)
 
 
 @query(
@@ -106,7 +109,7 @@ def feat_standardize(spark: SparkSession, sf: str) -> DataFrame:
     lines = splits.split_random(table(spark, sf, "lineitem"), "l_orderkey", {"train": 7, "test": 3})
     assembled = features.assemble(lines, NUMERIC)
     scaled = features.standardize(assembled.filter("split = 'train'")).transform(assembled)
-    return scaled.select("l_orderkey", "l_linenumber", *_unpacked("scaled", 4, 6))
+    return _unpacked(scaled, "scaled", 4, 6)
 
 
 @query(

@@ -7,7 +7,7 @@ from larkspur.sources.delimited import (
     write_delimited,
 )
 from larkspur.sources.models import load_or_fit, save_model
-from larkspur.sources.tables import cached, register, table, write_split
+from larkspur.sources.tables import cached, register, spread, table, write_split
 
 __all__ = [
     "apply_types",
@@ -18,6 +18,7 @@ __all__ = [
     "read_wide",
     "register",
     "save_model",
+    "spread",
     "table",
     "wide_string_schema",
     "write_delimited",

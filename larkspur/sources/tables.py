@@ -22,13 +22,28 @@ def register(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rebalance a frame that is too small to give every core a part.
+
+    Repeated passes over one big row group, or a few small files, would keep most
+    cores idle. From the size on at which a scan is split for all cores anyway, the
+    frame is left alone, so that large data is never shuffled for this.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes").removesuffix("b"))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * split else df
+
+
 @contextmanager
 def cached(*frames: DataFrame) -> Iterator[tuple[DataFrame, ...]]:
     """Keep frames for the repeated passes of an iterative fit, then release them.
 
-    Blocks spill to disk, and a block lost with its executor is recomputed.
+    Small frames are spread over all cores first. Blocks spill to disk, and a block
+    lost with its executor is recomputed.
     """
-    kept = tuple(frame.persist(StorageLevel.MEMORY_AND_DISK) for frame in frames)
+    kept = tuple(spread(frame).persist(StorageLevel.MEMORY_AND_DISK) for frame in frames)
     try:
         yield kept
     finally:

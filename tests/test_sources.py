@@ -12,6 +12,7 @@ from larkspur.sources import (
     read_wide,
     register,
     save_model,
+    spread,
     wide_string_schema,
     write_delimited,
     write_split,
@@ -86,7 +87,14 @@ def test_cached_releases_also_after_an_error(spark):
     with pytest.raises(RuntimeError), cached(df) as (kept,):
         assert kept.is_cached and kept.count() == 10
         raise RuntimeError
-    assert not df.is_cached
+    assert not kept.is_cached
+
+
+def test_spread_leaves_large_frames_alone(spark):
+    small = spark.range(1000, numPartitions=1)
+    assert spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    large = spark.range(10**12)
+    assert spread(large) is large
 
 
 def test_split_is_written_sorted(spark, tmp_path, events):
