@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.operators.relational import lookup
 
+_MOST_BLOCKS = 1000
+
 
 def als(
     rank: int = 10,
@@ -15,13 +17,16 @@ def als(
     reg: float = 0.01,
     implicit: bool = False,
     seed: int = 0,
-    blocks: int = 10,
+    blocks: int | None = None,
 ) -> ALS:
     """Factorization of (user, item, rating); ids are integers.
 
     Text ids are numbered with ``dense_index`` first. ``blocks`` partitions users
-    and items and should grow with the number of executor cores.
+    and items. By default it is the number of cores, up to a limit, because every
+    user block exchanges messages with every item block.
     """
+    cores = SparkSession.active().sparkContext.defaultParallelism
+    blocks = blocks or min(cores, _MOST_BLOCKS)
     return ALS(
         rank=rank, maxIter=iterations, regParam=reg, implicitPrefs=implicit, seed=seed,
         numUserBlocks=blocks, numItemBlocks=blocks,

@@ -12,10 +12,10 @@ from larkspur.session import build_session  # noqa: E402
 def spark(tmp_path_factory):
     session = build_session(
         app="larkspur-tests",
-        master="local[8]",
+        master="local[4]",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
-        spark__sql__shuffle__partitions="8",
+        spark__sql__shuffle__partitions="4",
         spark__driver__memory="8g",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("scratch")),
     )
