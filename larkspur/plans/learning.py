@@ -437,6 +437,7 @@ def tune_grid_holdout(spark: SparkSession, sf: str) -> DataFrame:
         rows.filter("split = 'train'"),
         rows.filter("split = 'validation'"),
         evaluate.hard_auc_evaluator(),
+        parallelism=4,
     )
     return _marked(tuned)
 
@@ -493,7 +494,7 @@ def tune_tvs(spark: SparkSession, sf: str) -> DataFrame:
     rows = lines(spark, sf, "multi")
     stage = train.tree_classifier(bins=64)
     grid = tune.param_grid(stage, {"impurity": ["gini", "entropy"], "maxDepth": [1, 2]})
-    search = tune.tune_split(stage, grid, evaluate.accuracy_evaluator(), parallelism=2)
+    search = tune.tune_split(stage, grid, evaluate.accuracy_evaluator(), parallelism=4)
     searched = tune.run_search(search, rows)
     return tune.validation_table(spark, searched, grid).select(
         "trial", "impurity", "maxDepth", F.col("metric").between(0.34, 1.0).alias("measured")
@@ -533,7 +534,7 @@ def tune_cv(spark: SparkSession, sf: str) -> DataFrame:
     stage = train.naive_bayes()
     grid = tune.param_grid(stage, {"smoothing": [1.0, 15.0]})
     search = tune.tune_folds(
-        stage, grid, evaluate.accuracy_evaluator(), folds=3, fold_col="fold", parallelism=2
+        stage, grid, evaluate.accuracy_evaluator(), folds=3, fold_col="fold", parallelism=4
     )
     table_ = tune.validation_table(spark, tune.run_search(search, rows), grid)
     return table_.withColumn("metric", F.round("metric", 6))
