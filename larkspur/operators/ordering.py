@@ -39,8 +39,11 @@ def sort_rows(df: DataFrame, *order: Order) -> DataFrame:
     they come from, so that a value owning much of the data is cut into ranges too.
     Both are the same again when a lost task is repeated.
     """
-    tagged = df.withColumns({"_tie": F.xxhash64(*df.columns), "_from": F.spark_partition_id()})
-    return tagged.orderBy(*order, "_tie", "_from").select(*df.columns)
+    # Maps cannot be hashed; rows that differ in those only are told apart like copies.
+    parts = [F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind]
+    tie = F.xxhash64(*parts) if parts else F.lit(0)
+    tagged = df.withColumns({"_tie": tie, "_from": F.spark_partition_id()})
+    return tagged.orderBy(*order, "_tie", "_from").drop("_tie", "_from")
 
 
 def top_k(df: DataFrame, k: int, *order: Order) -> DataFrame:
@@ -73,7 +76,8 @@ def with_position(df: DataFrame, order: Sequence[Order], name: str = "position")
     )
     joined = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
     local = row.bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    return joined.select(*df.columns, (F.col("_before") + local).alias(name))
+    numbered = joined.withColumn(name, F.col("_before") + local)
+    return numbered.drop("_row", "_part", "_before")
 
 
 def position_folds(df: DataFrame, order: Sequence[str], k: int, name: str = "fold") -> DataFrame:
@@ -93,7 +97,7 @@ def position_folds(df: DataFrame, order: Sequence[str], k: int, name: str = "fol
     labelled = df.withColumn("_starts", materialize(starts, "folds").scalar())
     passed = F.filter("_starts", lambda s: s["key"] <= F.struct(*order))
     fold = F.coalesce(F.array_max(F.transform(passed, lambda s: s["fold"])), F.lit(0))
-    return labelled.select(*df.columns, fold.cast("int").alias(name))
+    return labelled.withColumn(name, fold.cast("int")).drop("_starts")
 
 
 def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -125,10 +129,11 @@ def nth_per_key(
     placed = with_position(warm, [*keys, *order], "_position")
     before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
     starts = hot.select(*keys, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
-    numbered = placed.join(F.broadcast(starts), _same_key(placed, starts, keys)).select(
-        *[placed[c] for c in df.columns], (F.col("_position") - F.col("_start") + 1).alias(name)
-    )
-    return cold.withColumn(name, running).unionByName(numbered)
+    joined = placed.join(F.broadcast(starts), _same_key(placed, starts, keys))
+    for key_column in keys:
+        joined = joined.drop(starts[key_column])
+    numbered = joined.withColumn(name, F.col("_position") - F.col("_start") + 1)
+    return cold.withColumn(name, running).unionByName(numbered.drop("_position", "_start"))
 
 
 def dense_index(df: DataFrame, column: str, name: str | None = None) -> DataFrame:
@@ -139,6 +144,5 @@ def dense_index(df: DataFrame, column: str, name: str | None = None) -> DataFram
     """
     values = df.select(F.col(column).alias("_value")).where(F.col(column).isNotNull()).distinct()
     index = with_position(values, ["_value"], "_index")
-    return df.join(index, F.col(column) == F.col("_value"), "left").select(
-        *df.columns, F.col("_index").alias(name or f"{column}_index")
-    )
+    joined = df.join(index, F.col(column) == F.col("_value"), "left").drop("_value")
+    return joined.withColumnRenamed("_index", name or f"{column}_index")

@@ -49,7 +49,8 @@ def crosstab(df: DataFrame, a: str, b: str, values: Sequence | None = None) -> D
     Listing ``values`` saves the extra pass that finds the distinct ones.
     """
     cells = df.groupBy(F.col(a).alias(f"{a}_{b}")).pivot(b, values).agg(F.count(F.lit(1)))
-    return cells.fillna(0)
+    row, *counts = cells.columns
+    return cells.select(row, *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias(c) for c in counts])
 
 
 def feature_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -123,7 +124,7 @@ def lookup(
     if strict:
         complaint = F.concat(F.lit(f"no {value} for {fk} "), F.col(fk).cast("string"))
         text = F.when(F.col("_hit"), text).otherwise(F.raise_error(complaint))
-    return joined.select(*df.columns, text.alias(value))
+    return joined.withColumn(value, text).drop("_pk", "_value", "_hit")
 
 
 def split_by(df: DataFrame, predicate: Column) -> tuple[DataFrame, DataFrame]:

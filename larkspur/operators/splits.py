@@ -80,7 +80,7 @@ def split_nth_per_key(
     joined = df.join(bounds, F.col(key).eqNullSafe(F.col("_key")), "left")
     inside = F.coalesce(at.between(F.col("_first"), F.col("_last")), F.lit(False))
     label = F.when(inside, F.lit("test")).otherwise(F.lit("base"))
-    return joined.select(*df.columns, label.alias(name))
+    return joined.withColumn(name, label).drop("_key", "_first", "_last")
 
 
 def split_kfold(df: DataFrame, order: Sequence[str], k: int, name: str = "fold") -> DataFrame:

@@ -22,9 +22,9 @@ def test_users_by_state(spark, tmp_path):
 def test_rating_splits(spark, tmp_path):
     lines = [f"{u}\t{i}\t{(u * i) % 5 + 1}\t{880000000 + u * i}" for u in range(1, 7) for i in range(1, 26)]
     (tmp_path / "ratings").write_text("\n".join(lines))
-    (tmp_path / "items").write_text("1|Toy Story (1995)|01-Jan-1995||http://x|0|1\n")
+    (tmp_path / "items").write_text("1|A Film (1995)|01-Jan-1995||http://x|0|1\n")
     items = flows.read_items(spark, str(tmp_path / "items"))
-    assert [tuple(r) for r in items.collect()] == [(1, "Toy Story (1995)")]
+    assert [tuple(r) for r in items.collect()] == [(1, "A Film (1995)")]
     ratings = flows.read_ratings(spark, str(tmp_path / "ratings"))
     sizes = {
         name: (base.count(), test.count())

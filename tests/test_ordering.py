@@ -91,3 +91,17 @@ def test_top_k_by_merge_and_by_position(spark, monkeypatch):
     assert "TakeOrderedAndProject" in plan
     monkeypatch.setattr(ordering, "_TOP_MERGED", 3)
     assert sorted(r["v"] for r in ordering.top_k(df, 5, F.desc("v")).collect()) == sorted(small)
+
+
+def test_odd_columns_pass_through(spark):
+    df = spark.range(40).select(
+        "id", F.lit(1).alias("links.ratio"), F.create_map(F.lit("a"), F.col("id")).alias("m")
+    )
+    for done in (
+        ordering.sort_rows(df, "id"),
+        ordering.with_position(df, ["id"]),
+        ordering.position_folds(df, ["id"], 4),
+        ordering.nth_per_key(df.withColumn("key", F.lit(1)), "key", ["id"], group_rows=5),
+        ordering.top_k(df, 40, "id"),
+    ):
+        assert done.columns[:3] == ["id", "links.ratio", "m"] and done.count() == 40

@@ -74,6 +74,13 @@ def test_crosstab_equals_builtin(people):
     ]
 
 
+def test_crosstab_of_numbers_keeps_the_null_row(spark):
+    df = spark.createDataFrame([(1, 0.5), (None, 0.5), (1, 1.5)], "a int, b double")
+    table = relational.crosstab(df, "a", "b")
+    assert table.columns == ["a_b", "0.5", "1.5"]
+    assert rows(table) == [(1, 1, 1), (None, 1, 0)]
+
+
 def test_counts_and_shares(people):
     assert rows(relational.group_count(people, "gender")) == [("F", 3), ("M", 2)]
     ordered = relational.group_count(people, ["gender", "job"], order=True)
