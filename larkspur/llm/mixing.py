@@ -62,7 +62,7 @@ def _running(df: DataFrame, keys: list[str], bucket: Column, order: list[Column]
 
 
 def mix_sources(docs: DataFrame, most: int = MAX_REPEATS, seed: str = "") -> DataFrame:
-    """(doc_id, size, source_size, target, taken) for every row of (doc_id, source, text).
+    """(doc_id, source, size, source_size, target, taken) for every row of (doc_id, source, text).
 
     Each source is shuffled by a hash of its ids, and each of its documents gets a
     virtual finish time: words of the source up to and with it, divided by the target.
@@ -90,7 +90,7 @@ def mix_sources(docs: DataFrame, most: int = MAX_REPEATS, seed: str = "") -> Dat
         [F.col("_key"), F.col("doc_id"), F.col("size")], "size", "_upto",
     )
     keyed = ordered.join(goals.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
-    keyed = keyed.drop("_source").withColumn("_row", F.xxhash64("_key", "source", "_upto"))
+    keyed = keyed.drop("_source")
     # A round beyond the last that the target can reach is never taken: times over 1 only
     # matter for the rest of the budget that whole documents leave over, one round more.
     last = F.least(F.lit(most - 1), F.floor(F.col("target") / F.col("source_size")).cast("int"))
@@ -109,5 +109,28 @@ def mix_sources(docs: DataFrame, most: int = MAX_REPEATS, seed: str = "") -> Dat
         taken, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_key") == F.col("_k")) & (F.col("_upto") == F.col("_u")) & (F.col("size") > 0), "left"
     )
     return joined.select(
-        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken")
+        "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken")
     )
+
+
+def take_mix(docs: DataFrame, most: int = MAX_REPEATS, seed: str = "") -> DataFrame:
+    """The rows of ``docs``, all columns, as often as :func:`mix_sources` takes them.
+
+    Rows that agree in doc_id, source and size share what is taken of them evenly, the
+    first ones by a hash of the text once more.
+    """
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+
+    def key(size: Column) -> Column:
+        return F.to_json(F.struct(F.col("doc_id"), F.col("source"), size.alias("size")))
+
+    mixed = mix_sources(docs.select("doc_id", "source", "text"), most, seed).where("taken > 0")
+    times = mixed.select(key(F.col("size")).alias("_key"), (F.col("taken") / F.col("size")).cast("int").alias("t"))
+    times = times.groupBy("_key").agg(F.sum("t").alias("_times"))
+    rows = docs.select(F.struct("*").alias("_row"), key(size).alias("_key"), F.xxhash64("text").alias("_hash"))
+    alike = Window.partitionBy("_key")
+    rows = rows.withColumns({"_rows": F.count("*").over(alike), "_at": F.row_number().over(alike.orderBy("_hash"))})
+    rows = rows.join(times, "_key")
+    often = F.expr("_times div _rows + if(_at <= _times % _rows, 1, 0)").cast("int")
+    rows = rows.withColumn("_often", often).where("_often > 0")
+    return rows.select("_row", F.explode(F.sequence(F.lit(1), F.col("_often")))).select("_row.*")

@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import bpe, line_rules, mixing, quality_model, token_counts, toxicity, url_filters
+from larkspur.llm import (
+    bpe,
+    fingerprints,
+    jaccard_join,
+    line_rules,
+    mixing,
+    quality_model,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+    url_filters,
+)
 from larkspur.llm.fitting import remainder
 from larkspur.plans.registry import Query, Runner
 from larkspur.sources import table
@@ -137,7 +148,7 @@ SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken FROM q LEF
 
 @query("op5_mix_sources", _OP5_SQL)
 def op5(spark: SparkSession, sf: str) -> DataFrame:
-    return mixing.mix_sources(table(spark, sf, "documents"))
+    return mixing.mix_sources(table(spark, sf, "documents")).drop("source")
 
 
 @query("op6_token_counts")
@@ -214,3 +225,22 @@ FROM keyed LEFT JOIN spread USING (key)
 @query("op10_url_filters", _OP10_SQL)
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return url_filters.judge_urls(table(spark, sf, "pages"))
+
+
+@query("op3_suffix_dedup")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_dedup.repeated_passages(table(spark, sf, "documents")).select(
+        "doc_id", F.size("starts").alias("n_shared_runs"), F.size("repeat_starts").alias("n_repeat_runs"),
+        "first_doc_ids", "copy_of",
+    )
+
+
+@query("op7_ngram_jaccard_join")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    joined = jaccard_join.join_similar(table(spark, sf, "documents"))
+    return joined.select("doc_id", "class_id", "n_copies", "n_links")
+
+
+@query("op9_document_fingerprints")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints.fingerprint_versions(table(spark, sf, "documents"))
