@@ -16,9 +16,11 @@ from larkspur.session import materialize
 SHINGLE = 5
 #: A pair is a link when ``intersection / union >= LINK[0] / LINK[1]``.
 LINK = (4, 5)
-#: Texts this near to a pivot form a cluster: any two of them are a link in any case,
-#: because 1 - Jaccard is a metric and 1/10 + 1/10 = 1 - 4/5.
-TIGHT = (9, 10)
+#: Similarity to its pivot from which on a text is put into the pivot's cluster. It only
+#: decides which texts are compared together, not which are linked.
+LOOSE = (3, 5)
+#: Texts of one cluster that are compared with those of another at a time.
+BLOCK = 256
 TREES, FULL_DEPTH, RECALL = 24, 8, 0.999
 _BITS = TREES * FULL_DEPTH
 _LONGS = _BITS // 64
@@ -68,24 +70,19 @@ def _signatures(shallow: int):
                 least[:, i] = np.minimum.reduceat(room, starts)
             bits = np.packbits((mix(least) >> np.uint64(63)).astype(np.uint8), axis=1)
             sketch = bits.view(">i8").astype(np.int64)
-            deep, short = [], []
+            tries = []
             for tree in range(TREES):
                 key = np.full(own.size, tree + 1, np.uint64)
-                for depth in range(FULL_DEPTH):
+                for depth in range(shallow):
                     key = mix(key * np.uint64(0x9E3779B97F4A7C15) + least[:, tree * FULL_DEPTH + depth])
-                    if depth + 1 == shallow:
-                        short.append(key)
-                deep.append(key)
-            lists = [
-                pa.FixedSizeListArray.from_arrays(
-                    pa.array(np.column_stack(x).view(np.int64).ravel()), TREES
-                ).cast(pa.list_(pa.int64()))
-                for x in (deep, short)
-            ]
+                tries.append(key)
+            lists = pa.FixedSizeListArray.from_arrays(
+                pa.array(np.column_stack(tries).view(np.int64).ravel()), TREES
+            ).cast(pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node").take(pa.array(own)), pa.array(sizes[own].astype(np.int32)),
-                 *(pa.array(np.ascontiguousarray(sketch[:, j])) for j in range(_LONGS)), *lists],
-                ["node", "n", *(f"s{j}" for j in range(_LONGS)), "deep", "short"],
+                 *(pa.array(np.ascontiguousarray(sketch[:, j])) for j in range(_LONGS)), lists],
+                ["node", "n", *(f"s{j}" for j in range(_LONGS)), "tries"],
             )
 
     return run
@@ -130,73 +127,152 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return joined.select("a", "b", "text", "other").mapInArrow(run, schema)
 
 
+def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between two blocks of texts: how many each node has, and whom it is connected to.
+
+    A block is given by its nodes and their shingle sets. Sizes of intersections are a
+    product of incidence matrices over the shingles that both blocks have, in parts.
+    """
+    def incidence(values: np.ndarray, row: np.ndarray, rows: int, known: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(known, values), known.size - 1)
+        hit = known[at] == values
+        out = np.zeros((rows, known.size), np.float32)
+        out[row[hit], at[hit]] = 1
+        return out
+
+    for batch in batches:
+        nodes, counts, ends = [], [], []
+        for row in range(batch.num_rows):
+            mine, theirs = batch.column("mine")[row].values, batch.column("theirs")[row].values
+            x, y = mine.field("node").to_numpy(), theirs.field("node").to_numpy()
+            lists = [side.field("shingles") for side in (mine, theirs)]
+            size_a, size_b = (np.asarray(side.value_lengths(), np.int64) for side in lists)
+            a, b = (side.flatten().to_numpy() for side in lists)
+            row_a, row_b = np.repeat(np.arange(x.size), size_a), np.repeat(np.arange(y.size), size_b)
+            known = np.intersect1d(a, b)
+            both = np.zeros((x.size, y.size))
+            part = max(1, (8 << 20) // (x.size + y.size))
+            for at in range(0, known.size, part):
+                piece = known[at : at + part]
+                both += incidence(a, row_a, x.size, piece) @ incidence(b, row_b, y.size, piece).T
+            either = size_a[:, None] + size_b[None, :] - both
+            linked = (both * LINK[1] >= either * LINK[0]) & (x[:, None] != y[None, :]) & (both > 0)
+            twice = batch.column("same")[row].as_py()  # one block with itself
+            label = np.arange(x.size + (0 if twice else y.size))
+            far = label.size
+
+            def spread(links: np.ndarray, own: np.ndarray, other: np.ndarray) -> np.ndarray:
+                return np.minimum(own, np.where(links, other[None, :], far).min(1, initial=far))
+
+            while True:
+                old = label
+                left = spread(linked, label[: x.size], label if twice else label[x.size :])
+                label = left if twice else np.append(left, spread(linked.T, label[x.size :], left))
+                if (label == old).all():
+                    break
+            names = x if twice else np.append(x, y)
+            count = linked.sum(1) if twice else np.append(linked.sum(1), linked.sum(0))
+            nodes.append(names[count > 0])
+            counts.append(count[count > 0])
+            ends.append(names[label][count > 0])
+        if nodes:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(nodes)), pa.array(np.concatenate(counts).astype(np.int64)), pa.array(np.concatenate(ends))],
+                ["node", "links", "to"],
+            )
+
+
 def text_links(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(node, cluster, cluster_size) and the links (a, b) between clusters, from (node, text).
+    """How many texts each is linked to, (node, links), and edges (a, b) that connect the
+    classes, from (node, text).
 
     1. Every text enters ``TREES`` tries by a prefix of its MinHash values; a trie is a
        column of prefix hashes, its nodes are the groups of equal ones.
-    2. Full prefixes first: the least node of each group is its pivot, and each text is
-       compared with one pivot, exactly. Those within ``TIGHT`` of it form a cluster, in
-       which every pair is a link, so a group of thousands of copies is never paired.
-    3. Prefixes are shortened to the depth at which a pair of the sought similarity meets
-       with probability ``RECALL``. Clusters that meet there are paired when the sketches
-       of their pivots leave room for a link, their members when their own sketches do,
-       and every such pair is verified on its whole shingle sets.
+    2. Prefixes are shortened from their full length to the depth at which a pair of the
+       sought similarity meets with probability ``RECALL``.
+    3. The least node of each group is its pivot, and each text is compared with one
+       pivot, exactly. Texts half like one pivot form a cluster, so a group of thousands
+       of near copies becomes few clusters without being paired. Clusters that meet in a
+       group are joined where their sketches leave room for a link: 1 - Jaccard is a
+       metric. So every link is inside a joined cluster.
+    4. Joined clusters are compared with themselves in blocks. A comparison looks at whole
+       shingle sets and gives a count and a class for each text, not the pairs. Their
+       number is the square of the blocks of a group, not of its texts.
     """
-    shallow = prefix_depth(LINK[0] / LINK[1])
+    least = LINK[0] / LINK[1]
+    shallow = prefix_depth(least)
     names = [f"s{j}" for j in range(_LONGS)]
-    schema = f"node bigint, n int, {', '.join(f'{s} bigint' for s in names)}, deep array<bigint>, short array<bigint>"
+    schema = f"node bigint, n int, {', '.join(f'{s} bigint' for s in names)}, tries array<bigint>"
     signed = materialize(texts.mapInArrow(_signatures(shallow), schema), "signatures")
     points = materialize(signed.select("node", "n", *names).dropDuplicates(["node"]), "points")
 
-    rows = signed.select("node", F.explode(F.arrays_zip("short", "deep")).alias("k")).select("node", "k.short", "k.deep")
+    rows = signed.select("node", F.explode("tries").alias("short"))
     shared = rows.groupBy("short").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     shared = shared.where("low != high").select("short")
     met = materialize(rows.join(shared, "short").distinct(), "met")
     wanted = met.select("node").distinct()
     bodies = materialize(texts.join(wanted, "node").dropDuplicates(["node"]), "bodies")
 
-    groups = met.groupBy("deep").agg(F.min("node").alias("pivot"), F.max("node").alias("high"))
-    groups = groups.where("pivot != high").select("deep", "pivot")
-    near = met.join(groups, "deep").where("node != pivot").select("node", "pivot").distinct()
+    groups = met.groupBy("short").agg(F.min("node").alias("pivot"), F.max("node").alias("high"))
+    groups = groups.where("pivot != high").select("short", "pivot")
+    near = met.join(groups, "short").where("node != pivot").select("node", "pivot").distinct()
     near = near.join(points.alias("x"), "node").join(
         points.withColumnRenamed("node", "pivot").alias("y"), "pivot"
     )
-    tight = TIGHT[0] / TIGHT[1]
-    fits = _agree("x", "y") >= _least_agreeing(tight)
-    alike = F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * 0.8
-    stars = near.where(fits & alike).groupBy("node").agg(F.min("pivot").alias("b")).withColumnRenamed("node", "a")
+    # Sketches only choose the pivot; whether it holds is decided on the texts.
+    loose = LOOSE[0] / LOOSE[1]
+    fits = (_agree("x", "y") >= _BITS * (1 + loose) / 2) & (F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * loose)
+    stars = near.where(fits).groupBy("node").agg(F.min("pivot").alias("b")).withColumnRenamed("node", "a")
     checked = materialize(verify(stars, bodies), "stars")
-    close = checked.where(F.col("both") * TIGHT[1] >= F.col("either") * TIGHT[0])
+    close = checked.where(F.col("both") * LOOSE[1] >= F.col("either") * LOOSE[0])
     close = close.select(F.col("a").alias("node"), F.col("b").alias("pivot"), (1 - F.col("both") / F.col("either")).alias("far"))
-    placed = points.join(close, "node", "left").withColumn("cluster", F.coalesce("pivot", "node"))
-    members = materialize(placed.drop("pivot").fillna(0.0, ["far"]), "members")
+    placed = wanted.join(close, "node", "left").withColumn("cluster", F.coalesce("pivot", "node"))
+    members = materialize(placed.fillna(0.0, ["far"]).select("node", "cluster", "far"), "members")
 
-    sizes = members.groupBy("cluster").agg(F.count("*").alias("cluster_size"), F.max("far").alias("radius"))
-    centres = sizes.join(points.withColumnRenamed("node", "cluster"), "cluster")
+    sizes = members.groupBy("cluster").agg(F.count("*").alias("size"), F.max("far").alias("radius"))
+    sizes = materialize(sizes.join(points.withColumnRenamed("node", "cluster"), "cluster"), "sizes")
     at = met.join(members.select("node", "cluster"), "node").select("short", "cluster").distinct()
-    at = at.join(centres, "cluster")
+    several = at.groupBy("short").agg(F.min("cluster").alias("low"), F.max("cluster").alias("high"))
+    at = at.join(several.where("low != high").select("short"), "short").join(sizes, "cluster")
     left, right = at.alias("x"), at.alias("y")
-    room = F.col("x.radius") + F.col("y.radius")
+    room = F.greatest(F.lit(0.0), least - F.col("x.radius") - F.col("y.radius"))
     meets = left.join(
         right,
         (F.col("x.short") == F.col("y.short"))
         & (F.col("x.cluster") < F.col("y.cluster"))
-        & (_agree("x", "y") >= _least_agreeing(F.greatest(F.lit(0.0), LINK[0] / LINK[1] - room)))
-        & (F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * F.greatest(F.lit(0.0), LINK[0] / LINK[1] - room)),
+        & (_agree("x", "y") >= _least_agreeing(room))
+        & (F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * (room - 1e-9)),
     )
     meets = meets.select(F.col("x.cluster").alias("c"), F.col("y.cluster").alias("d")).distinct()
-    one, two = members.alias("x"), members.alias("y")
-    pairs = meets.join(one, F.col("c") == F.col("x.cluster")).join(
-        two,
-        (F.col("d") == F.col("y.cluster"))
-        & (_agree("x", "y") >= _least_agreeing(F.lit(LINK[0] / LINK[1])))
-        & (F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * (LINK[0] / LINK[1] - 0.2)),
+    joined = components(meets, "c", "d").withColumnRenamed("id", "cluster")
+    placed = members.join(joined, "cluster", "left").select("node", F.coalesce("label", "cluster").alias("c"))
+    placed = materialize(placed, "joined")
+    split = placed.groupBy("c").agg(F.count("*").alias("size")).where("size > 1")
+    split = split.select("c", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            values, sizes = shingles(Words(batch.column("text")))
+            ends = np.cumsum(sizes)
+            lists = [np.unique(values[e - n : e].view(np.int64)) for n, e in zip(sizes, ends)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array(lists, pa.list_(pa.int64()))], ["node", "shingles"]
+            )
+
+    held = placed.join(split, "c").join(bodies.mapInArrow(sets, "node bigint, shingles array<bigint>"), "node")
+    held = held.groupBy("c", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("i")).agg(
+        F.collect_list(F.struct("node", "shingles")).alias("mine")
     )
-    pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    links = verify(pairs, bodies).where(F.col("both") * LINK[1] >= F.col("either") * LINK[0])
-    links = materialize(links.select("a", "b"), "links")
-    return members.select("node", "cluster").join(sizes.select("cluster", "cluster_size"), "cluster"), links
+    held = materialize(held, "blocks")
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    units = split.select("c", F.explode(every).alias("i"), "blocks").select("c", "i", F.explode(every).alias("j")).where("i <= j")
+    theirs = held.select("c", F.col("i").alias("j"), F.col("mine").alias("theirs"))
+    facing = units.join(held, ["c", "i"]).join(theirs, ["c", "j"])
+    facing = facing.select(F.expr("i = j").alias("same"), "mine", "theirs")
+    found = materialize(facing.mapInArrow(_block_links, "node bigint, links bigint, to bigint"), "links")
+    counts = found.groupBy("node").agg(F.sum("links").alias("links"))
+    edges = found.select(F.col("node").alias("a"), F.col("to").alias("b"))
+    return counts, edges
 
 
 def join_similar(docs: DataFrame) -> DataFrame:
@@ -215,19 +291,15 @@ def join_similar(docs: DataFrame) -> DataFrame:
     """
     body = F.coalesce(F.col("text").cast("string"), F.lit(""))
     hashed = docs.select("doc_id", body.alias("text")).withColumn("node", F.xxhash64("text"))
-    clusters, links = text_links(hashed.select("node", "text"))
-    clusters = materialize(clusters, "clusters")
-    ties = clusters.where("node != cluster").select(F.col("node").alias("a"), F.col("cluster").alias("b"))
-    labels = components(ties.unionByName(links)).select(F.col("id").alias("node"), "label")
-    ends = links.select("a").unionByName(links.select(F.col("b").alias("a")))
-    degrees = ends.groupBy("a").agg(F.count("*").alias("outer")).withColumnRenamed("a", "node")
+    counts, edges = text_links(hashed.select("node", "text"))
+    labels = components(edges).select(F.col("id").alias("node"), "label")
 
     slim = hashed.select("doc_id", "node")
     nodes = slim.groupBy("node").agg(F.count("*").alias("n_copies"), F.min("doc_id").alias("least"))
-    nodes = nodes.join(clusters, "node", "left").join(degrees, "node", "left").join(labels, "node", "left")
+    nodes = nodes.join(counts, "node", "left").join(labels, "node", "left")
     nodes = nodes.select(
         "node", "n_copies", "least", F.coalesce("label", "node").alias("class_node"),
-        (F.coalesce("cluster_size", F.lit(1)) - 1 + F.coalesce("outer", F.lit(0))).cast("long").alias("n_links"),
+        F.coalesce("links", F.lit(0).cast("long")).alias("n_links"),
     )
     nodes = materialize(nodes, "nodes")
     classes = nodes.groupBy("class_node").agg(F.min("least").alias("class_id"))
