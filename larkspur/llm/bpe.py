@@ -23,10 +23,10 @@ from pyspark.sql import functions as F
 from larkspur.llm.scan import slices
 from larkspur.llm.token_counts import safe_pieces
 
-BATCH_BYTES = 12 << 20
+BATCH_BYTES = 4 << 20
 # Different pieces of text that a task remembers between batches.
-REMEMBERED = 500_000
-_NONE = np.int64(1 << 40)
+REMEMBERED = 200_000
+_NONE = np.int32(1 << 30)
 _SHIFT = 24
 
 
@@ -41,7 +41,7 @@ class Merges:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
-        self.byte_id = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        self.byte_id = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         pairs = {}
         for token, rank in ranks.items():
             for cut in range(1, len(token)):
@@ -49,7 +49,7 @@ class Merges:
                 if left is not None and right is not None:
                     pairs[left << _SHIFT | right] = rank
         self.keys = np.array(sorted(pairs), np.int64)
-        self.values = np.array([pairs[k] for k in self.keys.tolist()], np.int64)
+        self.values = np.array([pairs[k] for k in self.keys.tolist()], np.int32)
         self.keys = np.append(self.keys, np.int64(1) << 62)
         self.values = np.append(self.values, _NONE)
         left, right = np.divmod(np.arange(1 << 16), 256)
@@ -57,7 +57,7 @@ class Merges:
 
     def lookup(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of the merge of each pair, or a large number where there is none."""
-        wanted = (left << _SHIFT) | right
+        wanted = (left.astype(np.int64) << _SHIFT) | right
         at = np.searchsorted(self.keys, wanted)
         return np.where(self.keys[at] == wanted, self.values[at], _NONE)
 
@@ -96,15 +96,15 @@ class Merges:
         return out
 
     def _replay(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, set[int]]:
-        flat = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
+        flat = np.frombuffer(b"".join(words), np.uint8).astype(np.int32)
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         ends = np.cumsum(sizes)
         n = flat.size  # position n stands for: beyond the word
-        token = np.append(self.byte_id[flat], 0)
-        after, before = np.arange(1, n + 2), np.arange(-1, n)
+        token = np.append(self.byte_id[flat], np.int32(0))
+        after, before = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
         after[ends - 1] = n
         before[ends - sizes] = n
-        rank = np.full(n + 1, _NONE)
+        rank = np.full(n + 1, _NONE, np.int32)
         inner = np.flatnonzero(after[:n] < n)
         rank[inner] = self.of_bytes[flat[inner] * 256 + flat[inner + 1]]
         alive = np.ones(n, bool)

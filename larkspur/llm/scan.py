@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 
 WORD = r"[^\x20\x09-\x0D]+"
 # Bytes of text worked on at a time; one longer text is a slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)

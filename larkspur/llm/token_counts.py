@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from larkspur.llm.scan import slices
 
 # Bytes of text that are split into pieces and encoded at a time, and pieces remembered.
-BATCH_BYTES = 8 << 20
-REMEMBERED = 300_000
+BATCH_BYTES = 4 << 20
+REMEMBERED = 200_000
 LIMIT = 512
 
 
