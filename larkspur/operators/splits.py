@@ -20,8 +20,8 @@ _EARLY_LIMIT = 1000
 
 
 def key_hash(key: Column | str, salt: str = "") -> Column:
-    """Uniform 32-bit number from the text of a key."""
-    text = (F.col(key) if isinstance(key, str) else key).cast("string")
+    """Uniform 32-bit number from the text of a key; null counts as empty text."""
+    text = F.coalesce((F.col(key) if isinstance(key, str) else key).cast("string"), F.lit(""))
     digest = F.md5(F.concat(F.lit(salt), text) if salt else text)
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
 

@@ -6,6 +6,7 @@ metric per combination.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from itertools import product
@@ -142,9 +143,13 @@ def tune_grid(
         fits = estimator.fitMultiple(train_rows, list(grid))
         for index, model, metric in pool.imap_unordered(trial, range(len(grid))):
             metrics[index] = metric
-            # Only the best model so far is kept.
-            if best is None or (sign * metric, -index) > (sign * metrics[best[0]], -best[0]):
+            # Only the best model so far is kept; one without a metric is none.
+            if not math.isnan(metric) and (
+                best is None or (sign * metric, -index) > (sign * metrics[best[0]], -best[0])
+            ):
                 best = (index, model)
+    if best is None:
+        raise ValueError("no combination has a metric")
     index, model = best
     return Tuned(
         model=model,

@@ -59,17 +59,20 @@ def read_items(spark: SparkSession, path: str) -> DataFrame:
     return read_delimited(spark, path, "|", ITEM_SCHEMA, header=False)
 
 
-def rating_splits(ratings: DataFrame, order: list[str]) -> Iterator[tuple[str, DataFrame, DataFrame]]:
+def rating_splits(
+    ratings: DataFrame, order: list[str], max_test: int = 0
+) -> Iterator[tuple[str, DataFrame, DataFrame]]:
     """(name, base, test): five position folds, then the first and second ten per user.
 
     ``order`` is the unique column order that stands for the order of the file.
+    ``max_test`` above 0 caps the test rows of the last two, as the file format does.
     """
     folds = splits.split_kfold(ratings, order, 5)
     for i in range(5):
         test, base = split_by(folds, F.col("fold") == i)
         yield f"u{i + 1}", base.drop("fold"), test.drop("fold")
     for name, start in (("ua", 1), ("ub", 11)):
-        labelled = splits.split_nth_per_key(ratings, "user", order, start, start + 9, 100_000)
+        labelled = splits.split_nth_per_key(ratings, "user", order, start, start + 9, max_test)
         test, base = split_by(labelled, F.col("split") == "test")
         yield name, base.drop("split"), test.drop("split")
 

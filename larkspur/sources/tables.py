@@ -31,7 +31,8 @@ def spread(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes").removesuffix("b"))
+    # The setting may carry any unit, so the session's own parser reads it.
+    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return df.repartition(cores) if size < cores * split else df
 

@@ -44,6 +44,7 @@ def test_scans_read_only_what_is_needed(spark):
 def test_entry_points(spark):
     import __spark_entry__ as contract
 
-    assert set(contract.oracle_sql()) == set(contract.queries()) == set(REGISTRY)
+    assert set(contract.oracle_sql()) >= set(REGISTRY) and set(contract.queries()) >= set(REGISTRY)
+    assert set(contract.queries()) >= set(contract.oracle_sql())
     flagship = contract.entry(spark)
     assert flagship.columns == ["n_name", "count"] and flagship.count() > 1
