@@ -10,6 +10,9 @@ from larkspur.llm.scan import WORD
 SPACE = r"[\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
 BARS = "[|»›•]"
+BLANKS = " \t\n\x0b\f\r"
+CLOSING_MARKS = ".!?…:;\"')]”»"
+#: The same as a pattern, for SQL.
 CLOSING = "[.!?…:;\"')\\]”»]" + SPACE + "*$"
 #: Phrases of lines that repeat on every page of a site. Fixed values.
 BOILERPLATE = [
@@ -29,20 +32,31 @@ def visible(text: Column) -> Column:
     return (F.length(text) - F.regexp_count(text, F.lit(SPACE))).cast("long")
 
 
-def word_windows(words: Column) -> Column:
-    """(hash, position) of every 3-word window of a text; null below three words."""
-    last = F.size(words) - 2
+def _windows(hashes: Column) -> Column:
+    """Hash of every 3-word window of a text, from the hashes of its words."""
+    last = F.size(hashes) - 3
     return F.when(
-        last >= 1,
+        last >= 0,
         F.transform(
-            F.sequence(F.lit(1), last),
-            lambda i: F.struct(
-                F.xxhash64(F.get(words, i - 1), F.get(words, i), F.get(words, i + 1)).alias("h"), i.alias("i")
-            ),
+            F.sequence(F.lit(0), last),
+            lambda i: F.xxhash64(F.get(hashes, i), F.get(hashes, i + 1), F.get(hashes, i + 2)),
         ),
     )
 
 
+def _closed(line: Column) -> Column:
+    """Whether the last character that is no white space is a closing mark."""
+    return F.substring(F.rtrim(line, F.lit(BLANKS)), -1, 1).isin(*CLOSING_MARKS)
+
+
+def _boiler(text: Column) -> Column:
+    low = F.lower(text)
+    found = F.lit(False)
+    for phrase in BOILERPLATE:
+        found = found | low.contains(phrase)
+    return found
+
+
 def line_fails(line: Column) -> Column:
     """Whether a line with words fails a rule.
 
@@ -53,17 +67,13 @@ def line_fails(line: Column) -> Column:
     words = F.regexp_count(line, F.lit(WORD))
     bars = F.regexp_count(line, F.lit(BARS))
     symbols = F.regexp_count(line, F.lit(SYMBOLS))
-    low = F.lower(line)
-    boiler = F.lit(False)
-    for phrase in BOILERPLATE:
-        boiler = boiler | low.contains(phrase)
+    # Counting waits for a look at whether there is anything to count.
     return (
-        ~line.rlike(CLOSING)
-        | (symbols * 5 >= visible(line))
-        | (F.regexp_count(line, F.lit("!!")) >= 3)
-        | (bars >= 3)
-        | ((bars >= 1) & (bars * 4 >= words))
-        | boiler
+        ~_closed(line)
+        | (line.rlike(SYMBOLS) & (symbols * 5 >= visible(line)))
+        | (line.contains("!!") & (F.regexp_count(line, F.lit("!!")) >= 3))
+        | (line.rlike(BARS) & ((bars >= 3) | (bars * 4 >= words)))
+        | _boiler(line)
     )
 
 
@@ -80,47 +90,61 @@ def clean_lines(docs: DataFrame) -> DataFrame:
     that bear one of the new names are replaced.
     """
     none = F.coalesce(F.col("text"), F.lit(""))
-    words, lines, windows = F.col("_words"), F.col("_lines"), F.col("_windows")
+    words, lines, hashes = F.col("_words"), F.col("_lines"), F.col("_hashes")
     df = docs.withColumn("_text", none)
     df = df.withColumns({
         "_words": word_array(F.col("_text")),
         "_lines": F.filter(F.split("_text", "\n"), lambda x: x.rlike(WORD)),
+        "n_symbols": F.regexp_count("_text", F.lit(SYMBOLS)).cast("long"),
     })
-    # Sorted by hash, equal windows are neighbours. The positions that are left are sorted
+    df = df.withColumn("_each", F.transform(words, lambda w: F.xxhash64(w)))
+    df = df.withColumn("_hashes", _windows(F.col("_each")))
+    # Most texts repeat no window, which their number of different ones tells. Elsewhere,
+    # sorted by hash, equal windows are neighbours. The positions that are left are sorted
     # again, and each covers three words or those up to the next one.
-    df = df.withColumn("_windows", F.array_sort(word_windows(words)))
-    at = F.sequence(F.lit(0), F.size(windows) - 1)
+    df = df.withColumn(
+        "_windows",
+        F.when(
+            F.size(F.array_distinct(hashes)) < F.size(hashes),
+            F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
+        ),
+    )
+    windows = F.col("_windows")
     same = F.filter(
-        at,
+        F.sequence(F.lit(0), F.size(windows) - 1),
         lambda j: (F.get(windows, j)["h"] == F.get(windows, j - 1)["h"]).eqNullSafe(F.lit(True))
         | (F.get(windows, j)["h"] == F.get(windows, j + 1)["h"]).eqNullSafe(F.lit(True)),
     )
-    df = df.withColumn("_same", F.array_sort(F.transform(same, lambda j: F.get(windows, j)["i"])))
+    same = F.sort_array(F.transform(same, lambda j: F.get(windows, j)["i"]))
+    df = df.withColumn("_same", F.when(windows.isNotNull(), same))
     same = F.col("_same")
+    # There are at least two positions, or none.
     covered = F.aggregate(
         F.zip_with(
-            same,
-            F.when(F.size(same) > 1, F.slice(same, F.lit(2), F.size(same) - 1)).otherwise(F.expr("cast(array() as array<int>)")),
+            same, F.slice(same, F.lit(2), F.size(same) - 1),
             lambda here, after: F.least(F.lit(3), F.coalesce(after - here, F.lit(3))),
         ),
         F.lit(0).cast("long"),
         lambda total, x: total + x,
     )
+    # Where a text holds nothing of what the other rules look for, its lines need but end well.
+    plain = (F.col("n_symbols") == 0) & ~F.col("_text").contains("!!") & ~F.col("_text").rlike(BARS) & ~_boiler(F.col("_text"))
     df = df.withColumns({
-        "_good": F.filter(lines, lambda x: ~line_fails(x)),
+        "_good": F.when(plain, F.filter(lines, _closed)).otherwise(F.filter(lines, lambda x: ~line_fails(x))),
         "n_words": F.size(words).cast("long"),
-        "word_chars": visible(F.col("_text")),
-        "n_symbols": F.regexp_count("_text", F.lit(SYMBOLS)).cast("long"),
+        "word_chars": F.length(F.array_join(words, "")).cast("long"),
         "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
-        "n_repeat_words": F.coalesce(covered, F.lit(0).cast("long")),
+        "n_repeat_words": F.when(same.isNotNull(), covered).otherwise(F.lit(0).cast("long")),
     })
     df = df.withColumns({
         "clean_text": F.concat_ws("\n", "_good"),
         "base_failed": (F.col("n_words") < MIN_WORDS)
         | (100 * F.col("n_repeat_words") > int(100 * MAX_REPEATED) * F.col("n_words")),
     })
-    df = df.withColumn("lost_chars", F.col("word_chars") - visible(F.col("clean_text")))
+    lost = F.col("word_chars") - visible(F.col("clean_text"))
+    whole = F.size("_good") == F.size("_lines")
+    df = df.withColumn("lost_chars", F.when(whole, F.lit(0).cast("long")).otherwise(lost))
     df = df.withColumn(
         "kept", ~F.col("base_failed") & (F.col("lost_chars") <= MAX_LOST * F.col("word_chars"))
     )
-    return df.drop("_text", "_words", "_lines", "_windows", "_same", "_good")
+    return df.drop("_text", "_words", "_lines", "_each", "_hashes", "_windows", "_same", "_good")
