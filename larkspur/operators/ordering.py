@@ -31,6 +31,12 @@ _TOP_MERGED = 100_000
 _MAX_HOT = 10_000
 
 
+def _row_hash(df: DataFrame) -> Column:
+    # Maps cannot be hashed; rows that differ in those only are told apart like copies.
+    parts = [F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind]
+    return F.xxhash64(*parts) if parts else F.lit(0)
+
+
 def sort_rows(df: DataFrame, *order: Order) -> DataFrame:
     """Total order over all rows.
 
@@ -39,22 +45,21 @@ def sort_rows(df: DataFrame, *order: Order) -> DataFrame:
     they come from, so that a value owning much of the data is cut into ranges too.
     Both are the same again when a lost task is repeated.
     """
-    # Maps cannot be hashed; rows that differ in those only are told apart like copies.
-    parts = [F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind]
-    tie = F.xxhash64(*parts) if parts else F.lit(0)
-    tagged = df.withColumns({"_tie": tie, "_from": F.spark_partition_id()})
+    tagged = df.withColumns({"_tie": _row_hash(df), "_from": F.spark_partition_id()})
     return tagged.orderBy(*order, "_tie", "_from").drop("_tie", "_from")
 
 
 def top_k(df: DataFrame, k: int, *order: Order) -> DataFrame:
-    """First ``k`` rows of an ordering.
+    """First ``k`` rows of an ordering, in that order; ties go by a hash of the row.
 
     Each task keeps no more than ``k`` rows and the driver merges them; where ``k``
-    is too large for that, rows are chosen by their position instead.
+    is too large for that, rows are chosen by their position instead. Both ways give
+    the same rows in the same order.
     """
     if k <= _TOP_MERGED:
-        return df.orderBy(*order).limit(k)
-    return with_position(df, order, "_position").filter(F.col("_position") < k).drop("_position")
+        return df.withColumn("_tie", _row_hash(df)).orderBy(*order, "_tie").limit(k).drop("_tie")
+    first = with_position(df, order, "_position").filter(F.col("_position") < k)
+    return first.orderBy("_position").drop("_position")
 
 
 def with_position(df: DataFrame, order: Sequence[Order], name: str = "position") -> DataFrame:

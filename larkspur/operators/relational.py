@@ -30,11 +30,10 @@ def group_count(
 def group_share(df: DataFrame, key: str, digits: int = 1) -> DataFrame:
     """Rows per key and their percentage of all rows.
 
-    The total is a scalar subquery: counting whole rows needs no column, so a
-    columnar scan answers it from file footers.
+    The total adds up the counts, so that the input is grouped once.
     """
-    total = df.agg(F.count("*")).scalar()
     counts = group_count(df, key)
+    total = counts.agg(F.sum("count")).scalar()
     return counts.withColumn("share", F.round(F.col("count") * 100.0 / total, digits))
 
 
@@ -46,9 +45,20 @@ def count_distinct(df: DataFrame, columns: str | Sequence[str]) -> DataFrame:
 def crosstab(df: DataFrame, a: str, b: str, values: Sequence | None = None) -> DataFrame:
     """Contingency table: one row per ``a``, one column per ``b``, 0 for empty cells.
 
-    Listing ``values`` saves the extra pass that finds the distinct ones.
+    Listing ``values`` saves the extra pass that finds the distinct ones. A value that
+    is not listed is an error.
     """
-    cells = df.groupBy(F.col(a).alias(f"{a}_{b}")).pivot(b, values).agg(F.count(F.lit(1)))
+    if values is not None:
+        listed = reduce(lambda x, y: x | y, [F.col(b).eqNullSafe(F.lit(v)) for v in values], F.lit(False))
+        counts = {str(v): F.count_if(F.col(b).eqNullSafe(F.lit(v))) for v in values}
+        cells = df.groupBy(F.col(a).alias(f"{a}_{b}")).agg(
+            F.struct(*[count.alias(name) for name, count in counts.items()]).alias("_cells"),
+            F.count_if(~listed).alias("_others"),
+        )
+        complaint = F.raise_error(F.lit(f"{b} has values that are not listed"))
+        checked = F.when(F.col("_others") == 0, F.col("_cells")).otherwise(complaint)
+        return cells.withColumn("_cells", checked).select(f"{a}_{b}", "_cells.*")
+    cells = df.groupBy(F.col(a).alias(f"{a}_{b}")).pivot(b).agg(F.count(F.lit(1)))
     row, *counts = cells.columns
     return cells.select(row, *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias(c) for c in counts])
 
@@ -113,12 +123,14 @@ def lookup(
     how: str = "left",
     strict: bool = False,
 ) -> DataFrame:
-    """Decorate ids with one column of a dimension that is unique on its key.
+    """Decorate ids with one column of a dimension.
 
+    Where the dimension repeats a key the least value is taken, so no row is repeated.
     ``strict`` makes a missing key an error, as a dictionary lookup would.
     """
     fk, pk = key
-    side = dim.select(F.col(pk).alias("_pk"), F.col(value).alias("_value"), F.lit(True).alias("_hit"))
+    side = dim.groupBy(F.col(pk).alias("_pk")).agg(F.min(value).alias("_value"))
+    side = side.withColumn("_hit", F.lit(True))
     joined = df.join(side, F.col(fk) == F.col("_pk"), how)
     text: Column = F.col("_value")
     if strict:

@@ -366,7 +366,7 @@ def agg_count_distinct(spark: SparkSession, sf: str) -> DataFrame:
 )
 def agg_crosstab(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders")
-    return relational.crosstab(orders, "o_orderpriority", "o_orderstatus", ["F", "O", "P"])
+    return relational.crosstab(orders, "o_orderpriority", "o_orderstatus")
 
 
 @query(

@@ -130,7 +130,7 @@ def flt_header_rows(spark: SparkSession, sf: str) -> DataFrame:
 def snk_split_write(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events").select("event_id", "user_id", "ts")
     labelled = splits.split_nth_per_key(events, "user_id", ["ts", "event_id"], 1, 10)
-    test, base = relational.split_by(labelled, F.col("split") == "test")
-    paths = write_split(base, test, scratch_path(spark, "split"), ["user_id", "event_id"])
-    sides = [spark.read.parquet(p).withColumn("side", F.lit(s)) for s, p in paths.items()]
+    paths = write_split(labelled, scratch_path(spark, "split"), ["user_id", "event_id"])
+    reader = spark.read.schema(events.schema)
+    sides = [reader.parquet(p).withColumn("side", F.lit(s)) for s, p in paths.items()]
     return sides[0].unionByName(sides[1]).select("event_id", "user_id", "side")

@@ -22,13 +22,17 @@ def register(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rebalance a frame that is too small to give every core a part.
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal a frame out to ``partitions`` parts, or rebalance one that is too small.
 
     Repeated passes over one big row group, or a few small files, would keep most
     cores idle. From the size on at which a scan is split for all cores anyway, the
-    frame is left alone, so that large data is never shuffled for this.
+    frame is left alone, so that large data is never shuffled for this. That layout
+    depends on the cores, and what draws random numbers by partition depends on it;
+    give ``partitions`` where results must be the same on any cluster.
     """
+    if partitions is not None:
+        return df.repartition(partitions)
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     # The setting may carry any unit, so the session's own parser reads it.
@@ -38,13 +42,13 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 @contextmanager
-def cached(*frames: DataFrame) -> Iterator[tuple[DataFrame, ...]]:
+def cached(*frames: DataFrame, partitions: int | None = None) -> Iterator[tuple[DataFrame, ...]]:
     """Keep frames for the repeated passes of an iterative fit, then release them.
 
-    Small frames are spread over all cores first. Blocks spill to disk, and a block
-    lost with its executor is recomputed.
+    They are laid out by :func:`spread` first. Blocks spill to disk, and a block lost
+    with its executor is recomputed.
     """
-    kept = tuple(spread(frame).persist(StorageLevel.MEMORY_AND_DISK) for frame in frames)
+    kept = tuple(spread(frame, partitions).persist(StorageLevel.MEMORY_AND_DISK) for frame in frames)
     try:
         yield kept
     finally:
@@ -52,13 +56,13 @@ def cached(*frames: DataFrame) -> Iterator[tuple[DataFrame, ...]]:
             frame.unpersist()
 
 
-def write_split(base: DataFrame, test: DataFrame, path: str, by: Sequence[str]) -> dict[str, str]:
-    """Write both sides of a split, each globally sorted by ``by``.
+def write_split(labelled: DataFrame, path: str, by: Sequence[str], label: str = "split") -> dict[str, str]:
+    """Write the rows of each split in a folder of its own, globally sorted by ``by``.
 
-    The sort is a range partitioning, so part files follow one another in key
-    order and no task holds more than its own range.
+    The rows are sorted once, by split and ``by``. The sort is a range partitioning,
+    so part files follow one another in key order and no task holds more than its own
+    range. A split without rows is a folder without files.
     """
-    sides = {"base": base, "test": test}
-    for name, side in sides.items():
-        sort_rows(side, *by).write.mode("overwrite").parquet(f"{path}/{name}")
-    return {name: f"{path}/{name}" for name in sides}
+    sort_rows(labelled, label, *by).write.mode("overwrite").partitionBy(label).parquet(path)
+    names = ("base", "test")
+    return {name: f"{path}/{label}={name}" for name in names}

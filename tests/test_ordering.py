@@ -90,7 +90,14 @@ def test_top_k_by_merge_and_by_position(spark, monkeypatch):
     plan = ordering.top_k(df, 5, "v")._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
     monkeypatch.setattr(ordering, "_TOP_MERGED", 3)
-    assert sorted(r["v"] for r in ordering.top_k(df, 5, F.desc("v")).collect()) == sorted(small)
+    assert [r["v"] for r in ordering.top_k(df, 5, F.desc("v")).collect()] == small
+
+
+def test_top_k_breaks_ties_alike_either_way(spark, monkeypatch):
+    df = spark.range(600).select("id", (F.col("id") % 3).alias("v")).repartition(7)
+    merged = [tuple(r) for r in ordering.top_k(df, 250, "v").collect()]
+    monkeypatch.setattr(ordering, "_TOP_MERGED", 249)
+    assert [tuple(r) for r in ordering.top_k(df.repartition(4), 250, "v").collect()] == merged
 
 
 def test_odd_columns_pass_through(spark):

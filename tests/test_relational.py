@@ -64,6 +64,12 @@ def test_lookup(spark, places):
         relational.lookup(ids, places, ("z", "zipcode"), "state", strict=True).collect()
 
 
+def test_lookup_of_a_repeated_key_keeps_the_rows(spark):
+    ids = spark.createDataFrame([(1,), (2,)], "z int")
+    dim = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c")], "k int, name string")
+    assert rows(relational.lookup(ids, dim, ("z", "k"), "name")) == [(1, "a"), (2, "c")]
+
+
 def test_crosstab_equals_builtin(people):
     ours = relational.crosstab(people, "job", "gender")
     builtin = people.stat.crosstab("job", "gender")
@@ -72,6 +78,8 @@ def test_crosstab_equals_builtin(people):
     assert rows(relational.crosstab(people, "job", "gender", ["F", "M", "X"])) == [
         ("other", 1, 1, 0), ("writer", 2, 1, 0)
     ]
+    with pytest.raises(PySparkException, match="not listed"):
+        relational.crosstab(people, "job", "gender", ["F", "X"]).collect()
 
 
 def test_crosstab_of_numbers_keeps_the_null_row(spark):

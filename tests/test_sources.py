@@ -97,9 +97,17 @@ def test_spread_leaves_large_frames_alone(spark):
     assert spread(large) is large
 
 
+def test_spread_takes_a_number(spark):
+    df = spark.range(1000, numPartitions=3)
+    assert spread(df, 7).rdd.getNumPartitions() == 7
+    with cached(df, partitions=5) as (kept,):
+        assert kept.rdd.getNumPartitions() == 5
+
+
 def test_split_is_written_sorted(spark, tmp_path, events):
     test, base = events.filter("id % 2 = 0"), events.filter("id % 2 = 1")
-    paths = write_split(base, test, str(tmp_path / "s"), ["user", "at"])
+    labelled = events.selectExpr("*", "if(id % 2 = 0, 'test', 'base') as split")
+    paths = write_split(labelled, str(tmp_path / "s"), ["user", "at"])
     rows = [tuple(r) for r in spark.read.parquet(paths["test"]).collect()]
     assert len(rows) == test.count() and spark.read.parquet(paths["base"]).count() == base.count()
     # Within each part file rows are in key order.
