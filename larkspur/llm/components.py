@@ -43,7 +43,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             ).alias("o")
         ).select("o.*")
         hung = offers.groupBy("id").agg(F.min("old").alias("old"), F.min("new").alias("new"))
-        hung = materialize(hung, "hung")
         roots = hung.select(F.col("id").alias("new"), F.col("new").alias("root"))
         jumped = materialize(
             hung.join(roots, "new").select("id", "old", F.col("root").alias("label")), "labels"
