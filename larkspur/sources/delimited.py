@@ -16,14 +16,23 @@ def read_delimited(
     sep: str = ",",
     schema: StructType | str | None = None,
     header: bool = True,
+    null: str = "",
+    multiline: bool = False,
 ) -> DataFrame:
     """Read quoted, delimited text.
 
     Without a schema every column is a string and no inference pass over the data
     is made. With one, a field that does not parse becomes null instead of failing
     the job, so dirty columns should be declared as strings and cleaned afterwards.
+
+    ``null`` is the text that stands for null; where it is not the empty text, empty
+    fields stay empty. ``multiline`` allows line breaks inside quotes; each file is
+    then read whole by one task, so large exports need many files.
     """
-    reader = spark.read.options(sep=sep, header=header, quote='"', escape='"', inferSchema=False)
+    reader = spark.read.options(
+        sep=sep, header=header, quote='"', escape='"', inferSchema=False,
+        nullValue=null, emptyValue="", multiLine=multiline,
+    )
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(path)
@@ -58,7 +67,16 @@ def apply_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return df.select([F.col(name).try_cast(kind).alias(name) for name, kind in types.items()])
 
 
-def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = True) -> str:
-    """Write every value quoted, as the text exports the readers expect."""
-    df.write.options(sep=sep, header=header, quoteAll=True, escape='"').csv(path)
+def write_delimited(
+    df: DataFrame, path: str, sep: str = ",", header: bool = True, null: str = ""
+) -> str:
+    """Write every value quoted, as the text exports the readers expect.
+
+    Text with line breaks comes back whole only with ``multiline``, and empty text
+    only with a ``null`` that no value equals; give the same one to the reader.
+    """
+    options = {"sep": sep, "header": header, "quoteAll": True, "escape": '"'}
+    # By default the writer trims white space, line breaks included, off both ends.
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.options(**options, **kept, nullValue=null, emptyValue="").csv(path)
     return path

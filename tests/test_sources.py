@@ -142,3 +142,11 @@ def test_load_or_fit(spark, tmp_path):
     with pytest.raises(Exception):
         load_or_fit(spark, broken, StandardScalerModel, fit)
     assert len(fits) == 1
+
+
+def test_line_breaks_empty_text_and_null_survive(spark, tmp_path):
+    values = [(1, 'one\ntwo, "three"\n'), (2, ""), (3, None), (4, "plain"), (5, " spaced ")]
+    rows = spark.createDataFrame(values, "id int, text string")
+    path = write_delimited(rows, str(tmp_path / "out"), null="\\N")
+    back = read_delimited(spark, path, schema="id int, text string", null="\\N", multiline=True)
+    assert sorted(map(tuple, back.collect())) == values
