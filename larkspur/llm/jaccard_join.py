@@ -52,12 +52,23 @@ def shingles(words: Words, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     return values, sizes
 
 
+def different(values: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different values of each text, text by text, and how many each has."""
+    text = np.repeat(np.arange(sizes.size), sizes)
+    order = np.lexsort((values, text))
+    values, text = values[order], text[order]
+    new = np.ones(values.size, bool)
+    new[1:] = (values[1:] != values[:-1]) | (text[1:] != text[:-1])
+    return values[new], np.bincount(text[new], minlength=sizes.size)
+
+
 def _signatures(shallow: int):
     multipliers, shifts = stream(7, _BITS) | np.uint64(1), stream(8, _BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            values, sizes = shingles(Words(batch.column("text")))
+            # Sizes of sets: repeats would make their ratio no bound on the similarity.
+            values, sizes = different(*shingles(Words(batch.column("text"))))
             own = np.flatnonzero(sizes)
             if not own.size:
                 continue

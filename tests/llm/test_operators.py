@@ -131,6 +131,22 @@ def test_similarity_join_against_brute_force(spark, awkward):
     assert sorted(r.doc_id for r in kept.collect()) == [0, 2, 3, 4, 5, 8, 10, 11, 12]
 
 
+def test_repeated_passages_do_not_part_near_copies(spark):
+    """A text and the same text two or six times over: like sets, unlike numbers of shingles."""
+    random.seed(4)
+    rows = []
+    for i, times in enumerate((1, 2, 1, 6, 3)):
+        if times != 2 and times != 6:
+            own = " ".join("r%d" % random.randrange(10**6) for _ in range(100))
+        rows.append((i, " ".join([own] * times)))
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for _, t in rows)]
+    near = [[j for j, b in enumerate(sets) if 5 * len(a & b) >= 4 * len(a | b)] for a in sets]
+    assert near == [[0, 1], [0, 1], [2, 3], [2, 3], [4]]
+    found = sorted(jaccard_join.join_similar(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+    assert [r.n_links for r in found] == [len(own) - 1 for own in near]
+    assert [r.class_id for r in found] == [min(own) for own in near]
+
+
 def test_many_near_copies_are_one_class(spark):
     random.seed(1)
     base = ["v%d" % random.randrange(5000) for _ in range(120)]
