@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame
@@ -23,6 +23,8 @@ CANONICAL = r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>"""
 HREF = r"""(?is)\bhref\s*=\s*["']?([^"'\s>]+)"""
 REFRESH = r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""
 TARGET = r"""(?is)\burl\s*=\s*["']?([^"'\s>]+)"""
+BASE = r"""(?is)<base\b[^>]*\bhref\s*=\s*["']?([^"'\s>]+)"""
+AMPERSAND = r"(?i)&(amp|#0*38|#x0*26);"
 # Query parameters that do not change what a page shows.
 TRACKING = r"(^|&)(utm_[^=&]*|ref|fbclid|gclid)(=[^&]*)?"
 
@@ -43,25 +45,43 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(_after_scheme(url), r"^[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def _folded(path: Column) -> Column:
+    """Path without ``.`` and ``..`` segments; ``..`` does not lead above the host."""
+    none = F.expr("cast(array() as array<string>)")
+    steps = F.aggregate(
+        F.split(path, "/"), none,
+        lambda kept, step: F.when(step == ".", kept)
+        .when(step == "..", F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(1))))
+        .otherwise(F.concat(kept, F.array(step))),
+    )
+    return F.when(path.rlike(r"/\.\.?(/|$)"), F.array_join(steps, "/")).otherwise(path)
+
+
 def alias_key(url: Column) -> Column:
     """One name for the addresses that show the same page; null without a host.
 
-    The scheme, the fragment, tracking parameters and closing slashes do not count.
+    The scheme, the fragment, tracking parameters, ``.`` and ``..`` segments and closing
+    slashes do not count.
     """
     query = F.regexp_extract(_after_scheme(url), r"^[^?#]*\?([^#]*)", 1)
     query = F.regexp_replace(F.regexp_replace(query, TRACKING, ""), "^&+", "")
-    path = F.regexp_replace(path_of(url), "/+$", "")
+    path = F.regexp_replace(_folded(path_of(url)), "/+$", "")
     key = F.concat(host_of(url), path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")))
     return F.when(host_of(url) != "", key)
 
 
 def resolve(target: Column, page: Column) -> Column:
-    """Absolute address of a link on a page; null for relative paths and other schemes."""
-    base = F.concat(F.lit("http://"), host_of(page))
+    """Absolute address of a link on a page; null for other schemes than http and https."""
+    base, path = F.concat(F.lit("http://"), host_of(page)), path_of(page)
+    folder = F.when(path == "", F.lit("/")).otherwise(F.regexp_replace(path, "[^/]*$", ""))
     return (
         F.when(target.rlike(r"^(?i)https?://"), target)
         .when(target.startswith("//"), F.concat(F.lit("http:"), target))
         .when(target.startswith("/"), F.concat(base, target))
+        .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))
+        .when(target.startswith("?"), F.concat(base, path, target))
+        .when(target.startswith("#"), page)
+        .otherwise(F.concat(base, folder, target))
     )
 
 
@@ -80,17 +100,37 @@ def explicit_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, st
     return empty if chosen is None else chosen
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value computed once and standing once in the plan."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _links(tag: str, address: str) -> Column:
+    """Addresses in all tags of a kind."""
+    found = F.regexp_extract_all("html", F.lit(tag), F.lit(0))
+    return F.transform(found, lambda x: F.regexp_extract(x, address, 1))
+
+
 def alias_edges(pages: DataFrame) -> DataFrame:
-    """(a, b): keys joined by a canonical link or by a redirect in the page."""
-    links = F.array(
-        F.regexp_extract(F.regexp_extract("html", CANONICAL, 0), HREF, 1),
-        F.regexp_extract(F.regexp_extract("html", REFRESH, 0), TARGET, 1),
-    )
-    found = pages.select("url", F.explode(links).alias("target")).where("target != ''")
-    keys = found.select(
-        alias_key(F.col("url")).alias("a"), alias_key(resolve(F.col("target"), F.col("url"))).alias("b")
-    )
-    return keys.where("a is not null and b is not null and a != b")
+    """(a, b): keys joined by a canonical link or by a redirect in the page.
+
+    All such tags count. Relative links start at the page, or at its first base address.
+    """
+    def plain(address: Column) -> Column:
+        return F.regexp_replace(address, AMPERSAND, "&")
+
+    def start(base: Column) -> Column:
+        return F.coalesce(F.when(base != "", resolve(base, F.col("url"))), F.col("url"))
+
+    def keys(targets: Column) -> Column:
+        return _once(_once(plain(F.regexp_extract("html", BASE, 1)), start), lambda page: F.transform(
+            F.filter(targets, lambda x: x != ""), lambda x: _once(plain(x), lambda x: _once(resolve(x, page), alias_key))
+        ))
+
+    targets = F.concat(_links(CANONICAL, HREF), _links(REFRESH, TARGET))
+    aimed = _once(targets, lambda x: F.when(F.size(x) > 0, keys(x)))
+    found = pages.select(alias_key(F.col("url")).alias("a"), F.explode(aimed).alias("b"))
+    return found.where("a is not null and b is not null and a != b")
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:

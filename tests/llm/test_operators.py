@@ -221,6 +221,21 @@ def test_url_aliases(spark):
     assert found[8].rule == "www.example.com/en/" and found[8].host == "www.example.com" and found[6].host == ""
 
 
+def test_relative_url_aliases(spark):
+    rows = [
+        (1, "http://x.net/es/a.html", '<meta http-equiv=refresh content="0; url=../en/b.html">'),
+        (2, "http://x.net/en/b.html", '<link rel=canonical href="?p=2&amp;q=3">'), (3, "http://x.net/en/b.html?p=2&q=3", None),
+        (4, "http://y.org/d/c.html", '<link rel="canonical" href="e.html"><link rel="canonical" href="http://x.net/es/z">'),
+        (5, "http://y.org/d/e.html", ""),
+        (6, "http://y.org/f", '<base href="http://y.org/d/g/"><meta http-equiv="refresh" content="0;url=.././e.html#x">'),
+        (7, "http://y.org", '<link rel="canonical" href="d/c.html">'),
+        (8, "http://y.org/m", '<link rel="canonical" href="mailto:d/e.html"><link rel=canonical href=#top>'),
+        (9, "http://y.org/mailto:d/e.html", '<link rel="canonical" href="http://x.net/es/z">'), (10, "http://x.net/es/z", None),
+    ]
+    found = {r.page_id: r.verdict for r in url_filters.judge_urls(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert [found[i] for i in range(1, 11)] == ["block"] * 7 + ["allow", "block", "block"]
+
+
 def test_classifiers(spark, awkward):
     random.seed(2)
     plain = ["river", "stone", "garden", "window", "morning", "paper", "silver", "number"]
