@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 from larkspur.llm import (
     bpe,
     fingerprints,
+    hard_negatives,
     jaccard_join,
+    language_id,
     line_rules,
     mixing,
+    prefix_trie,
     quality_model,
     suffix_dedup,
     token_counts,
@@ -20,6 +23,7 @@ from larkspur.llm import (
 )
 from larkspur.llm.fitting import remainder
 from larkspur.plans.registry import Query, Runner
+from larkspur.session import materialize
 from larkspur.sources import table
 
 QUERIES: dict[str, Query] = {}
@@ -244,3 +248,116 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
 @query("op9_document_fingerprints")
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprints.fingerprint_versions(table(spark, sf, "documents"))
+
+
+def _rebuilt(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Elements and members of the trie: every conversation c begins with the first
+    crc32(c) % 9 turns of conversation c - c % 5, and goes on with its own after those."""
+    turns = materialize(prefix_trie.number_turns(conversations), "turns")
+    sizes = turns.groupBy("conv_id").agg(F.max("depth").alias("n"))
+    ids = sizes.withColumns({"base": F.expr("conv_id - conv_id % 5"), "h": remainder(F.col("conv_id"), 9)})
+    lent = sizes.select(F.col("conv_id").alias("base"), F.least("n", F.lit(8)).alias("lent"))
+    members = ids.join(lent, "base", "left").withColumn("lent", F.least("h", F.coalesce("lent", F.lit(0))))
+    members = materialize(
+        members.withColumn("n_turns", F.col("lent") + F.greatest(F.col("n") - F.col("h"), F.lit(0))), "rebuilt"
+    )
+    heads = turns.where("conv_id % 5 = 0 and depth <= 8").withColumnRenamed("conv_id", "base")
+    heads = members.select("conv_id", "base", "lent").join(heads, "base").where("depth <= lent")
+    tails = turns.join(members.select("conv_id", "h", "lent"), "conv_id").where("depth > h")
+    tails = tails.withColumn("depth", F.col("depth") - F.col("h") + F.col("lent"))
+    columns = ["conv_id", "depth", "name", "n_bytes"]
+    return heads.select(*columns).unionByName(tails.select(*columns)), members
+
+
+_OP11_SQL = r"""
+WITH t AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, d) AS pos, d, n_bytes
+    FROM (
+        SELECT conv_id, turn, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes,
+            sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || strlen(coalesce(text, '')) || ':' || coalesce(text, '')) AS d
+        FROM conversations WHERE conv_id IS NOT NULL)),
+sizes AS (SELECT conv_id, max(pos) AS n FROM t GROUP BY conv_id),
+hashed AS (
+    SELECT conv_id, n, conv_id - conv_id % 5 AS base,
+        xor(list_reduce(
+            list_prepend(4294967295::BIGINT, flatten(list_transform(
+                string_split(CAST(conv_id AS VARCHAR), ''),
+                lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+            lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a // 2, (a % 2) * 3988292384) END
+        ), 4294967295) % 9 AS h
+    FROM sizes),
+members AS (
+    SELECT c.conv_id, c.base, c.h, least(c.h, coalesce(b.n, 0)) AS lent,
+        least(c.h, coalesce(b.n, 0)) + greatest(c.n - c.h, 0) AS n_turns
+    FROM hashed c LEFT JOIN sizes b ON b.conv_id = c.base),
+elements AS (
+    SELECT m.conv_id, t.pos AS depth, t.d, t.n_bytes FROM members m JOIN t ON t.conv_id = m.base AND t.pos <= m.lent
+    UNION ALL
+    SELECT m.conv_id, t.pos - m.h + m.lent, t.d, t.n_bytes FROM members m JOIN t ON t.conv_id = m.conv_id AND t.pos > m.h),
+paths AS (
+    SELECT conv_id, depth, n_bytes,
+        string_agg(d, ',') OVER (PARTITION BY conv_id ORDER BY depth) AS key FROM elements
+    UNION ALL SELECT conv_id, 0, 0, '' FROM members),
+nodes AS (
+    SELECT depth, key, min(conv_id) AS node, count(*) AS n_convs, max(n_bytes) AS n_bytes FROM paths GROUP BY depth, key),
+named AS (SELECT p.conv_id, p.depth, n.node FROM paths p JOIN nodes n ON n.depth = p.depth AND n.key = p.key),
+parents AS (
+    SELECT n.depth, n.node, n.n_convs, n.n_bytes, p.node AS parent
+    FROM nodes n LEFT JOIN named p ON p.conv_id = n.node AND p.depth = n.depth - 1),
+kids AS (SELECT depth - 1 AS depth, parent AS node, count(*) AS n_children FROM parents WHERE depth > 0 GROUP BY 1, 2),
+whole AS (SELECT p.*, coalesce(k.n_children, 0) AS n_children FROM parents p LEFT JOIN kids k ON k.depth = p.depth AND k.node = p.node),
+totals AS (
+    SELECT a.depth, a.node, sum(CASE WHEN w.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((w.n_convs - 1) * w.n_bytes) AS saved
+    FROM whole w JOIN named a ON a.conv_id = w.node AND a.depth <= w.depth GROUP BY 1, 2),
+ends AS (
+    SELECT m.n_turns AS depth, p.node, string_agg(CAST(m.conv_id AS VARCHAR), ',' ORDER BY m.conv_id) AS ids
+    FROM members m JOIN named p ON p.conv_id = m.conv_id AND p.depth = m.n_turns GROUP BY 1, 2)
+SELECT w.node AS conv_id, CAST(w.depth AS BIGINT) AS depth, w.parent AS parent_conv_id, w.n_convs, w.n_children,
+    CAST(t.n_leaves AS BIGINT) AS n_leaves, CAST(t.saved AS BIGINT) AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM whole w JOIN totals t ON t.depth = w.depth AND t.node = w.node
+LEFT JOIN ends e ON e.depth = w.depth AND e.node = w.node
+"""
+
+
+@query("op11_conversation_trie", _OP11_SQL)
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return prefix_trie.prefix_trie(*_rebuilt(table(spark, sf, "conversations")))
+
+
+@query("op12_language_id")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    model = language_id.fit_languages(docs.where(~held_out))
+    found = language_id.label_languages(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
+_OP13_SQL = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+        CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+    FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id != b.vec_id),
+p AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id,
+    CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+    s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) <= 10
+"""
+
+
+@query("op13_hard_negatives", _OP13_SQL)
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = table(spark, sf, "embeddings")
+    label = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
+    return hard_negatives.mine_negatives(vectors.withColumn("label", label))
