@@ -22,8 +22,9 @@ from larkspur.session import materialize
 
 #: Segments of a vector, from coarse to fine.
 LEVELS = (4, 8, 16)
-#: Vectors and anchors that meet in one group of work, at most.
-CELL_ROWS, CELL_ANCHORS = 32_768, 8_192
+#: Vectors and anchors that meet in one group of work, at most, and the vectors a group is
+#: worth its own results for: every group hands back the best it has for each anchor.
+CELL_ROWS, CELL_ANCHORS, CELL_LEAST = 32_768, 8_192, 1_024
 #: Vectors and anchors compared at a time inside a group.
 _ROWS, _ANCHORS, _PAIRS = 2_048, 256, 1 << 18
 #: Components are held within this, so that sums of products stay exact longs.
@@ -274,7 +275,8 @@ def mine_negatives(
     rows = summarise(vectors)
     chosen = rows.where(is_anchor)
     n, n_anchors = rows.count(), chosen.count()
-    row_groups = max(-(-n // CELL_ROWS), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    wide = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    row_groups = max(1, -(-n // CELL_ROWS), min(wide, -(-n // CELL_LEAST)))
     anchor_groups = max(1, -(-n_anchors // CELL_ANCHORS))
 
     def dealt(side: DataFrame, own: str, groups: int, other: str, others: int) -> DataFrame:

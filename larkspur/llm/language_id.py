@@ -12,21 +12,22 @@ import sys
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.scan import mix, slices, stream
+from larkspur.llm.scan import mix, once, slices, stream
 
 #: Labelled documents that are learnt from, at most (about).
 SAMPLE = 40_000
 #: n-grams are counted by hash in so many buckets.
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3, 4)
-SMOOTHING = 0.5
+#: Share of a language's probability that is spread evenly over all n-grams; a share, so that
+#: languages with little text are not favoured by what nobody has seen.
+SMOOTHING = 0.01
 #: A language writes a script when at least this share of its letters is in it.
 WRITES = 0.001
 #: What a change of language costs, the most that one word may tell between two languages,
@@ -38,9 +39,8 @@ _SLICE = 1 << 19
 UNKNOWN = "und"
 
 
-@lru_cache(maxsize=1)
-def letters() -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Script number of each code point (0: no letter), its lower case, and the script names.
+def letters() -> tuple[np.ndarray, np.ndarray]:
+    """Script number of each code point (0: no letter), and its lower case.
 
     Unicode names letters after their script: LATIN SMALL LETTER A, CJK UNIFIED IDEOGRAPH-4E00.
     """
@@ -55,7 +55,7 @@ def letters() -> tuple[np.ndarray, np.ndarray, list[str]]:
             folded = char.lower()
             if len(folded) == 1:
                 lower[point] = ord(folded)
-    return script, lower, list(numbers)
+    return script, lower
 
 
 class Spelled:
@@ -69,7 +69,7 @@ class Spelled:
         texts = [t or "" for t in column.to_pylist()]
         self.offsets = np.cumsum([0, *map(len, texts)])
         points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
-        table, lower, _ = letters()
+        table, lower = once("letters", letters)
         script = table[points]
         cut = np.ones(script.size + 1, bool)
         cut[1:-1] = script[1:] != script[:-1]
@@ -197,7 +197,7 @@ def fit_languages(docs: DataFrame, may_learn: str = "true", bound: int = SAMPLE)
     for counts in grams.reshape(len(ORDERS), BUCKETS + 1, len(langs)):
         counts = counts[:BUCKETS]
         types = (counts.sum(axis=1) > 0).sum() + 1
-        chance = np.log((counts + SMOOTHING) / (counts.sum(axis=0) + SMOOTHING * types))
+        chance = np.log((1 - SMOOTHING) * counts / np.maximum(counts.sum(axis=0), 1) + SMOOTHING / types)
         tables.append(np.append(chance, np.zeros((1, len(langs))), axis=0).astype(np.float32))
     written = scripts >= WRITES * np.maximum(scripts.sum(axis=0), 1)
     written |= ~written.any(axis=1, keepdims=True)  # a script nobody writes says nothing

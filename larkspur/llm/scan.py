@@ -7,7 +7,10 @@ bytes of the Arrow buffer itself, for all texts of a slice at once.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+import types
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +25,17 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
+def once(key: object, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, made once in a worker process and kept for its later tasks.
+
+    This package travels by value, anew with every task, so its own globals would not last.
+    """
+    kept = sys.modules.setdefault("_larkspur_worker", types.ModuleType("_larkspur_worker")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread 64-bit values so that every bit depends on all others."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
