@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from larkspur.operators.ordering import with_position
 from larkspur.operators.relational import lookup
+from larkspur.session import materialize
 
-_MOST_BLOCKS = 1000
+#: Ratings that one block of users or items is meant to hold, and the most blocks: every
+#: user block exchanges messages with every item block.
+BLOCK_RATINGS, MOST_BLOCKS = 2_000_000, 1_000
+#: Owners and others that meet in one group of the search for best products, and the blocks
+#: of others that are looked at in its first round.
+OWNERS, OTHERS, FIRST_BLOCKS = 2_048, 1_024, 2
+#: No rounding of a product of so many factors moves it by more than this share.
+_SLACK = 1 + 1e-9
 
 
 def als(
@@ -17,16 +28,14 @@ def als(
     reg: float = 0.01,
     implicit: bool = False,
     seed: int = 0,
-    blocks: int | None = None,
+    blocks: int = 10,
 ) -> ALS:
     """Factorization of (user, item, rating); ids are integers.
 
-    Text ids are numbered with ``dense_index`` first. ``blocks`` partitions users
-    and items. By default it is the number of cores, up to a limit, because every
-    user block exchanges messages with every item block.
+    Text ids are numbered with ``dense_index`` first. ``blocks`` partitions users and
+    items. The random start depends on it, so it is never taken from the cluster;
+    :func:`fit_als` takes it from the number of ratings.
     """
-    cores = SparkSession.active().sparkContext.defaultParallelism
-    blocks = blocks or min(cores, _MOST_BLOCKS)
     return ALS(
         rank=rank, maxIter=iterations, regParam=reg, implicitPrefs=implicit, seed=seed,
         numUserBlocks=blocks, numItemBlocks=blocks,
@@ -34,28 +43,176 @@ def als(
     )
 
 
-def fit_als(ratings: DataFrame, **options) -> ALSModel:
-    return als(**options).fit(ratings)
+def fit_als(ratings: DataFrame, blocks: int | None = None, **options) -> ALSModel:
+    """Fit factors, in blocks that follow from the number of ratings alone."""
+    if blocks is None:
+        blocks = min(MOST_BLOCKS, 10 + ratings.count() // BLOCK_RATINGS)
+    return als(blocks=blocks, **options).fit(ratings)
 
 
-def _ranked(found: DataFrame, owner: str, other: str) -> DataFrame:
-    each = found.select(owner, F.posexplode("recommendations").alias("_at", "_hit"))
-    return each.select(
-        owner,
-        (F.col("_at") + 1).alias("rank"),
-        F.col("_hit")[other].alias(other),
-        F.col("_hit")["rating"].alias("score"),
-    )
+def product(left: str, right: str) -> Column:
+    """Inner product of two factor vectors, in double precision."""
+    parts = F.zip_with(left, right, lambda a, b: a.cast("double") * b.cast("double"))
+    return F.aggregate(parts, F.lit(0.0), lambda total, x: total + x)
+
+
+def normal_residuals(
+    model: ALSModel, ratings: DataFrame, reg: float, implicit: bool = False, alpha: float = 1.0
+) -> DataFrame:
+    """(user, residual): how far each user's factors are from solving its normal equations.
+
+    The last half-step of a fit solves, for every user, a least squares problem over the
+    items rated. With A the sum of v v' and b the sum of rating * v over those items, the
+    factors u satisfy (A + reg * n) u = b. For implicit ratings A also holds v v' of all
+    items, and what is summed over the rated is alpha * |r| * v v' and, for ratings above 0,
+    (1 + alpha * |r|) * v; n counts those. The sums are added up per user before they are
+    shuffled; nothing is solved again. ``residual`` is the length of what is left over,
+    relative to b's.
+    """
+    rank = model.rank
+    users = model.userFactors.select(F.col("id").alias("user"), F.col("features").alias("u"))
+    items = model.itemFactors.select(F.col("id").alias("item"), F.col("features").alias("v"))
+    strength, liked = F.lit(alpha) * F.abs("rating"), F.col("rating") > 0
+    in_gram = strength if implicit else F.lit(1.0)
+    in_right = F.when(liked, 1 + strength).otherwise(0.0) if implicit else F.col("rating")
+
+    def at(factors: str, i: int) -> Column:
+        return F.col(factors)[i].cast("double")
+
+    # Upper triangle of the symmetric sums only.
+    cells = [(i, j) for i in range(rank) for j in range(i, rank)]
+    sums = [F.sum(at("v", i) * at("v", j) * in_gram).alias(f"a{i}_{j}") for i, j in cells]
+    sums += [F.sum(at("v", i) * in_right).alias(f"b{i}") for i in range(rank)]
+    # Ratings are fitted in single precision.
+    rated = ratings.select("user", "item", F.col("rating").cast("float").cast("double").alias("rating"))
+    grams = rated.join(items, "item").groupBy("user").agg(*sums, F.count_if(liked if implicit else F.lit(True)).alias("n"))
+    grams = grams.join(users, "user")
+    if implicit:
+        cross = [F.sum(at("v", i) * at("v", j)).alias(f"a{i}_{j}") for i, j in cells]
+        grams = grams.withColumn("all", materialize(items.agg(F.struct(*cross).alias("all")), "gram").scalar())
+
+    def gram(i: int, j: int) -> Column:
+        name = f"a{min(i, j)}_{max(i, j)}"
+        return F.col(name) + F.col("all")[name] if implicit else F.col(name)
+
+    left = [
+        sum((gram(i, j) * at("u", j) for j in range(rank)), F.lit(reg) * F.col("n") * at("u", i)) - F.col(f"b{i}")
+        for i in range(rank)
+    ]
+    size = F.sqrt(sum((F.col(f"b{i}") ** 2 for i in range(rank)), F.lit(0.0)))
+    gap = F.sqrt(sum((x**2 for x in left), F.lit(0.0)))
+    return grams.select("user", (gap / F.greatest(size, F.lit(1e-12))).alias("residual"))
+
+
+def _first(slots: np.ndarray, scores: np.ndarray, ids: np.ndarray, n: int) -> np.ndarray:
+    """Places of the ``n`` best of each slot: higher scores first, then smaller ids."""
+    order = np.lexsort((ids, -scores, slots))
+    slots = slots[order]
+    starts = np.flatnonzero(np.append(True, slots[1:] != slots[:-1]))
+    rank = np.arange(slots.size) - np.repeat(starts, np.diff(np.append(starts, slots.size)))
+    return order[rank < n]
+
+
+def _matches(n: int):
+    """The best of one block of others for a group of owners that are open for it."""
+    schema = pa.schema([("owner", pa.int64()), ("other", pa.int64()), ("score", pa.float64())])
+
+    def run(owners: pa.Table, others: pa.Table) -> pa.Table:
+        if not owners.num_rows or not others.num_rows:
+            return schema.empty_table()
+        u = np.stack(owners.column("features").to_numpy()).astype(np.float64)
+        v = np.stack(others.column("features").to_numpy()).astype(np.float64)
+        ids, names = others.column("other").to_numpy(), owners.column("owner").to_numpy()
+        scores = np.zeros((len(u), len(v)))
+        # Factor by factor: the same sum for equal vectors, wherever they lie.
+        for a, b in zip(u.T, v.T):
+            scores += a[:, None] * b
+        floor = owners.column("floor").to_numpy()
+        if len(v) > n:
+            floor = np.maximum(floor, np.partition(scores, len(v) - n, axis=1)[:, len(v) - n])
+        i, j = np.nonzero(scores >= floor[:, None])
+        if not i.size:
+            return schema.empty_table()
+        best = _first(i, scores[i, j], ids[j], n)
+        i, j = i[best], j[best]
+        return pa.Table.from_arrays([pa.array(names[i]), pa.array(ids[j]), pa.array(scores[i, j])], schema=schema)
+
+    return run
+
+
+def best_products(owners: DataFrame, others: DataFrame, n: int = 10) -> DataFrame:
+    """(owner, rank, other, score): the ``n`` largest inner products of each owner, exactly.
+
+    Both sides are (id, features); an id given twice counts once, and features are not null.
+    Higher scores come first, ties by smaller id. Fewer than ``n`` others: as many ranks as
+    there are. No owners or no others: no rows.
+
+    The others are put in blocks by falling length. The first round looks at the blocks of
+    the longest ones. From then on every owner has an n-th best score, and by the bound of
+    Cauchy and Schwarz a block can only matter to owners whose own length times that of the
+    block's longest vector reaches it. Rounds double in width and end when no owner is open;
+    blocks that are closed to an owner are neither sent nor scored. Owners and blocks meet in
+    groups of bounded size, dealt by a hash, so nothing is broadcast.
+    """
+    norm = F.sqrt(product("features", "features")).alias("norm")
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        kept = df.where("features is not null").dropDuplicates(["id"])
+        return kept.select(F.col("id").cast("bigint").alias(name), "features", norm)
+
+    right = with_position(side(others, "other"), [F.desc("norm"), F.col("other")], "_at")
+    right = materialize(right.withColumn("block", F.expr(f"_at div {OTHERS}")).drop("_at"), "others")
+    reach = materialize(right.groupBy("block").agg(F.max("norm").alias("most")), "reach")
+    left = materialize(side(owners, "owner"), "owners")
+    last = reach.agg(F.max("block")).first()[0]
+    last = -1 if last is None else last
+    groups = max(1, -(-left.count() // OWNERS))
+    state = left.withColumn("floor", F.lit(float("-inf")))
+    found = state.select("owner", F.lit(0).alias("rank"), F.col("owner").alias("other"), F.col("norm").alias("score")).limit(0)
+    low, width = 0, FIRST_BLOCKS
+    while low <= last:
+        high = min(low + width - 1, last)
+        can = F.col("norm") * F.col("most") * _SLACK >= F.col("floor")
+        open_ = state.withColumn("block", F.explode(F.sequence(F.lit(low), F.lit(high)).cast("array<bigint>")))
+        open_ = open_.join(reach, "block").where(can).withColumn("group", F.pmod(F.xxhash64("owner"), F.lit(groups)))
+        there = right.where(F.col("block").between(low, high))
+        there = there.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<bigint>")))
+        new = open_.select("owner", "features", "floor", "block", "group").groupBy("block", "group").cogroup(
+            there.select("other", "features", "block", "group").groupBy("block", "group")
+        )
+        new = new.applyInArrow(_matches(n), "owner bigint, other bigint, score double")
+        best = Window.partitionBy("owner").orderBy(F.desc("score"), "other")
+        merged = found.select("owner", "other", "score").unionByName(new)
+        merged = merged.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= n)
+        found = materialize(merged.select("owner", "rank", "other", "score"), "best")
+        low, width = high + 1, width * 2
+        if low <= last:
+            nth = found.where(F.col("rank") == n).select("owner", F.col("score").alias("floor"))
+            state = left.join(nth, "owner", "left").fillna(float("-inf"), ["floor"])
+            longest = reach.where(F.col("block") == low).first()["most"]
+            state = materialize(state.where(F.col("norm") * longest * _SLACK >= F.col("floor")), "open")
+            if state.isEmpty():
+                break
+    return found
+
+
+def _named(found: DataFrame, owner: str, other: str) -> DataFrame:
+    ids = [F.col("owner").cast("int").alias(owner), "rank", F.col("other").cast("int").alias(other)]
+    return found.select(*ids, "score")
 
 
 def recommend_items(model: ALSModel, users: DataFrame, n: int = 10) -> DataFrame:
-    """The ``n`` best items for each of the given users: (user, rank, item, score)."""
-    return _ranked(model.recommendForUserSubset(users, n), "user", "item")
+    """The ``n`` best items for each of the given users: (user, rank, item, score).
+
+    Users without factors have none."""
+    asked = model.userFactors.join(users.select(F.col("user").alias("id")).distinct(), "id")
+    return _named(best_products(asked, model.itemFactors, n), "user", "item")
 
 
 def recommend_users(model: ALSModel, items: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` most interested users for each of the given items."""
-    return _ranked(model.recommendForItemSubset(items, n), "item", "user")
+    asked = model.itemFactors.join(items.select(F.col("item").alias("id")).distinct(), "id")
+    return _named(best_products(asked, model.userFactors, n), "item", "user")
 
 
 def recommend_named(

@@ -1,7 +1,8 @@
 """Recommender queries.
 
-Ratings are average ordered quantities per (customer, part). Factors depend on the
-random start, so the checks cover who is scored, ranks and invariants."""
+Ratings are average ordered quantities per (customer, part). Factors depend on the random
+start, so SQL cannot have them. The queries check them against the equations they must
+solve and scores against products of factors, and SQL says for whom that must hold."""
 
 from __future__ import annotations
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from larkspur.operators import evaluate, recommend
 from larkspur.plans.registry import query
-from larkspur.session import scratch_path
+from larkspur.session import materialize, scratch_path
 from larkspur.sources import load_or_fit, save_model, table
 
 _RATING_SQL = """
@@ -52,51 +53,84 @@ _RANKED_ITEMS = f"""
 """
 
 
-def _ordered(ranked: DataFrame, owner: str) -> DataFrame:
-    """Owner and rank, with whether the scores fall with the rank."""
+def _checked(ranked: DataFrame, model: ALSModel, owner: str, other: str) -> DataFrame:
+    """Owner and rank, whether the scores fall with the rank, and whether each is the
+    product of the two factor vectors."""
     previous = F.lag("score").over(Window.partitionBy(owner).orderBy("rank"))
     falling = F.coalesce(F.col("score") <= previous, F.lit(True))
-    return ranked.select(owner, "rank", falling.alias("falling"))
+    sides = {"user": model.userFactors, "item": model.itemFactors}
+    joined = ranked.withColumn("falling", falling)
+    joined = joined.join(sides[owner].toDF(owner, "u"), owner).join(sides[other].toDF(other, "v"), other)
+    near = F.abs(recommend.product("u", "v") - F.col("score")) < 1e-9 * (1 + F.abs("score"))
+    return joined.select(owner, "rank", "falling", near.alias("is_product"))
+
+
+#: What a user's normal equations may leave over, relative to their right side: factors are
+#: solved and kept in single precision.
+_LEFT_OVER = 1e-3
+
+
+def _solved(model: ALSModel, residuals: DataFrame) -> DataFrame:
+    users = model.userFactors.select(F.col("id").alias("user"), F.size("features").alias("n_factors"))
+    return users.join(residuals, "user").select("user", "n_factors", (F.col("residual") < _LEFT_OVER).alias("solved"))
 
 
 @query(
     "rec_fit_als",
-    f'WITH {_RATING_SQL} SELECT DISTINCT "user", 10 AS n_factors FROM rating',
+    f'WITH {_RATING_SQL} SELECT DISTINCT "user", 10 AS n_factors, true AS solved FROM rating',
 )
 def rec_fit_als(spark: SparkSession, sf: str) -> DataFrame:
-    model = recommend.fit_als(ratings(spark, sf), rank=10, iterations=10, reg=0.01)
-    return model.userFactors.select(
-        F.col("id").alias("user"), F.size("features").alias("n_factors")
-    )
+    """Every user with its factors' number, and whether they solve its normal equations."""
+    rated = materialize(ratings(spark, sf), "ratings")
+    model = recommend.fit_als(rated, rank=10, iterations=10, reg=0.01)
+    return _solved(model, recommend.normal_residuals(model, rated, 0.01))
 
 
 @query(
     "rec_fit_als_implicit",
-    f"WITH {_RATING_SQL} SELECT DISTINCT item, 5 AS n_factors FROM rating",
+    f'WITH {_RATING_SQL} SELECT DISTINCT "user", 5 AS n_factors, true AS solved FROM rating',
 )
 def rec_fit_als_implicit(spark: SparkSession, sf: str) -> DataFrame:
-    model = recommend.fit_als(ratings(spark, sf), rank=5, iterations=10, reg=0.1, implicit=True)
-    return model.itemFactors.select(
-        F.col("id").alias("item"), F.size("features").alias("n_factors")
-    )
+    rated = materialize(ratings(spark, sf), "ratings")
+    model = recommend.fit_als(rated, rank=5, iterations=10, reg=0.1, implicit=True)
+    return _solved(model, recommend.normal_residuals(model, rated, 0.1, implicit=True))
 
 
 @query(
     "rec_items_for_users",
-    f'WITH {_RATING_SQL} SELECT "user", rank, true AS falling FROM {_RANKED_USERS}',
+    f'WITH {_RATING_SQL} SELECT "user", rank, true AS falling, true AS is_product FROM {_RANKED_USERS}',
 )
 def rec_items_for_users(spark: SparkSession, sf: str) -> DataFrame:
     model = recommend.fit_als(ratings(spark, sf), rank=5, reg=0.1)
-    return _ordered(recommend.recommend_items(model, _asked_users(spark, sf), 10), "user")
+    return _checked(recommend.recommend_items(model, _asked_users(spark, sf), 10), model, "user", "item")
 
 
 @query(
     "rec_users_for_items",
-    f"WITH {_RATING_SQL} SELECT item, rank, true AS falling FROM {_RANKED_ITEMS}",
+    f"WITH {_RATING_SQL} SELECT item, rank, true AS falling, true AS is_product FROM {_RANKED_ITEMS}",
 )
 def rec_users_for_items(spark: SparkSession, sf: str) -> DataFrame:
     model = recommend.fit_als(ratings(spark, sf), rank=5, reg=0.1)
-    return _ordered(recommend.recommend_users(model, _asked_items(spark, sf), 10), "item")
+    return _checked(recommend.recommend_users(model, _asked_items(spark, sf), 10), model, "item", "user")
+
+
+@query(
+    "rec_best_products",
+    """
+    WITH v AS (
+        SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings),
+    s AS (
+        SELECT a.vec_id AS owner, b.vec_id AS other, list_dot_product(a.q, b.q) AS score FROM v a, v b WHERE a.label = 3)
+    SELECT owner, CAST(row_number() OVER (PARTITION BY owner ORDER BY score DESC, other) AS INTEGER) AS rank, other, score
+    FROM s QUALIFY row_number() OVER (PARTITION BY owner ORDER BY score DESC, other) <= 10
+    """,
+)
+def rec_best_products(spark: SparkSession, sf: str) -> DataFrame:
+    """The search itself by value: factors that SQL has too, here whole numbers, so that
+    products are exact. The vectors of one label against all vectors."""
+    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("double"))
+    vectors = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), whole.alias("features"), "label")
+    return recommend.best_products(vectors.where("label = 3").drop("label"), vectors.drop("label"), 10)
 
 
 @query(
@@ -110,11 +144,7 @@ def rec_predict_pair(spark: SparkSession, sf: str) -> DataFrame:
     users = model.userFactors.toDF("user", "u")
     items = model.itemFactors.toDF("item", "v")
     both = evaluate.score(model, rated).join(users, "user").join(items, "item")
-    product = F.aggregate(
-        F.zip_with("u", "v", lambda a, b: (a * b).cast("double")),
-        F.lit(0.0),
-        lambda total, x: total + x,
-    )
+    product = recommend.product("u", "v")
     near = F.abs(product - F.col("prediction")) < 1e-4 * (1 + F.abs(product))
     return both.select("user", "item", near.alias("is_product"))
 
@@ -132,6 +162,20 @@ def rec_with_titles(spark: SparkSession, sf: str) -> DataFrame:
     return named.select("user", "rank", F.col("p_name").isNotNull().alias("titled"))
 
 
+@query(
+    "rec_users_with_titles",
+    f"""WITH {_RATING_SQL} SELECT item, rank, p_name FROM {_RANKED_ITEMS} JOIN part ON item = p_partkey""",
+)
+def rec_users_with_titles(spark: SparkSession, sf: str) -> DataFrame:
+    """The users for an item, with the item's title."""
+    model = recommend.fit_als(ratings(spark, sf), rank=5, reg=0.1)
+    titles = table(spark, sf, "part").select("p_partkey", "p_name")
+    named = recommend.recommend_named(
+        model, _asked_items(spark, sf), titles, 10, "item", "p_partkey", "p_name"
+    )
+    return named.select("item", "rank", "p_name")
+
+
 @query(
     "snk_model_save_load",
     f'WITH {_RATING_SQL} SELECT "user", item, true AS same FROM rating',

@@ -53,6 +53,73 @@ def test_best_users_equal_brute_force(spark, model):
     assert [r["user"] for r in found.collect()] == best
 
 
+def brute(owners, others, n):
+    out = []
+    for o, u in owners:
+        scored = sorted((-sum(x * y for x, y in zip(u, v)), i) for i, v in others)[:n]
+        out += [(o, rank, i, -s) for rank, (s, i) in enumerate(scored, 1)]
+    return sorted(out)
+
+
+VECTORS = "id bigint, features array<double>"
+
+
+@pytest.mark.parametrize("owners, others, first", [(2048, 1024, 2), (7, 5, 1), (3, 16, 2)])
+def test_best_products_equal_brute_force(spark, monkeypatch, owners, others, first):
+    for name, value in (("OWNERS", owners), ("OTHERS", others), ("FIRST_BLOCKS", first)):
+        monkeypatch.setattr(recommend, name, value)
+    draw = np.random.default_rng(4)
+    # Lengths that differ, many equal vectors, ties, a null vector, an id given twice.
+    v = [(i, (draw.integers(-9, 10, 6) * int(draw.choice([1, 1, 5, 40]))).astype(float).tolist()) for i in range(120)]
+    v += [(200 + i, [float(x) for x in (90, -80, 70, 60, 50, 40)]) for i in range(60)] + [(500, [0.0] * 6)]
+    u = [(i, draw.integers(-9, 10, 6).astype(float).tolist()) for i in range(25)] + [(30, [0.0] * 6)]
+    left = spark.createDataFrame([*u, u[0], (31, None)], VECTORS)
+    found = recommend.best_products(left, spark.createDataFrame([*v, v[3], (600, None)], VECTORS), 7)
+    assert sorted(map(tuple, found.collect())) == brute(u, v, 7)
+
+
+def test_closed_blocks_are_not_scored(spark, monkeypatch):
+    monkeypatch.setattr(recommend, "OTHERS", 10)
+    sizes, matches = [], recommend._matches
+
+    def counted(n):
+        sizes.append(n)
+        return matches(n)
+
+    monkeypatch.setattr(recommend, "_matches", counted)
+    v = [(i, [1000.0 / (1 + i), 0.0]) for i in range(400)]
+    found = recommend.best_products(spark.createDataFrame([(1, [1.0, 0.0])], VECTORS), spark.createDataFrame(v, VECTORS), 5)
+    assert [r["other"] for r in found.orderBy("rank").collect()] == [0, 1, 2, 3, 4]
+    assert len(sizes) == 1  # of 40 blocks, one round of two
+
+
+def test_best_products_without_rows(spark):
+    some, none = spark.createDataFrame([(1, [1.0])], VECTORS), spark.createDataFrame([], VECTORS)
+    for left, right in ((some, none), (none, some), (none, none)):
+        assert recommend.best_products(left, right, 3).collect() == []
+
+
+@pytest.mark.parametrize("implicit", [False, True])
+def test_normal_equations(ratings, implicit):
+    options = dict(rank=3, iterations=5, reg=0.1, implicit=implicit)
+    fitted = recommend.fit_als(ratings, **options)
+    left = recommend.normal_residuals(fitted, ratings, 0.1, implicit)
+    assert left.count() == 30 and left.agg(F.max("residual")).first()[0] < 1e-4
+    # A model of other ratings does not solve them.
+    changed = ratings.withColumn("rating", F.when(F.col("user") == 3, F.col("rating") + 2).otherwise(F.col("rating")))
+    wrong = {r["user"]: r["residual"] for r in recommend.normal_residuals(fitted, changed, 0.1, implicit).collect()}
+    assert wrong[3] > 1e-2 and wrong[4] < 1e-4
+
+
+def test_factors_do_not_depend_on_the_layout(spark, ratings):
+    one, two = (
+        {r["id"]: r["features"] for r in recommend.fit_als(ratings.repartition(k), rank=3, iterations=5).userFactors.collect()}
+        for k in (1, 7)
+    )
+    assert one.keys() == two.keys()
+    assert all(np.allclose(one[k], two[k], rtol=1e-3, atol=1e-4) for k in one)
+
+
 def test_named(spark, model):
     titles = spark.createDataFrame([(i, f"title {i}") for i in range(40)], "id int, title string")
     asked = spark.createDataFrame([(3,)], "user int")
