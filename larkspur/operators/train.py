@@ -3,6 +3,12 @@ estimator builders beside them serve pipelines and tuning."""
 
 from __future__ import annotations
 
+import math
+from collections.abc import Sequence
+from functools import reduce
+from multiprocessing.pool import ThreadPool
+
+from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
     DecisionTreeClassificationModel,
@@ -16,14 +22,19 @@ from pyspark.ml.classification import (
     RandomForestClassificationModel,
     RandomForestClassifier,
 )
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol, HasProbabilityCol, HasSeed
 from pyspark.ml.regression import (
     DecisionTreeRegressionModel,
     DecisionTreeRegressor,
     GBTRegressionModel,
     GBTRegressor,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
+from larkspur.operators.splits import key_hash
 from larkspur.sources.tables import cached
 
 
@@ -87,29 +98,129 @@ def naive_bayes(
     )
 
 
-def _fit(estimator: Estimator, df: DataFrame) -> Model:
+class _HashForestParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasProbabilityCol, HasSeed):
+    numTrees = Param(Params._dummy(), "numTrees", "number of trees", typeConverter=TypeConverters.toInt)
+    maxDepth = Param(Params._dummy(), "maxDepth", "depth of each tree", typeConverter=TypeConverters.toInt)
+    maxBins = Param(Params._dummy(), "maxBins", "bins of a feature", typeConverter=TypeConverters.toInt)
+    impurity = Param(Params._dummy(), "impurity", "gini or entropy", typeConverter=TypeConverters.toString)
+    keyCol = Param(
+        Params._dummy(), "keyCol", "row key that samples are drawn by", typeConverter=TypeConverters.toString
+    )
+
+
+class HashForestModel(Model, _HashForestParams):
+    """Class shares averaged over the trees; the largest one is the prediction."""
+
+    def __init__(self, trees: Sequence[DecisionTreeClassificationModel]) -> None:
+        super().__init__()
+        self.trees = list(trees)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        scored, shares = dataset, []
+        for i, tree in enumerate(self.trees):
+            one = tree.copy().setProbabilityCol(f"_p{i}").setRawPredictionCol("").setPredictionCol("")
+            scored = one.transform(scored)
+            shares.append(vector_to_array(f"_p{i}"))
+        total = reduce(lambda a, b: F.zip_with(a, b, lambda x, y: x + y), shares)
+        mean = F.transform(total, lambda x: x / len(shares))
+        scored = scored.withColumn("_mean", mean)
+        added = {
+            self.getProbabilityCol(): array_to_vector("_mean"),
+            self.getPredictionCol(): (F.array_position("_mean", F.array_max("_mean")) - 1).cast("double"),
+        }
+        return scored.withColumns(added).drop("_mean", *[f"_p{i}" for i in range(len(shares))])
+
+
+class HashForestClassifier(Estimator, _HashForestParams):
+    """Bagged trees whose samples follow from the rows' keys.
+
+    How often a row counts in a tree's bootstrap sample is a Poisson number with mean 1,
+    read off a hash of (seed, tree, key). It goes into the fit as the row's weight, so
+    nothing is drawn by partition, and the same rows give the same samples on any layout
+    and any number of cores. Every split looks at all features. Rows with one key count
+    alike.
+    """
+
+    @keyword_only
+    def __init__(
+        self, *, keyCol: str, numTrees: int = 10, maxDepth: int = 5, maxBins: int = 32, impurity: str = "gini",
+        featuresCol: str = "features", labelCol: str = "label", seed: int = 0,
+        parallelism: int = 4, partitions: int | None = None,
+    ) -> None:
+        super().__init__()
+        self.parallelism, self.partitions = parallelism, partitions
+        given = dict(self._input_kwargs)
+        self._set(**{k: v for k, v in given.items() if k not in ("parallelism", "partitions")})
+        self._setDefault(numTrees=10, maxDepth=5, maxBins=32, impurity="gini", seed=0)
+
+    def weight(self, tree: int) -> Column:
+        """How often a row counts in one tree's sample: Poisson with mean 1."""
+        at = key_hash(self.getOrDefault(self.keyCol), f"{self.getSeed()}:{tree}:")
+        edges = poisson_edges()
+        passed = [F.when(at >= edge, 1).otherwise(0) for edge in edges]
+        return reduce(lambda a, b: a + b, passed).cast("double")
+
+    def _fit(self, dataset: DataFrame) -> HashForestModel:
+        stage = DecisionTreeClassifier(
+            impurity=self.getOrDefault(self.impurity), maxDepth=self.getOrDefault(self.maxDepth),
+            maxBins=self.getOrDefault(self.maxBins), featuresCol=self.getFeaturesCol(),
+            labelCol=self.getLabelCol(), weightCol="_weight", seed=0,
+        )
+        columns = [self.getFeaturesCol(), self.getLabelCol(), self.getOrDefault(self.keyCol)]
+        with cached(dataset.select(*columns), partitions=self.partitions) as (rows,), ThreadPool(self.parallelism) as pool:
+
+            def grow(tree: int) -> DecisionTreeClassificationModel:
+                return stage.fit(rows.withColumn("_weight", self.weight(tree)).where("_weight > 0"))
+
+            trees = pool.map(grow, range(self.getOrDefault(self.numTrees)))
+        return self._copyValues(HashForestModel(trees))
+
+
+def poisson_edges(top: int = 1 << 32) -> list[int]:
+    """Where a uniform number below ``top`` passes on to the next Poisson count, mean 1."""
+    edges, chance, reached = [], math.exp(-1), 0.0
+    while (reached := reached + chance) < 1 and int(reached * top) < top - 1:
+        edges.append(int(reached * top))
+        chance /= len(edges)
+    return edges
+
+
+def _fit(estimator: Estimator, df: DataFrame, partitions: int | None = None) -> Model:
     """Fit on the two columns needed, kept for the several passes these fits make.
 
-    Naive Bayes makes a single pass and goes without.
+    Naive Bayes makes a single pass and goes without. ``partitions`` lays the rows out,
+    which frames of a few files or row groups need to occupy many cores.
     """
-    with cached(df.select(estimator.getFeaturesCol(), estimator.getLabelCol())) as (rows,):
+    with cached(df.select(estimator.getFeaturesCol(), estimator.getLabelCol()), partitions=partitions) as (rows,):
         return estimator.fit(rows)
 
 
-def fit_tree(df: DataFrame, **options) -> DecisionTreeClassificationModel:
-    return _fit(tree_classifier(**options), df)
+def fit_tree(df: DataFrame, partitions: int | None = None, **options) -> DecisionTreeClassificationModel:
+    return _fit(tree_classifier(**options), df, partitions)
+
+
+def fit_tree_regressor(df: DataFrame, partitions: int | None = None, **options) -> DecisionTreeRegressionModel:
+    return _fit(tree_regressor(**options), df, partitions)
 
 
-def fit_tree_regressor(df: DataFrame, **options) -> DecisionTreeRegressionModel:
-    return _fit(tree_regressor(**options), df)
+def fit_forest(df: DataFrame, partitions: int | None = None, **options) -> RandomForestClassificationModel:
+    """Spark's forest: samples are drawn by partition, so the layout counts."""
+    return _fit(forest_classifier(**options), df, partitions)
 
 
-def fit_forest(df: DataFrame, **options) -> RandomForestClassificationModel:
-    return _fit(forest_classifier(**options), df)
+def fit_hash_forest(
+    df: DataFrame, key: str, trees: int = 10, impurity: str = "gini", depth: int = 5, bins: int = 32,
+    features: str = "features", label: str = "label", seed: int = 0, partitions: int | None = None,
+) -> HashForestModel:
+    """Forest whose samples follow from the rows' keys: the same on any layout."""
+    return HashForestClassifier(
+        keyCol=key, numTrees=trees, impurity=impurity, maxDepth=depth, maxBins=bins,
+        featuresCol=features, labelCol=label, seed=seed, partitions=partitions,
+    ).fit(df)
 
 
-def fit_gbt(df: DataFrame, **options) -> GBTRegressionModel:
-    return _fit(gbt_regressor(**options), df)
+def fit_gbt(df: DataFrame, partitions: int | None = None, **options) -> GBTRegressionModel:
+    return _fit(gbt_regressor(**options), df, partitions)
 
 
 def fit_naive_bayes(df: DataFrame, **options) -> NaiveBayesModel:

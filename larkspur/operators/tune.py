@@ -16,10 +16,15 @@ from typing import Any
 from pyspark.ml import Estimator, Model
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.param import Params
-from pyspark.ml.tuning import CrossValidator, TrainValidationSplit
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from larkspur.sources.tables import cached
+from larkspur.operators import train
+from larkspur.operators.evaluate import HardAucEvaluator
+from larkspur.operators.gradient import GradientDescentClassifier, hard_aucs
+from larkspur.operators.splits import split_random
+from larkspur.sources.tables import cached, spread
 
 # Parameter values searched by default. Fixed values, one entry per kind of model.
 GRIDS: dict[str, dict[str, list]] = {
@@ -76,6 +81,19 @@ SWEEPS: dict[tuple[str, str], tuple[list, dict]] = {
 }
 
 
+#: Builder of each kind of model that grids and sweeps are named for.
+BUILDERS: dict[str, Callable[..., Estimator]] = {
+    "tree": train.tree_classifier,
+    "regression_tree": train.tree_regressor,
+    "pipeline_tree": train.tree_classifier,
+    "forest": train.forest_classifier,
+    "gbt": train.gbt_regressor,
+    "naive_bayes": train.naive_bayes,
+    "logistic": lambda **options: GradientDescentClassifier(loss="logistic", tol=0.0, **options),
+    "svm": lambda **options: GradientDescentClassifier(loss="hinge", tol=0.0, **options),
+}
+
+
 @dataclass(frozen=True)
 class Tuned:
     model: Model
@@ -83,6 +101,8 @@ class Tuned:
     metric: float
     table: DataFrame
     """One row per combination, in grid order: ``trial``, its parameters, ``metric``."""
+    test_metric: float | None = None
+    """The chosen model's metric on rows that took no part in fits and choice."""
 
 
 def param_grid(
@@ -115,6 +135,43 @@ def _table(spark: SparkSession, grid: Sequence[dict], metrics: Sequence[float])
     return spark.createDataFrame(rows, ["trial", *names, "metric"])
 
 
+def _trials(
+    estimator: Estimator, grid: Sequence[dict], rows: DataFrame, valid: DataFrame, evaluator: Evaluator, parallelism: int
+) -> tuple[list[float], int, Model]:
+    """Metric of every combination, and the best one's index and model."""
+    sign = 1 if evaluator.isLargerBetter() else -1
+    metrics: dict[int, float] = {}
+    best: tuple[int, Model] | None = None
+
+    def note(index: int, model: Model, metric: float) -> None:
+        nonlocal best
+        metrics[index] = metric
+        # Only the best model so far is kept; one without a metric is none.
+        if not math.isnan(metric) and (
+            best is None or (sign * metric, -index) > (sign * metrics[best[0]], -best[0])
+        ):
+            best = (index, model)
+
+    fits = estimator.fitMultiple(rows, list(grid))
+    if isinstance(estimator, GradientDescentClassifier) and isinstance(evaluator, HardAucEvaluator):
+        # All models are there at once and are measured in one pass.
+        models = [model for _, model in sorted(fits, key=lambda pair: pair[0])]
+        for index, metric in enumerate(hard_aucs(models, valid, evaluator.label)):
+            note(index, models[index], metric)
+    else:
+
+        def trial(_: int) -> tuple[int, Model, float]:
+            index, model = next(fits)
+            return index, model, evaluator.evaluate(model.transform(valid))
+
+        with ThreadPool(parallelism) as pool:
+            for found in pool.imap_unordered(trial, range(len(grid))):
+                note(*found)
+    if best is None:
+        raise ValueError("no combination has a metric")
+    return [metrics[i] for i in range(len(grid))], *best
+
+
 def tune_grid(
     estimator: Estimator,
     grid: Sequence[dict],
@@ -122,40 +179,25 @@ def tune_grid(
     valid: DataFrame,
     evaluator: Evaluator,
     parallelism: int = 1,
+    test: DataFrame | None = None,
+    partitions: int | None = None,
 ) -> Tuned:
     """Fit every combination on ``train``, measure on ``valid``, keep the best.
 
     Whether larger is better follows from the evaluator. The first of equally
-    good combinations wins.
+    good combinations wins. Where ``test`` is given, the winner alone is measured
+    on it. Linear models by gradient descent are fitted together, one pass a step.
     """
     if not grid:
         raise ValueError("no combinations to try")
-
-    sign = 1 if evaluator.isLargerBetter() else -1
-    metrics: dict[int, float] = {}
-    best: tuple[int, Model] | None = None
-
-    def trial(_: int) -> tuple[int, Model, float]:
-        index, model = next(fits)
-        return index, model, evaluator.evaluate(model.transform(valid_rows))
-
-    with cached(train, valid) as (train_rows, valid_rows), ThreadPool(parallelism) as pool:
-        fits = estimator.fitMultiple(train_rows, list(grid))
-        for index, model, metric in pool.imap_unordered(trial, range(len(grid))):
-            metrics[index] = metric
-            # Only the best model so far is kept; one without a metric is none.
-            if not math.isnan(metric) and (
-                best is None or (sign * metric, -index) > (sign * metrics[best[0]], -best[0])
-            ):
-                best = (index, model)
-    if best is None:
-        raise ValueError("no combination has a metric")
-    index, model = best
+    with cached(train, valid, partitions=partitions) as (train_rows, valid_rows):
+        metrics, index, model = _trials(estimator, grid, train_rows, valid_rows, evaluator, parallelism)
     return Tuned(
         model=model,
         params={param.name: value for param, value in grid[index].items()},
         metric=metrics[index],
-        table=_table(train.sparkSession, grid, [metrics[i] for i in range(len(grid))]),
+        table=_table(train.sparkSession, grid, metrics),
+        test_metric=None if test is None else evaluator.evaluate(model.transform(test)),
     )
 
 
@@ -168,25 +210,81 @@ def tune_sweep(
     valid: DataFrame,
     evaluator: Evaluator,
     parallelism: int = 1,
+    partitions: int | None = None,
 ) -> Tuned:
     """Vary one parameter, hold the others at what ``stage`` is set to."""
     grid = param_grid(stage, {param: values})
-    return tune_grid(estimator, grid, train, valid, evaluator, parallelism)
+    return tune_grid(estimator, grid, train, valid, evaluator, parallelism, partitions=partitions)
+
+
+def named_sweep(
+    kind: str,
+    param: str,
+    train: DataFrame,
+    valid: DataFrame,
+    evaluator: Evaluator,
+    parallelism: int = 1,
+    partitions: int | None = None,
+    **options,
+) -> Tuned:
+    """One of ``SWEEPS``: its values, with the other parameters held as it says.
+
+    ``options`` are passed to the kind's builder, such as the key mini-batches are drawn by.
+    """
+    if (kind, param) not in SWEEPS:
+        raise ValueError(f"there is no sweep of {param} for {kind}")
+    values, held = SWEEPS[kind, param]
+    stage = BUILDERS[kind](**options)
+    stage = stage.copy({stage.getParam(name): value for name, value in held.items()})
+    return tune_sweep(stage, stage, param, values, train, valid, evaluator, parallelism, partitions)
+
+
+class KeySplitSearch(Estimator):
+    """Search with a single split, as an estimator to be fitted or put in a pipeline.
+
+    A row's side follows from the hash of its key, so the search gives the same on any
+    layout. Rows are kept once; both sides are filters of them. The best combination is
+    fitted again on all rows.
+    """
+
+    def __init__(
+        self, estimator: Estimator, grid: Sequence[dict], evaluator: Evaluator, key: str,
+        ratio: float = 0.8, seed: int | None = None, parallelism: int = 1, partitions: int | None = None,
+    ) -> None:
+        super().__init__()
+        self.estimator, self.grid, self.evaluator, self.key = estimator, list(grid), evaluator, key
+        self.ratio, self.seed, self.parallelism, self.partitions = ratio, seed, parallelism, partitions
+
+    def _fit(self, dataset: DataFrame) -> KeySplitSearchModel:
+        sides = {"train": self.ratio, "valid": 1 - self.ratio}
+        with cached(split_random(dataset, self.key, sides, self.seed, "_side"), partitions=self.partitions) as (rows,):
+            parts = [rows.where(F.col("_side") == side).drop("_side") for side in sides]
+            metrics, index, _ = _trials(self.estimator, self.grid, *parts, self.evaluator, self.parallelism)
+            best = self.estimator.fit(rows.drop("_side"), self.grid[index])
+        return KeySplitSearchModel(best, metrics, index)
+
+
+class KeySplitSearchModel(Model):
+    def __init__(self, bestModel: Model, validationMetrics: Sequence[float], bestIndex: int) -> None:
+        super().__init__()
+        self.bestModel, self.validationMetrics, self.bestIndex = bestModel, list(validationMetrics), bestIndex
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return self.bestModel.transform(dataset)
 
 
 def tune_split(
     estimator: Estimator,
     grid: Sequence[dict],
     evaluator: Evaluator,
+    key: str,
     ratio: float = 0.8,
-    seed: int = 0,
+    seed: int | None = None,
     parallelism: int = 1,
-) -> TrainValidationSplit:
-    """Search with a single split, as an estimator to be fitted or put in a pipeline."""
-    return TrainValidationSplit(
-        estimator=estimator, estimatorParamMaps=list(grid), evaluator=evaluator,
-        trainRatio=ratio, seed=seed, parallelism=parallelism,
-    )
+    partitions: int | None = None,
+) -> KeySplitSearch:
+    """Search with a single split by key hash."""
+    return KeySplitSearch(estimator, grid, evaluator, key, ratio, seed, parallelism, partitions)
 
 
 def tune_folds(
@@ -206,10 +304,9 @@ def tune_folds(
     )
 
 
-def run_search(search: Estimator, rows: DataFrame) -> Model:
-    """Fit a search with its rows kept for the passes of all combinations."""
-    with cached(rows) as (kept,):
-        return search.fit(kept)
+def run_search(search: Estimator, rows: DataFrame, partitions: int | None = None) -> Model:
+    """Fit a search. Cross-validation keeps its folds itself; its rows are laid out only."""
+    return search.fit(spread(rows, partitions))
 
 
 def validation_table(spark: SparkSession, searched: Model, grid: Sequence[dict]) -> DataFrame:

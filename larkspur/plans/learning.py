@@ -25,10 +25,13 @@ LINE_FEATURES = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
 _YIELD = "l_quantity * (1 - l_discount) - 2 * l_linenumber"
 LINE_LABELS = {
     "binary": f"CASE WHEN {_YIELD} > 12 THEN 1 ELSE 0 END",
-    "multi": f"CASE WHEN {_YIELD} < 8 THEN 0 WHEN {_YIELD} < 24 THEN 1 ELSE 2 END",
+    "multi": "CASE " + " ".join(f"WHEN {_YIELD} < {6 * c + 2} THEN {c}" for c in range(6)) + " ELSE 6 END",
     "regression": f"{_YIELD} + 100 * l_tax",
     "flag": "CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END",
 }
+CLASSES = 7
+#: Parts that rows are laid out in for fits; the tables here come in one row group.
+PARTS = 8
 _LINE_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
 
 
@@ -113,7 +116,7 @@ def _constant(spark: SparkSession, **values: float) -> DataFrame:
 def _tree_sql(label: str, impurity: str, classes: int = 0) -> str:
     return (
         f"WITH {lines_sql(label)}, "
-        + sqltext.tree("line", LINE_FEATURES, 2, impurity, classes)
+        + sqltext.tree("line", LINE_FEATURES, 5, impurity, classes)
         + " SELECT id, round(prediction, 6) AS prediction FROM line JOIN t_pred USING (n)"
     )
 
@@ -126,49 +129,85 @@ def _predictions(model, rows: DataFrame) -> DataFrame:
 @query("fit_tree_binary", _tree_sql("binary", "gini", 2))
 def fit_tree_binary(spark: SparkSession, sf: str) -> DataFrame:
     rows = lines(spark, sf, "binary")
-    return _predictions(train.fit_tree(rows, impurity="gini", depth=2, bins=64), rows)
+    return _predictions(train.fit_tree(rows, impurity="gini", depth=5, bins=64, partitions=PARTS), rows)
 
 
-@query("fit_tree_multi", _tree_sql("multi", "entropy", 3))
+@query("fit_tree_multi", _tree_sql("multi", "entropy", CLASSES))
 def fit_tree_multi(spark: SparkSession, sf: str) -> DataFrame:
     rows = lines(spark, sf, "multi")
-    return _predictions(train.fit_tree(rows, impurity="entropy", depth=2, bins=64), rows)
+    return _predictions(train.fit_tree(rows, impurity="entropy", depth=5, bins=64, partitions=PARTS), rows)
 
 
 @query("fit_tree_regressor", _tree_sql("regression", "variance"))
 def fit_tree_regressor(spark: SparkSession, sf: str) -> DataFrame:
     rows = lines(spark, sf, "regression")
-    return _predictions(train.fit_tree_regressor(rows, depth=2, bins=64), rows)
+    return _predictions(train.fit_tree_regressor(rows, depth=5, bins=64, partitions=PARTS), rows)
+
+
+_FOREST_TREES = 4
+
+
+def _forest_sql() -> str:
+    """Trees on weighted rows, their class shares averaged."""
+    ctes = [lines_sql("multi")]
+    weights = []
+    for t in range(_FOREST_TREES):
+        at = sqltext.key_hash("id", f"0:{t}:")
+        counts = " + ".join(f"({at} >= {edge})::INTEGER" for edge in train.poisson_edges())
+        weights.append(f"{counts} AS w{t}")
+    ctes.append(f"weighted AS MATERIALIZED (SELECT *, {', '.join(weights)} FROM line)")
+    for t in range(_FOREST_TREES):
+        ctes.append(sqltext.tree("weighted", LINE_FEATURES, 4, "gini", CLASSES, f"f{t}", f"w{t}"))
+    means = ", ".join(
+        "(" + " + ".join(f"f{t}_share.s{c}" for t in range(_FOREST_TREES)) + f") / {_FOREST_TREES} AS p{c}"
+        for c in range(CLASSES)
+    )
+    joins = " ".join(f"JOIN f{t}_share USING (n)" for t in range(_FOREST_TREES))
+    shares = ", ".join(f"round(p{c}, 9)" for c in range(CLASSES))
+    return (
+        f"WITH {', '.join(ctes)}, mean AS (SELECT id, {means} FROM line {joins}) "
+        f"SELECT id, list_position([{shares}], greatest({shares}))::DOUBLE - 1 AS prediction, "
+        f"round(greatest({shares}), 6) AS probability FROM mean"
+    )
 
 
-@query(
-    "fit_random_forest",
-    f"SELECT {_LINE_ID} AS id, 3 AS n_probabilities, true AS is_class FROM lineitem",
-)
+@query("fit_random_forest", _forest_sql())
 def fit_random_forest(spark: SparkSession, sf: str) -> DataFrame:
-    """Trees see random row samples, so the check covers shape only."""
+    """Class and its share; the samples follow from the rows' keys, so SQL has them too."""
     rows = lines(spark, sf, "multi")
-    scored = evaluate.score(train.fit_forest(rows, trees=10, depth=3, bins=64), rows)
-    return scored.select(
-        "id",
-        F.size(vector_to_array("probability")).alias("n_probabilities"),
-        F.col("prediction").isin(0.0, 1.0, 2.0).alias("is_class"),
-    )
+    model = train.fit_hash_forest(rows, "id", trees=_FOREST_TREES, depth=4, bins=64, partitions=PARTS)
+    shares = F.transform(vector_to_array("probability"), lambda x: F.round(x, 9))
+    scored = evaluate.score(model, rows).withColumn("shares", shares)
+    top = F.array_max("shares")
+    place = (F.array_position("shares", top) - 1).cast("double")
+    return scored.select("id", place.alias("prediction"), F.round(top, 6).alias("probability"))
+
+
+_ROUNDS, _GBT_DEPTH = 10, 3
+
+
+def _gbt_sql() -> str:
+    """Each round's tree fits twice what the rounds before leave over."""
+    ctes, source = [lines_sql("regression")], "line"
+    for r in range(_ROUNDS):
+        ctes.append(sqltext.tree(source, LINE_FEATURES, _GBT_DEPTH, "variance", prefix=f"r{r}"))
+        rate = "" if r == 0 else "0.1::DOUBLE * "
+        total = f"{rate}r{r}_pred.prediction" + ("" if r == 0 else " + total")
+        before = "" if r == 0 else f" JOIN sum{r - 1} USING (n)"
+        ctes.append(f"sum{r} AS MATERIALIZED (SELECT n, {total} AS total FROM r{r}_pred{before})")
+        source = f"left{r}"
+        ctes.append(
+            f"{source} AS MATERIALIZED (SELECT line.* REPLACE (2 * (y - total) AS y) FROM line JOIN sum{r} USING (n))"
+        )
+    return f"WITH {', '.join(ctes)} SELECT id, round(total, 6) AS prediction FROM line JOIN sum{_ROUNDS - 1} USING (n)"
 
 
-@query(
-    "fit_gbt",
-    f"WITH {lines_sql('regression')}, "
-    + sqltext.tree("line", LINE_FEATURES, 1, "variance", prefix="a")
-    + ", residual AS (SELECT line.* REPLACE (2 * (y - prediction) AS y) FROM line JOIN a_pred USING (n)), "
-    + sqltext.tree("residual", LINE_FEATURES, 1, "variance", prefix="b")
-    + " SELECT id, round(a.prediction + 0.1::DOUBLE * b.prediction, 6) AS prediction"
-    " FROM line JOIN a_pred a USING (n) JOIN b_pred b USING (n)",
-)
+@query("fit_gbt", _gbt_sql())
 def fit_gbt(spark: SparkSession, sf: str) -> DataFrame:
-    """Two rounds of stumps: the second one fits the scaled residual of the first."""
+    """Ten rounds; each fits the scaled residual of those before."""
     rows = lines(spark, sf, "regression")
-    return _predictions(train.fit_gbt(rows, depth=1, bins=64, iterations=2), rows)
+    model = train.fit_gbt(rows, depth=_GBT_DEPTH, bins=64, iterations=_ROUNDS, partitions=PARTS)
+    return _predictions(model, rows)
 
 
 # -- linear models and naive Bayes --------------------------------------------

@@ -23,22 +23,13 @@ def register(df: DataFrame, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Deal a frame out to ``partitions`` parts, or rebalance one that is too small.
+    """Deal a frame out to ``partitions`` parts, where a number is given.
 
-    Repeated passes over one big row group, or a few small files, would keep most
-    cores idle. From the size on at which a scan is split for all cores anyway, the
-    frame is left alone, so that large data is never shuffled for this. That layout
-    depends on the cores, and what draws random numbers by partition depends on it;
-    give ``partitions`` where results must be the same on any cluster.
+    Repeated passes over one row group or a few small files keep most cores idle; the
+    caller knows that and names the parts. Nothing is derived from cores or sizes, so the
+    layout, and what depends on it, is the same on any cluster.
     """
-    if partitions is not None:
-        return df.repartition(partitions)
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    # The setting may carry any unit, so the session's own parser reads it.
-    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < cores * split else df
+    return df if partitions is None else df.repartition(partitions)
 
 
 @contextmanager

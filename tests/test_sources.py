@@ -90,11 +90,9 @@ def test_cached_releases_also_after_an_error(spark):
     assert not kept.is_cached
 
 
-def test_spread_leaves_large_frames_alone(spark):
-    small = spark.range(1000, numPartitions=1)
-    assert spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    large = spark.range(10**12)
-    assert spread(large) is large
+def test_spread_does_nothing_unasked(spark):
+    for df in (spark.range(1000, numPartitions=1), spark.range(10**12)):
+        assert spread(df) is df
 
 
 def test_spread_takes_a_number(spark):
