@@ -358,7 +358,7 @@ def score_unlabelled_decoded(spark: SparkSession, sf: str) -> DataFrame:
 )
 def score_with_error(spark: SparkSession, sf: str) -> DataFrame:
     rows = lines(spark, sf, "regression")
-    model = train.fit_tree_regressor(rows, depth=1, bins=64)
+    model = train.fit_tree_regressor(rows, depth=1, bins=64, partitions=PARTS)
     compared = evaluate.score_with_error(model, rows, keep=["id"])
     return compared.withColumns({n: F.round(n, 6) for n in ("label", "error")})
 
@@ -429,31 +429,44 @@ def eval_rmse(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _gd_grid_sql() -> str:
-    """Two step sizes, two iteration counts, measured on the validation part."""
-    runs = {"p": 1.0, "q": 10.0}
+    """All combinations: courses of weights per step size and share of rows, measured after
+    each number of steps on the validation part, and the winner on the test part."""
+    grid = tune.GRIDS["logistic"]
     ctes = [
-        _SCALED_SQL,
-        f"fit AS (SELECT * FROM line WHERE {sqltext.below('k', 8, 10)})",
-        f"held AS (SELECT * FROM line WHERE NOT {sqltext.below('k', 8, 10)})",
-    ]
-    ctes += [
-        sqltext.gradient_descent("fit", list(_SCALED), "logistic", 2, step, 0.01, prefix)
-        for prefix, step in runs.items()
+        _SCALED_SQL.replace("line AS (", "line AS MATERIALIZED (", 1),
+        f"fit AS MATERIALIZED (SELECT * FROM line WHERE {sqltext.below('k', 8, 10)})",
+        f"held AS MATERIALIZED (SELECT * FROM line WHERE NOT {sqltext.below('k', 8, 10)} AND {sqltext.below('k', 9, 10)})",
+        f"kept AS MATERIALIZED (SELECT * FROM line WHERE NOT {sqltext.below('k', 9, 10)})",
     ]
+    courses = {}
+    for step in grid["stepSize"]:
+        for fraction in grid["miniBatchFraction"]:
+            prefix = courses[step, fraction] = f"c{len(courses)}w"
+            ctes.append(sqltext.gradient_descent(
+                "fit", list(_SCALED), "logistic", max(grid["maxIter"]), step, 0.01, prefix, fraction
+            ))
     dot = " + ".join(f"{x} * w{j}" for j, x in enumerate(_SCALED))
-    trials = [
-        f"SELECT {trial} AS trial, {iterations} AS maxIter, {step}::DOUBLE AS stepSize, "
-        f"round((avg((m > 0)::INTEGER) FILTER (y = 1) + avg((m <= 0)::INTEGER) FILTER (y = 0)) / 2, 6)"
-        f" AS metric FROM (SELECT y, {dot} AS m FROM held, {prefix}{iterations})"
-        for trial, (iterations, (prefix, step)) in enumerate(
-            (i, run) for i in (1, 2) for run in runs.items()
+
+    def area(rows: str, weights: str) -> str:
+        return (
+            "(SELECT (avg((m > 0)::INTEGER) FILTER (y = 1) + avg((m <= 0)::INTEGER) FILTER (y = 0)) / 2"
+            f" FROM (SELECT y, {dot} AS m FROM {rows}, {weights}))"
         )
+
+    combinations = [
+        (i, s, f) for i in grid["maxIter"] for s in grid["stepSize"] for f in grid["miniBatchFraction"]
+    ]
+    trials = [
+        f"SELECT {t}::BIGINT AS trial, {i}::BIGINT AS \"maxIter\", {s}::DOUBLE AS \"stepSize\","
+        f" {f}::DOUBLE AS \"miniBatchFraction\", {area('held', courses[s, f] + str(i))} AS metric,"
+        f" {area('kept', courses[s, f] + str(i))} AS test"
+        for t, (i, s, f) in enumerate(combinations)
     ]
-    ctes.append("trials AS (" + " UNION ALL ".join(trials) + ")")
+    ctes.append("trials AS MATERIALIZED (" + " UNION ALL ".join(trials) + ")")
     return (
-        "WITH " + ", ".join(ctes) + " SELECT trial::BIGINT AS trial, maxIter::BIGINT AS \"maxIter\","
-        " stepSize AS \"stepSize\", metric,"
-        " trial = (SELECT arg_min(trial, (-metric, trial)) FROM trials) AS chosen FROM trials"
+        "WITH " + ", ".join(ctes) + " SELECT trial, \"maxIter\", \"stepSize\", \"miniBatchFraction\","
+        " round(metric, 6) AS metric, trial = best AS chosen, CASE WHEN trial = best THEN round(test, 6) END AS test_metric"
+        " FROM trials, (SELECT arg_min(trial, (-metric, trial)) AS best FROM trials)"
     )
 
 
@@ -467,16 +480,50 @@ def _marked(tuned: tune.Tuned) -> DataFrame:
 
 @query("tune_grid_holdout", _gd_grid_sql())
 def tune_grid_holdout(spark: SparkSession, sf: str) -> DataFrame:
-    rows = splits.split_random(scaled_lines(spark, sf), "k", {"train": 8, "validation": 2})
-    stage = gradient.GradientDescentClassifier(tol=0.0)
-    grid = tune.param_grid(stage, {"maxIter": [1, 2], "stepSize": [1.0, 10.0]})
+    """All 36 combinations at once, chosen on a validation part; the winner's metric on
+    test rows that took no part."""
+    rows = splits.split_random(scaled_lines(spark, sf), "k", {"train": 8, "validation": 1, "test": 1})
+    stage = gradient.GradientDescentClassifier(tol=0.0, keyCol="k")
+    part = {name: rows.filter(F.col("split") == name) for name in ("train", "validation", "test")}
     tuned = tune.tune_grid(
-        stage,
-        grid,
-        rows.filter("split = 'train'"),
-        rows.filter("split = 'validation'"),
-        evaluate.hard_auc_evaluator(),
-        parallelism=4,
+        stage, tune.param_grid(stage, tune.GRIDS["logistic"]), part["train"], part["validation"],
+        evaluate.hard_auc_evaluator(), test=part["test"], partitions=PARTS,
+    )
+    test = F.when(F.col("chosen"), F.round(F.lit(tuned.test_metric), 6))
+    return _marked(tuned).withColumn("test_metric", test)
+
+
+def _named_sweep_sql() -> str:
+    """Shrinkage of a hinge-loss classifier, from the table of named sweeps."""
+    values, held = tune.SWEEPS["svm", "regParam"]
+    steps, size = held["maxIter"], held["stepSize"]
+    ctes = [
+        _SCALED_SQL.replace("line AS (", "line AS MATERIALIZED (", 1),
+        f"fit AS MATERIALIZED (SELECT * FROM line WHERE {sqltext.below('k', 8, 10)})",
+        f"held AS MATERIALIZED (SELECT * FROM line WHERE NOT {sqltext.below('k', 8, 10)})",
+    ]
+    dot = " + ".join(f"{x} * w{j}" for j, x in enumerate(_SCALED))
+    trials = []
+    for t, reg in enumerate(values):
+        ctes.append(sqltext.gradient_descent("fit", list(_SCALED), "hinge", steps, size, reg, f"r{t}w"))
+        trials.append(
+            f"SELECT {t}::BIGINT AS trial, {reg}::DOUBLE AS \"regParam\","
+            " (avg((m > 0)::INTEGER) FILTER (y = 1) + avg((m <= 0)::INTEGER) FILTER (y = 0)) / 2 AS metric"
+            f" FROM (SELECT y, {dot} AS m FROM held, r{t}w{steps})"
+        )
+    ctes.append("trials AS MATERIALIZED (" + " UNION ALL ".join(trials) + ")")
+    return (
+        "WITH " + ", ".join(ctes) + ' SELECT trial, "regParam", round(metric, 6) AS metric,'
+        " trial = (SELECT arg_min(trial, (-metric, trial)) FROM trials) AS chosen FROM trials"
+    )
+
+
+@query("tune_sweep_named", _named_sweep_sql())
+def tune_sweep_named(spark: SparkSession, sf: str) -> DataFrame:
+    rows = splits.split_random(scaled_lines(spark, sf), "k", {"train": 8, "validation": 2})
+    tuned = tune.named_sweep(
+        "svm", "regParam", rows.filter("split = 'train'"), rows.filter("split = 'validation'"),
+        evaluate.hard_auc_evaluator(), partitions=PARTS,
     )
     return _marked(tuned)
 
@@ -516,32 +563,60 @@ def tune_sweep(spark: SparkSession, sf: str) -> DataFrame:
         rows.filter("split = 'validation'"),
         evaluate.accuracy_evaluator(),
         parallelism=4,
+        partitions=PARTS,
     )
     return _marked(tuned)
 
 
-@query(
-    "tune_tvs",
-    """
-    SELECT trial, impurity, "maxDepth", true AS measured FROM (VALUES
-        (0::BIGINT, 'gini', 1::BIGINT), (1, 'gini', 2), (2, 'entropy', 1), (3, 'entropy', 2)
-    ) grid(trial, impurity, "maxDepth")
-    """,
-)
-def tune_tvs(spark: SparkSession, sf: str) -> DataFrame:
-    """The split is drawn at random, so the check covers the grid and the metric's range."""
-    rows = lines(spark, sf, "multi")
-    stage = train.tree_classifier(bins=64)
-    grid = tune.param_grid(stage, {"impurity": ["gini", "entropy"], "maxDepth": [1, 2]})
-    search = tune.tune_split(stage, grid, evaluate.accuracy_evaluator(), parallelism=4)
-    searched = tune.run_search(search, rows)
-    return tune.validation_table(spark, searched, grid).select(
-        "trial", "impurity", "maxDepth", F.col("metric").between(0.34, 1.0).alias("measured")
+# Line items with features of so few values that any of the searched numbers of bins holds them.
+_FEW = {
+    "quantity": "floor(l_quantity / 6)", "linenumber": "l_linenumber", "discount": "floor(l_discount * 50)",
+}
+_FEW_LABEL = LINE_LABELS["multi"]
+
+
+def _split_search_sql() -> str:
+    grid = tune.GRIDS["pipeline_tree"]
+    names = ", ".join(f"CAST({e} AS DOUBLE) AS {n}" for n, e in _FEW.items())
+    ctes = [
+        f"line AS MATERIALIZED (SELECT row_number() OVER () AS n, l_orderkey AS k, {names}, ({_FEW_LABEL}) AS y,"
+        f" ({sqltext.below('l_orderkey', 4, 5)})::INTEGER AS fit FROM lineitem)"
+    ]
+    for impurity in grid["impurity"]:
+        ctes.append(sqltext.tree(
+            "line", list(_FEW), max(grid["maxDepth"]), impurity, CLASSES, impurity, "fit", grid["maxDepth"]
+        ))
+    trials = [
+        f"SELECT {t}::BIGINT AS trial, '{i}' AS impurity, {d}::BIGINT AS \"maxDepth\", {b}::BIGINT AS \"maxBins\","
+        f" avg((prediction = y)::INTEGER) AS metric FROM line JOIN {i}_at{d} USING (n) WHERE fit = 0"
+        for t, (i, d, b) in enumerate(
+            (i, d, b) for i in grid["impurity"] for d in grid["maxDepth"] for b in grid["maxBins"]
+        )
+    ]
+    ctes.append("trials AS MATERIALIZED (" + " UNION ALL ".join(trials) + ")")
+    return (
+        "WITH " + ", ".join(ctes) + ' SELECT trial, impurity, "maxDepth", "maxBins", round(metric, 6) AS metric,'
+        " trial = (SELECT arg_min(trial, (-metric, trial)) FROM trials) AS chosen FROM trials"
     )
 
 
+@query("tune_tvs", _split_search_sql())
+def tune_tvs(spark: SparkSession, sf: str) -> DataFrame:
+    """All 18 trees on one split by key hash."""
+    columns = {**{n: f"double({e})" for n, e in _FEW.items()}, "label": f"double({_FEW_LABEL})"}
+    raw = table(spark, sf, "lineitem").selectExpr("l_orderkey AS k", *[f"{e} AS {n}" for n, e in columns.items()])
+    rows = features.assemble(raw, list(_FEW)).select("k", "features", "label")
+    stage = train.tree_classifier()
+    grid = tune.param_grid(stage, tune.GRIDS["pipeline_tree"])
+    search = tune.tune_split(stage, grid, evaluate.accuracy_evaluator(), "k", parallelism=4, partitions=PARTS)
+    searched = search.fit(rows)
+    chosen = F.col("trial") == searched.bestIndex
+    trials = tune.validation_table(spark, searched, grid).withColumn("chosen", chosen)
+    return trials.withColumn("metric", F.round("metric", 6))
+
+
 def _folds_sql() -> str:
-    smoothings = (1.0, 15.0)
+    smoothings = tune.GRIDS["naive_bayes"]["smoothing"]
     fold = sqltext.key_hash("id", "fold:") + " % 3"
     ctes = [
         lines_sql("flag"),
@@ -571,9 +646,9 @@ def tune_cv(spark: SparkSession, sf: str) -> DataFrame:
     fold = (splits.key_hash("id", "fold:") % 3).cast("int")
     rows = lines(spark, sf, "flag").withColumn("fold", fold)
     stage = train.naive_bayes()
-    grid = tune.param_grid(stage, {"smoothing": [1.0, 15.0]})
+    grid = tune.param_grid(stage, tune.GRIDS["naive_bayes"])
     search = tune.tune_folds(
         stage, grid, evaluate.accuracy_evaluator(), folds=3, fold_col="fold", parallelism=4
     )
-    table_ = tune.validation_table(spark, tune.run_search(search, rows), grid)
+    table_ = tune.validation_table(spark, tune.run_search(search, rows, PARTS), grid)
     return table_.withColumn("metric", F.round("metric", 6))

@@ -104,6 +104,7 @@ def tree(
     classes: int = 0,
     prefix: str = "t",
     weight: str = "",
+    levels: Sequence[int] = (),
 ) -> str:
     """Greedy binary tree of fixed depth over features with few distinct values.
 
@@ -111,7 +112,8 @@ def tree(
     the leaf's majority class, or the leaf's mean for ``variance``. Every value
     present in a node is a candidate, "up to and including it" goes left. ``weight`` is an
     expression for how often a row counts; rows of weight 0 are scored only. For classes
-    ``{prefix}_share(n, s0, s1, ...)`` has the class shares of each row's leaf.
+    ``{prefix}_share(n, s0, s1, ...)`` has the class shares of each row's leaf, and
+    ``{prefix}_at{level}(n, prediction)`` the majority class in trees of those depths.
     """
     factor = f"{weight} * " if weight else ""
     if impurity == "variance":
@@ -168,7 +170,14 @@ def tree(
             f" QUALIFY row_number() OVER (PARTITION BY node ORDER BY sum({weight or '1'}) DESC, y) = 1"
         )
     ctes.append(f"{prefix}_pred AS MATERIALIZED (SELECT n, prediction FROM {leaf} JOIN ({value}) USING (node))")
-    if classes:
+    for level in levels:
+        node = f"{prefix}_node{level}"
+        ctes.append(
+            f"{prefix}_at{level} AS MATERIALIZED (SELECT n, prediction FROM {node} JOIN ("
+            f"SELECT node, y AS prediction FROM {node}{counted} GROUP BY node, y"
+            f" QUALIFY row_number() OVER (PARTITION BY node ORDER BY sum({weight or '1'}) DESC, y) = 1) USING (node))"
+        )
+    if classes and not levels:
         # Sibling leaves that predict the same class are one leaf, from the lowest level up.
         ctes.append(
             f"{prefix}_cut{depth} AS MATERIALIZED (SELECT l.*, prediction, {depth} AS top FROM {leaf} l JOIN {prefix}_pred USING (n))"
