@@ -55,37 +55,45 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        vectors, keys = batch.column("x"), batch.column("keys")
-        dense = vectors.field("type").to_numpy(zero_copy_only=False) == 1
-        values = vectors.field("values")
-        counts = np.asarray(values.value_lengths(), np.int64)
-        x = values.flatten().to_numpy(zero_copy_only=False)
-        sizes = np.where(dense, counts, vectors.field("size").fill_null(0).to_numpy(zero_copy_only=False))
+        dense = batch.column("dense").to_numpy(zero_copy_only=False)
+        lists = batch.column("x")
+        lengths = np.asarray(lists.value_lengths(), np.int64)
+        flat = lists.flatten().to_numpy(zero_copy_only=False)
+        sizes = batch.column("size").to_numpy(zero_copy_only=False)
         if (sizes != sizes[0]).any():
             raise ValueError("feature vectors differ in size")
-        at = b""
+        counts, at, x = np.where(dense, lengths, lengths // 2), b"", flat
         if not dense.all():
-            # Dense rows carry no indices; theirs are all features in order.
-            places = np.arange(x.size) - np.repeat(np.cumsum(counts) - counts, counts)
-            given = vectors.field("indices").flatten().to_numpy(zero_copy_only=False)
-            places[np.repeat(~dense, counts)] = given
-            at = places.astype(np.int32).tobytes()
+            # A sparse row is its values and then their features; a dense one's are all in order.
+            place = np.arange(flat.size) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            first = place < np.repeat(counts, lengths)
+            x = flat[first]
+            features = place[first]
+            features[np.repeat(~dense, counts)] = flat[~first]
+            at = features.astype(np.int32).tobytes()
         y = batch.column("y").to_numpy(zero_copy_only=False)
         cells = [int(sizes[0]), counts.astype(np.int32).tobytes(), at, x.tobytes(), y.tobytes()]
         kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
         columns = [pa.array([c], k) for c, k in zip(cells, kinds)]
-        named = keys.to_pylist() if keys.null_count < len(keys) else []
-        columns.append(pa.array([[k or "" for k in named]], pa.list_(pa.string())))
+        keys = batch.column("keys").to_pylist() if "keys" in batch.schema.names else []
+        columns.append(pa.array([[k or "" for k in keys]], pa.list_(pa.string())))
         yield pa.RecordBatch.from_arrays(columns, ["size", "rows", "at", "x", "y", "keys"])
 
 
 def pack_rows(df: DataFrame, features: str, label: str, key: str | None = None) -> DataFrame:
     """Blocks of rows for the passes of a fit. Rows without label or features are left out."""
-    keys = F.lit(None) if key is None else F.col(key)
-    slim = df.select(
-        F.unwrap_udt(features).alias("x"), F.col(label).cast("double").alias("y"), keys.cast("string").alias("keys")
-    )
-    return slim.where("x is not null and y is not null").mapInArrow(_pack, _BLOCK)
+    # One list a row: null lists, as dense vectors have them, are slow to hand over.
+    inner = F.unwrap_udt(features)
+    dense = inner["type"] == 1
+    both = F.concat(inner["values"], inner["indices"].cast("array<double>"))
+    columns = {
+        "dense": dense, "size": F.when(dense, F.size(inner["values"])).otherwise(inner["size"]),
+        "x": F.when(dense, inner["values"]).otherwise(both), "y": F.col(label).cast("double"),
+    }
+    if key is not None:
+        columns["keys"] = F.col(key).cast("string")
+    slim = df.where(F.col(features).isNotNull() & F.col(label).isNotNull())
+    return slim.select(*[c.alias(n) for n, c in columns.items()]).mapInArrow(_pack, _BLOCK)
 
 
 @dataclass
@@ -119,10 +127,11 @@ class _Block:
         for k in range(pull.shape[1]):
             total[:, k] += np.bincount(self.at, self.x * pull[self.row, k], len(total))
 
-    def drawn(self, prefix: str, fraction: float) -> np.ndarray:
-        """Rows of a mini-batch. Membership follows from key, seed and step alone."""
-        first = (hashlib.md5(f"{prefix}{k}".encode()).digest()[:4] for k in self.keys)
-        return np.array([int.from_bytes(d, "big") for d in first], np.int64) < int(fraction * _HASH_RANGE)
+    def drawn(self, prefix: str) -> np.ndarray:
+        """Number of each row; those below a share of the range make a mini-batch of that
+        share. It follows from key, seed and step alone."""
+        first = b"".join([hashlib.md5(f"{prefix}{k}".encode()).digest()[:4] for k in self.keys])
+        return np.frombuffer(first, ">u4").astype(np.int64)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
@@ -176,13 +185,14 @@ def _gradients(weights, losses: Sequence[str], draws: Sequence[tuple[str, float]
             if hinge.any():
                 side = 2 * y - 1
                 pull = np.where(hinge, np.where(side * margin < 1, -side, 0.0), pull)
-            seen: dict[tuple[str, float], np.ndarray] = {}
-            for k, draw in enumerate(draws):
-                if draw[1] < 1.0:
-                    if draw not in seen:
-                        seen[draw] = block.drawn(*draw)
-                    pull[~seen[draw], k] = 0.0
-                    n[k] += seen[draw].sum()
+            numbers: dict[str, np.ndarray] = {}
+            for k, (prefix, fraction) in enumerate(draws):
+                if fraction < 1.0:
+                    if prefix not in numbers:
+                        numbers[prefix] = block.drawn(prefix)
+                    taken = numbers[prefix] < int(fraction * _HASH_RANGE)
+                    pull[~taken, k] = 0.0
+                    n[k] += taken.sum()
                 else:
                     n[k] += y.size
             block.add_gradients(pull, total)

@@ -153,12 +153,11 @@ class HashForestClassifier(Estimator, _HashForestParams):
         self._set(**{k: v for k, v in given.items() if k not in ("parallelism", "partitions")})
         self._setDefault(numTrees=10, maxDepth=5, maxBins=32, impurity="gini", seed=0)
 
-    def weight(self, tree: int) -> Column:
-        """How often a row counts in one tree's sample: Poisson with mean 1."""
-        at = key_hash(self.getOrDefault(self.keyCol), f"{self.getSeed()}:{tree}:")
-        edges = poisson_edges()
-        passed = [F.when(at >= edge, 1).otherwise(0) for edge in edges]
-        return reduce(lambda a, b: a + b, passed).cast("double")
+    def weights(self) -> Column:
+        """How often a row counts in each tree's sample: Poisson numbers with mean 1."""
+        edges = F.lit(poisson_edges())
+        drawn = [key_hash(self.getOrDefault(self.keyCol), f"{self.getSeed()}:{t}:") for t in range(self.getOrDefault(self.numTrees))]
+        return F.transform(F.array(*drawn), lambda at: F.size(F.filter(edges, lambda e: e <= at)).cast("double"))
 
     def _fit(self, dataset: DataFrame) -> HashForestModel:
         stage = DecisionTreeClassifier(
@@ -166,11 +165,11 @@ class HashForestClassifier(Estimator, _HashForestParams):
             maxBins=self.getOrDefault(self.maxBins), featuresCol=self.getFeaturesCol(),
             labelCol=self.getLabelCol(), weightCol="_weight", seed=0,
         )
-        columns = [self.getFeaturesCol(), self.getLabelCol(), self.getOrDefault(self.keyCol)]
+        columns = [self.getFeaturesCol(), self.getLabelCol(), self.weights().alias("_weights")]
         with cached(dataset.select(*columns), partitions=self.partitions) as (rows,), ThreadPool(self.parallelism) as pool:
 
             def grow(tree: int) -> DecisionTreeClassificationModel:
-                return stage.fit(rows.withColumn("_weight", self.weight(tree)).where("_weight > 0"))
+                return stage.fit(rows.withColumn("_weight", F.col("_weights")[tree]).where("_weight > 0"))
 
             trees = pool.map(grow, range(self.getOrDefault(self.numTrees)))
         return self._copyValues(HashForestModel(trees))
