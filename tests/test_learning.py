@@ -313,7 +313,7 @@ def test_search_minimises_errors(planted):
 def test_searches_inside_a_pipeline(planted):
     stage = train.tree_classifier()
     grid = tune.param_grid(stage, {"maxDepth": [1, 4]})
-    split = tune.tune_split(stage, grid, evaluate.accuracy_evaluator())
+    split = tune.tune_split(stage, grid, evaluate.accuracy_evaluator(), "id")
     fitted = features.build_pipeline([features.scaler(output="ignored"), split]).fit(planted)
     assert evaluate.accuracy(fitted.transform(planted)).first()["accuracy"] > 0.8
     assert len(fitted.stages[1].validationMetrics) == 2
