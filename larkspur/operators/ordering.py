@@ -31,7 +31,7 @@ _TOP_MERGED = 100_000
 _MAX_HOT = 10_000
 
 
-def _row_hash(df: DataFrame) -> Column:
+def row_hash(df: DataFrame) -> Column:
     # Maps cannot be hashed; rows that differ in those only are told apart like copies.
     parts = [F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind]
     return F.xxhash64(*parts) if parts else F.lit(0)
@@ -45,7 +45,7 @@ def sort_rows(df: DataFrame, *order: Order) -> DataFrame:
     they come from, so that a value owning much of the data is cut into ranges too.
     Both are the same again when a lost task is repeated.
     """
-    tagged = df.withColumns({"_tie": _row_hash(df), "_from": F.spark_partition_id()})
+    tagged = df.withColumns({"_tie": row_hash(df), "_from": F.spark_partition_id()})
     return tagged.orderBy(*order, "_tie", "_from").drop("_tie", "_from")
 
 
@@ -57,7 +57,7 @@ def top_k(df: DataFrame, k: int, *order: Order) -> DataFrame:
     the same rows in the same order.
     """
     if k <= _TOP_MERGED:
-        return df.withColumn("_tie", _row_hash(df)).orderBy(*order, "_tie").limit(k).drop("_tie")
+        return df.withColumn("_tie", row_hash(df)).orderBy(*order, "_tie").limit(k).drop("_tie")
     first = with_position(df, order, "_position").filter(F.col("_position") < k)
     return first.orderBy("_position").drop("_position")
 
