@@ -60,13 +60,13 @@ def with_next(docs: DataFrame) -> DataFrame:
     Ids are cut into ranges of about equal size. The first row of a range is also sent to
     the range before it (of the first range: to the last one), where it is not ``real``.
     So one shuffle brings every text together with the next, and no task orders more than
-    its ranges.
+    its ranges. Ids that are no whole numbers are ordered as null ones are.
     """
     spark: SparkSession = docs.sparkSession
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select("doc_id", text.alias("text"))
     rows = rows.withColumns({
-        "ord": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63))), "th": F.xxhash64("text")
+        "ord": F.coalesce(F.col("doc_id").try_cast("bigint"), F.lit(-(1 << 63))), "th": F.xxhash64("text")
     })
     count = _BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = F.array(*[F.lit(i / count) for i in range(1, count)])

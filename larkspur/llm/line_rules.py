@@ -91,7 +91,8 @@ def clean_lines(docs: DataFrame) -> DataFrame:
     """
     none = F.coalesce(F.col("text"), F.lit(""))
     words, lines, hashes = F.col("_words"), F.col("_lines"), F.col("_hashes")
-    df = docs.withColumn("_text", none)
+    # Columns of the input travel in one, so that none can clash with what is worked out.
+    df = docs.select(F.struct("*").alias("_row"), none.alias("_text"))
     df = df.withColumns({
         "_words": word_array(F.col("_text")),
         "_lines": F.filter(F.split("_text", "\n"), lambda x: x.rlike(WORD)),
@@ -147,4 +148,9 @@ def clean_lines(docs: DataFrame) -> DataFrame:
     df = df.withColumn(
         "kept", ~F.col("base_failed") & (F.col("lost_chars") <= MAX_LOST * F.col("word_chars"))
     )
-    return df.drop("_text", "_words", "_lines", "_each", "_hashes", "_windows", "_same", "_good")
+    made = [
+        "clean_text", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "lost_chars", "base_failed", "kept",
+    ]
+    own = [F.col("_row").getField(c).alias(c) for c in docs.columns if c not in made]
+    return df.select(*own, *made)

@@ -124,7 +124,7 @@ def _identified(docs: DataFrame) -> DataFrame:
     uid = F.xxhash64(text)
     stand_in = F.lit(1 << 62).bitwiseOR(F.shiftrightunsigned(uid, 3))
     return docs.select(
-        F.coalesce(F.col("doc_id").cast("bigint"), stand_in).alias("ord"), uid.alias("uid"), text.alias("text")
+        F.coalesce(F.col("doc_id").try_cast("bigint"), stand_in).alias("ord"), uid.alias("uid"), text.alias("text")
     )
 
 
@@ -163,8 +163,8 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     counted before they are shuffled, so a passage in a third of all documents is split.
     Null and empty texts, and texts of under 50 words, have no run. Rows with one doc_id
     are one document; what repeats inside one document does not count. Null ids come
-    last, and stay null in ``first_doc_ids`` too. Other columns are not read. Empty table:
-    no rows.
+    last, and stay null in ``first_doc_ids`` too; ids that are no whole numbers count as
+    null. Other columns are not read. Empty table: no rows.
     """
     ids = _identified(docs)
     slim = ids.select("ord", "uid", F.regexp_count("text", F.lit(WORD)).alias("words"))
@@ -207,49 +207,72 @@ def merge_runs(starts: np.ndarray, length: int = PASSAGE) -> list[tuple[int, int
     return list(zip(first.tolist(), (last + length).tolist()))
 
 
+def _cut_runs(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
+    """``raw`` without the given byte ranges, and without the lines that are left without a
+    word by that. Lines that had none before stay."""
+    parts, places, at, size = [], [], 0, 0
+    for a, b in spans:
+        parts.append(raw[at:a])
+        size += a - at
+        places.append(size)
+        at = b
+    left = b"".join([*parts, raw[at:]])
+    for place in reversed(places):
+        start = left.rfind(b"\n", 0, place) + 1
+        end = left.find(b"\n", place)
+        end = len(left) if end < 0 else end
+        if not left[start:end].translate(None, b"\x20\t\n\x0b\x0c\r"):
+            # With its line end, or with the one before if it is the last line.
+            left = left[:start] + left[end + 1 :] if end < len(left) else left[: max(start - 1, 0)]
+    return left
+
+
 def drop_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with every passage removed that another document holds first.
 
-    The first holder keeps it. What is left of a line stays a line; lines without a word
-    go. ``n_chars`` is counted anew where there is such a column. Documents of which no
-    word is left are removed; all other rows and columns stay as they are.
+    The first holder keeps it. The passage's words and what lies between them go, and a
+    line that is left without a word by that; everything else of a text stays. ``n_chars``
+    is counted anew where there is such a column. Documents that lose their last word are
+    removed; all other rows and columns, of whatever name, stay as they are.
     """
     found = repeated_passages(docs.select("doc_id", "text")).where(F.size("repeat_starts") > 0)
-    cuts = found.select(F.col("doc_id").alias("_id"), F.col("uid").alias("_of"), F.col("repeat_starts").alias("_cuts"))
+    cuts = found.select(F.col("doc_id").alias("id"), F.col("uid").alias("of"), F.col("repeat_starts").alias("cuts"))
     # A repeated row has a repeated cut; one is enough.
-    cuts = cuts.dropDuplicates(["_id", "_of"])
+    cuts = cuts.dropDuplicates(["id", "of"])
     names = docs.columns
-    rows = docs.withColumn("_uid", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    rows = rows.join(cuts, (F.col("_uid") == F.col("_of")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    # Columns of the input travel in one, so that none can clash.
+    rows = docs.select(F.struct("*").alias("row"))
+    rows = rows.withColumn("uid", F.xxhash64(F.coalesce(F.col("row.text").cast("string"), F.lit(""))))
+    same = F.col("row.doc_id").try_cast("bigint").eqNullSafe(F.col("id"))
+    rows = rows.join(cuts, (F.col("uid") == F.col("of")) & same, "left").select("row", "cuts", "row.text")
     place = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            touched = batch.column("_cuts").is_valid().to_numpy(zero_copy_only=False)
-            texts = batch.column("text").to_pylist() if touched.any() else None
-            columns = [batch.column(c) for c in names]
+            touched = np.flatnonzero(batch.column("cuts").is_valid().to_numpy(zero_copy_only=False))
+            columns = batch.column("row").flatten()
             keep = np.ones(batch.num_rows, bool)
-            if texts is not None:
+            if touched.size:
+                texts = batch.column("text").to_pylist()
                 words = Words(batch.column("text"))
-                lists = batch.column("_cuts")
-                for i in np.flatnonzero(touched):
+                lists = batch.column("cuts")
+                for i in touched:
                     starts = np.sort(np.array(lists[int(i)].as_py(), np.int64))
-                    raw = texts[i].encode()
-                    base, at, parts = words.offsets[i], 0, []
-                    for a, b in merge_runs(starts):
-                        parts.append(raw[at : words.start[words.first[i] + a] - base])
-                        at = words.end[words.first[i] + b - 1] - base
-                    parts.append(raw[at:])
-                    lines = b"".join(parts).decode().split("\n")
-                    texts[i] = "\n".join(line for line in lines if line.strip())
-                    keep[i] = bool(texts[i])
+                    base, first = words.offsets[i], words.first[i]
+                    spans = [
+                        (int(words.start[first + a] - base), int(words.end[first + b - 1] - base))
+                        for a, b in merge_runs(starts)
+                    ]
+                    left = _cut_runs(texts[i].encode(), spans)
+                    texts[i] = left.decode()
+                    keep[i] = bool(left.translate(None, b"\x20\t\n\x0b\x0c\r"))
                 columns[place] = pa.array(texts, columns[place].type)
                 if "n_chars" in names:
                     at = names.index("n_chars")
                     counts = columns[at].to_pylist()
-                    for i in np.flatnonzero(touched):
+                    for i in touched:
                         counts[i] = len(texts[i])
                     columns[at] = pa.array(counts, columns[at].type)
             yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(keep))
 
-    return rows.select(*names, "_cuts").mapInArrow(run, docs.schema)
+    return rows.mapInArrow(run, docs.schema)

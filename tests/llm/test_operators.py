@@ -287,11 +287,167 @@ def test_queries_with_sql(spark, name):
     assert not differences(QUERIES[name].run(spark, FOLDER), connect(FOLDER), QUERIES[name].oracle)[0]
 
 
+def test_only_the_passage_and_emptied_lines_go(spark):
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [
+        (1, passage), (2, f"x\n\ny\n \n{passage}\n\x85\nz"), (3, f"{passage}\n\nend"),
+        (4, f"a {passage} b\n\n"), (5, f" {passage}\n"), (6, f"top\n{passage}"),
+    ]
+    left = suffix_dedup.drop_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {r.doc_id: r.text for r in left.collect()} == {
+        1: passage, 2: "x\n\ny\n \n\x85\nz", 3: "\nend", 4: "a  b\n\n", 6: "top",
+    }
+
+
+def test_clashing_columns_stay(spark):
+    passage = " ".join(f"p{i}." for i in range(60))
+    names = ["_uid", "uid", "_cuts", "cuts", "_of", "of", "_id", "id", "row", "_row", "_order", "_times"]
+    lines = ["_text", "_words", "_lines", "_each", "_hashes", "_windows", "_same", "_good"]
+    columns = ["doc_id", "text", *names, *lines]
+    rows = [(d, text, *range(len(columns) - 2)) for d, text in ((1, passage), (2, passage + " more words"), (3, passage))]
+    docs = spark.createDataFrame(rows, columns)
+    left = suffix_dedup.drop_repeats(docs)
+    assert left.columns == columns and {r["text"].strip() for r in left.collect()} == {passage, "more words"}
+    first = jaccard_join.keep_first(docs)
+    assert first.columns == columns and [r["doc_id"] for r in first.collect()] == [1]
+    judged = line_rules.clean_lines(docs)
+    assert judged.columns[: len(columns)] == columns and judged.count() == 3
+    assert all(tuple(r[c] for c in columns[2:]) == tuple(range(len(columns) - 2)) for r in judged.collect())
+
+
+def test_ids_that_are_texts(spark):
+    passage = " ".join(f"p{i}" for i in range(60))
+    docs = spark.createDataFrame([("a", passage), ("b", passage + " x"), ("7", "other " + passage)], "doc_id string, text string")
+    assert suffix_dedup.repeated_passages(docs).count() == 3
+    assert suffix_dedup.drop_repeats(docs).count() >= 1
+    assert fingerprints.fingerprint_versions(docs).count() == 3
+
+
+def test_the_same_row_of_a_repeated_id_stays(spark):
+    text = "one text of several words that is there more than once"
+    rows = [(1, text, f"s{i}") for i in range(9)]
+    kept = {
+        jaccard_join.keep_first(spark.createDataFrame(r, "doc_id bigint, text string, source string")).first()["source"]
+        for r in (rows, rows[::-1], rows[4:] + rows[:4])
+    }
+    assert len(kept) == 1
+
+
+def test_quality_of_held_out_documents(spark):
+    folder = "/root/testdata/sf0.01"
+    marks = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality")
+    held = QUERIES["op1_quality_classifier"].run(spark, folder).where("held_out").join(marks, "doc_id")
+    right, n = held.agg(F.count_if(F.col("predicted") == F.col("quality")), F.count("*")).first()
+    assert n > 100 and right >= 0.98 * n
+
+
+def test_toxicity_of_held_out_documents(spark):
+    folder = "/root/testdata/sf0.1"
+    marks = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
+    held = QUERIES["op8_toxicity"].run(spark, folder).where("held_out").join(marks, "doc_id")
+    counts = {(r["toxic"], r["predicted"]): r["count"] for r in held.groupBy("toxic", "predicted").count().collect()}
+    assert counts[1, 1] >= 0.8 * (counts[1, 1] + counts.get((1, 0), 0))
+    assert counts.get((0, 1), 0) <= 0.01 * counts[0, 0]
+
+
+def brute_classes(texts):
+    """Least id of each component of links at 0.8, by all pairs that share a shingle."""
+    sets = {}
+    for d, t in texts.items():
+        w = WORD.findall(t)
+        sets[d] = {tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} if w else set()
+    label = {d: d for d in texts}
+
+    def root(d):
+        while label[d] != d:
+            d = label[d]
+        return d
+
+    holders = defaultdict(set)
+    for d, s in sets.items():
+        for x in s or {("text", texts[d])}:
+            holders[x].add(d)
+    pairs = {(a, b) for h in holders.values() for a in h for b in h if a < b}
+    for a, b in pairs:
+        both, either = len(sets[a] & sets[b]), len(sets[a] | sets[b])
+        if texts[a] == texts[b] or 5 * both >= 4 * either > 0:
+            x, y = sorted((root(a), root(b)))
+            label[y] = x
+    return {d: root(d) for d in texts}
+
+
+def brute_cuts(texts):
+    holders = brute_windows(texts.items())
+    out = {}
+    for d, t in texts.items():
+        found = list(WORD.finditer(t))
+        words = [m.group() for m in found]
+        gone = [False] * len(words)
+        for s in range(len(words) - 49):
+            if min(holders[tuple(words[s : s + 50])]) != d:
+                gone[s : s + 50] = [True] * 50
+        if not any(gone):
+            out[d] = t
+            continue
+        # Runs that overlap or touch are cut as one.
+        pieces, at, i = [], 0, 0
+        while i < len(words):
+            if gone[i]:
+                j = i
+                while j + 1 < len(words) and gone[j + 1]:
+                    j += 1
+                pieces.append(t[at : found[i].start()])
+                at, i = found[j].end(), j
+            i += 1
+        marked = "\0".join([*pieces, t[at:]])
+        lines = [x for x in marked.split("\n") if "\0" not in x or WORD.search(x.replace("\0", ""))]
+        left = "\n".join(lines).replace("\0", "")
+        if WORD.search(left):
+            out[d] = left
+    return out
+
+
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
-def test_pipeline(spark):
+def test_pipeline_stage_by_stage(spark, tmp_path):
+    """All rows of every stage after the classifier, by brute force, SQL and the public tokenizer."""
     import corpus_pipeline
+    import duckdb
+    import tiktoken
+    from larkspur.llm.queries import _OP5_SQL
+    from tiktoken.load import load_tiktoken_bpe
 
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    scored = {r.doc_id: r.predicted for r in QUERIES["op1_quality_classifier"].run(spark, FOLDER).collect()}
     good = corpus_pipeline.good_documents(spark, docs, FOLDER)
-    assert good.schema == docs.schema and 0 < good.count() <= docs.count()
-    assert corpus_pipeline.run(spark, FOLDER).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert good.schema == docs.schema
+    rows = {r.doc_id: r for r in good.collect()}
+    assert set(rows) == {d for d, p in scored.items() if p == 1} and len(rows) > 100
+
+    texts = {d: r.text for d, r in rows.items()}
+    classes = brute_classes(texts)
+    first = corpus_pipeline.one_of_each_class(spark, good, FOLDER)
+    kept = sorted(r.doc_id for r in first.collect())
+    assert first.schema == docs.schema and kept == sorted({c for c in classes.values()})
+
+    cut = corpus_pipeline.without_repeats(spark, first, FOLDER)
+    found = {r.doc_id: r for r in cut.collect()}
+    expected = brute_cuts({d: texts[d] for d in kept})
+    assert cut.schema == docs.schema and {d: r.text for d, r in found.items()} == expected
+    assert all(r.n_chars == len(r.text) and r.source == rows[d].source for d, r in found.items())
+
+    con = duckdb.connect()
+    frame = cut.toPandas()
+    con.register("documents", frame)
+    times = {d: t // s if s else 0 for d, s, t in con.execute(f"SELECT doc_id, size, taken FROM ({_OP5_SQL})").fetchall()}
+    mix = corpus_pipeline.mixed(spark, cut, FOLDER)
+    taken = defaultdict(int)
+    for r in mix.collect():
+        taken[r.doc_id] += 1
+        assert r.text == expected[r.doc_id]
+    assert mix.schema == docs.schema and dict(taken) == {d: n for d, n in times.items() if n}
+
+    library = tiktoken.Encoding(
+        "ours", pat_str=public_tokenizers.PATTERN, mergeable_ranks=load_tiktoken_bpe(RANKS), special_tokens={}
+    )
+    encoded = sorted((r.doc_id, r.n_tokens) for r in corpus_pipeline.run(spark, FOLDER).collect())
+    assert encoded == sorted((d, len(library.encode_ordinary(expected[d]))) for d, n in taken.items() for _ in range(n))
