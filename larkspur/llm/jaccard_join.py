@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from larkspur.llm.components import components
 from larkspur.llm.scan import Words, mix, runs, slices, stream, within
-from larkspur.operators.ordering import row_hash
 from larkspur.session import materialize
 
 SHINGLE = 5
@@ -335,7 +334,7 @@ def keep_first(docs: DataFrame) -> DataFrame:
     joined = materialize(join_similar(docs.select("doc_id", "text")), "classes")
     first = joined.where(F.col("doc_id").eqNullSafe(F.col("class_id")))
     first = first.groupBy("node", "doc_id", "class_node").agg(F.count("*").alias("_times"))
-    rows = docs.select(F.struct("*").alias("_row"), row_hash(docs).alias("_order"))
+    rows = docs.select(F.struct("*").alias("_row"))
     node = F.xxhash64(F.coalesce(F.col("_row.text").cast("string"), F.lit("")))
     rows = rows.withColumn("_node", node)
     kept = rows.join(
@@ -344,6 +343,8 @@ def keep_first(docs: DataFrame) -> DataFrame:
     per_class = first.groupBy("class_node").agg(F.sum("_times").alias("_rows"))
     kept = kept.join(per_class.withColumnRenamed("class_node", "_class"), F.col("class_node") == F.col("_class"))
     once = kept.where("_rows = 1").select("_row")
-    again = kept.where("_rows > 1").groupBy("class_node").agg(F.min_by("_row", "_order").alias("_row"))
+    # The hash is worked out here only: then both halves read the same shuffled rows.
+    parts = [F.col("_row").getField(c) for c, kind in docs.dtypes if "map<" not in kind]
+    again = kept.where("_rows > 1").groupBy("class_node").agg(F.min_by("_row", F.xxhash64(*parts)).alias("_row"))
     again = again.select("_row")
     return once.unionByName(again).select("_row.*")
