@@ -12,10 +12,12 @@ positions are to be reproducible it must be unique.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DateType, NumericType, StringType, TimestampType
 
 from larkspur.session import materialize
 
@@ -23,12 +25,8 @@ Order = Column | str
 
 # monotonically_increasing_id puts the partition number above these bits.
 _ROW_BITS = 33
-# A key is treated apart when it owns more rows than this, or than 1/_MAX_HOT of all rows,
-# whichever is more; so there are never more than _MAX_HOT such keys.
-_GROUP_ROWS = 5_000_000
-# Up to this many rows a top-k is merged on the driver.
-_TOP_MERGED = 100_000
-_MAX_HOT = 10_000
+# A key is treated apart when it owns more rows than this, which one task orders with ease.
+_GROUP_ROWS = 1_000_000
 
 
 def row_hash(df: DataFrame) -> Column:
@@ -49,17 +47,76 @@ def sort_rows(df: DataFrame, *order: Order) -> DataFrame:
     return tagged.orderBy(*order, "_tie", "_from").drop("_tie", "_from")
 
 
-def top_k(df: DataFrame, k: int, *order: Order) -> DataFrame:
+@dataclass(frozen=True)
+class By:
+    """A column to order by, with its direction; nulls come first when rising, last when falling."""
+
+    column: str
+    falling: bool = False
+
+    def order(self) -> Column:
+        return F.desc(f"`{self.column}`") if self.falling else F.asc(f"`{self.column}`")
+
+
+def _coarse(df: DataFrame, by: By) -> Column:
+    """A number that never falls where the column rises: equal for some different values."""
+    kind, column = df.schema[by.column].dataType, F.col(f"`{by.column}`")
+    if isinstance(kind, NumericType):
+        number = column.cast("double")
+    elif isinstance(kind, (BooleanType, DateType)):
+        number = (column.cast("int") if isinstance(kind, BooleanType) else F.unix_date(column)).cast("double")
+    elif isinstance(kind, TimestampType):
+        number = F.unix_micros(column).cast("double")
+    elif isinstance(kind, StringType):
+        # The first six bytes as a number; doubles hold it exactly.
+        head = F.rpad(F.hex(F.substring(F.encode(column, "UTF-8"), 1, 6)), 12, "0")
+        number = F.conv(head, 16, 10).cast("double")
+    else:
+        number = F.lit(0.0)
+    # NaN is above all numbers, null below them.
+    number = F.when(F.isnan(number), F.lit(float("inf"))).otherwise(number)
+    number = F.coalesce(number, F.lit(float("-inf")))
+    return -number if by.falling else number
+
+
+def _threshold(keys: DataFrame, k: int) -> tuple[float, int] | None:
+    """A key at or above the ``k``-th, and how many rows reach it; None with at most ``k`` rows.
+
+    The key comes from a mergeable quantile sketch, whose rank error is known. It is aimed
+    past the ``k``-th row by twice that error; the rows up to it are then counted exactly,
+    and only where they are still too few is it aimed once more, by ten times as much.
+    """
+    total = keys.count()
+    if total <= k:
+        return None
+    for error in (k / 50, k / 5):
+        accuracy = int(min(1_000_000, max(10_000, total / max(error, 1))))
+        share = min(1.0, (k + 2 * max(error, total / accuracy)) / total)
+        key = keys.agg(F.percentile_approx("key", F.lit(share), F.lit(accuracy)).alias("key")).first()["key"]
+        reached = keys.where(F.col("key") <= F.lit(key)).count()
+        if reached >= k:
+            return key, reached
+    return None
+
+
+def top_k(df: DataFrame, k: int, *order: By | str) -> DataFrame:
     """First ``k`` rows of an ordering, in that order; ties go by a hash of the row.
 
-    Each task keeps no more than ``k`` rows and the driver merges them; where ``k``
-    is too large for that, rows are chosen by their position instead. Both ways give
-    the same rows in the same order.
+    One plan for any ``k``: a quantile sketch of the first order column finds a key that at
+    least ``k`` rows reach, rows beyond it are filtered out where they are, and only the
+    others, about ``k`` and the ties of the key, are put in order, by ranges. No task and
+    not the driver gets ``k`` rows of every other task.
     """
-    if k <= _TOP_MERGED:
-        return df.withColumn("_tie", row_hash(df)).orderBy(*order, "_tie").limit(k).drop("_tie")
-    first = with_position(df, order, "_position").filter(F.col("_position") < k)
-    return first.orderBy("_position").drop("_position")
+    by = [By(o) if isinstance(o, str) else o for o in order]
+    columns = [b.order() for b in by]
+    if k <= 0:
+        return df.limit(0)
+    key = _coarse(df, by[0])
+    found = _threshold(df.select(key.alias("key")), k)
+    near = df if found is None else df.where(key <= F.lit(found[0]))
+    tied = near.withColumn("_tie", row_hash(df))
+    placed = with_position(tied, [*columns, "_tie"], "_position").where(F.col("_position") < k)
+    return placed.orderBy("_position").drop("_position", "_tie")
 
 
 def with_position(df: DataFrame, order: Sequence[Order], name: str = "position") -> DataFrame:
@@ -125,16 +182,15 @@ def nth_per_key(
     keys = [key] if isinstance(key, str) else list(key)
     running = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint")
     sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    bound = df.agg(F.count("*") / _MAX_HOT).scalar()
-    hot = materialize(sizes.filter((F.col("_rows") > group_rows) & (F.col("_rows") > bound)), "hot")
+    hot = materialize(sizes.filter(F.col("_rows") > group_rows), "hot")
     if hot.isEmpty():
         return df.withColumn(name, running)
-    cold = df.join(F.broadcast(hot), _same_key(df, hot, keys), "left_anti")
-    warm = df.join(F.broadcast(hot), _same_key(df, hot, keys), "left_semi")
-    placed = with_position(warm, [*keys, *order], "_position")
-    before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    starts = hot.select(*keys, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
-    joined = placed.join(F.broadcast(starts), _same_key(placed, starts, keys))
+    cold = df.join(hot, _same_key(df, hot, keys), "left_anti")
+    warm = df.join(hot, _same_key(df, hot, keys), "left_semi")
+    placed = materialize(with_position(warm, [*keys, *order], "_position"), "numbered")
+    # Counted from where its key starts; one row a task and key is shuffled for that.
+    starts = placed.groupBy(*keys).agg(F.min("_position").alias("_start"))
+    joined = placed.join(starts, _same_key(placed, starts, keys))
     for key_column in keys:
         joined = joined.drop(starts[key_column])
     numbered = joined.withColumn(name, F.col("_position") - F.col("_start") + 1)
@@ -149,5 +205,7 @@ def dense_index(df: DataFrame, column: str, name: str | None = None) -> DataFram
     """
     values = df.select(F.col(column).alias("_value")).where(F.col(column).isNotNull()).distinct()
     index = with_position(values, ["_value"], "_index")
-    joined = df.join(index, F.col(column) == F.col("_value"), "left").drop("_value")
-    return joined.withColumnRenamed("_index", name or f"{column}_index")
+    # Null keys would meet in one task.
+    joined = df.where(F.col(column).isNotNull()).join(index, F.col(column) == F.col("_value"), "left").drop("_value")
+    nulls = df.where(F.col(column).isNull()).withColumn("_index", F.lit(None).cast("bigint"))
+    return joined.unionByName(nulls).withColumnRenamed("_index", name or f"{column}_index")

@@ -11,12 +11,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.operators.ordering import nth_per_key, position_folds, with_position
+from larkspur.operators.ordering import position_folds, row_hash, with_position
 
 _HASH_RANGE = 1 << 32
-# Spark cuts a ranking down to the first rows of each key before the shuffle only
-# for limits below this (spark.sql.optimizer.windowGroupLimitThreshold).
-_EARLY_LIMIT = 1000
 
 
 def key_hash(key: Column | str, salt: str = "") -> Column:
@@ -46,6 +43,10 @@ def split_random(
     return df.withColumn(name, label)
 
 
+#: Parts that a key's rows are dealt out to before its first rows are chosen.
+SALTS = 64
+
+
 def split_nth_per_key(
     df: DataFrame,
     key: str,
@@ -57,26 +58,27 @@ def split_nth_per_key(
 ) -> DataFrame:
     """Test is the ``start``-th to ``stop``-th row of each key, base the rest.
 
-    With ``max_test`` above 0, only that many test rows, the first in overall
-    order, are taken; later ones fall to the base.
+    Rows that are equal in ``order`` go by a hash of the whole row, so each key gives the
+    exact number of test rows; only exact copies of one row share a side. With ``max_test``
+    above 0, only that many test rows, the first in overall order, are taken; later ones
+    fall to the base.
 
-    Finding the test rows needs the first ``stop`` rows of each key only, which
-    each task cuts down to before the shuffle. Per key they form one interval of
-    the order, and the full rows are labelled by comparison with it.
+    Finding the test rows needs the first ``stop`` rows of each key only. They are chosen
+    twice: among the rows of a key and salt, which keeps a key that owns much of the data
+    from being one group, and then among what the salts of a key have left. Per key they
+    form one interval of the order, and the full rows are labelled by comparison with it.
     """
-    at = F.struct(*order)
-    slim = df.select(key, *[c for c in order if c != key])
-    if stop < _EARLY_LIMIT:
-        window = Window.partitionBy(key).orderBy(*order)
-        numbered = slim.withColumn("_n", F.row_number().over(window)).filter(F.col("_n") <= stop)
-    else:
-        numbered = nth_per_key(slim, key, order, "_n").filter(F.col("_n") <= stop)
+    tie = row_hash(df)
+    at = F.struct(*order, tie.alias("_tie"))
+    slim = df.select(F.col(key).alias("_key"), at.alias("_at"))
+    salted = Window.partitionBy("_key", F.pmod(F.xxhash64("_at"), F.lit(SALTS))).orderBy("_at")
+    few = slim.withColumn("_n", F.row_number().over(salted)).filter(F.col("_n") <= stop)
+    whole = Window.partitionBy("_key").orderBy("_at")
+    numbered = few.withColumn("_n", F.row_number().over(whole)).filter(F.col("_n") <= stop)
     chosen = numbered.filter(F.col("_n") >= start)
     if max_test > 0:
-        chosen = with_position(chosen, order, "_rank").filter(F.col("_rank") < max_test)
-    bounds = chosen.groupBy(F.col(key).alias("_key")).agg(
-        F.min(at).alias("_first"), F.max(at).alias("_last")
-    )
+        chosen = with_position(chosen, ["_at"], "_rank").filter(F.col("_rank") < max_test)
+    bounds = chosen.groupBy("_key").agg(F.min("_at").alias("_first"), F.max("_at").alias("_last"))
     joined = df.join(bounds, F.col(key).eqNullSafe(F.col("_key")), "left")
     inside = F.coalesce(at.between(F.col("_first"), F.col("_last")), F.lit(False))
     label = F.when(inside, F.lit("test")).otherwise(F.lit("base"))

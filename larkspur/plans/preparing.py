@@ -43,8 +43,9 @@ def _unpacked(df: DataFrame, column: str, n: int, digits: int | None = None) ->
     "FROM documents JOIN indexed USING (source)",
 )
 def feat_string_index(spark: SparkSession, sf: str) -> DataFrame:
+    """Categories are counted, ordered and joined on the cluster; the driver holds none."""
     documents = table(spark, sf, "documents").select("doc_id", "source")
-    return features.index_strings(documents, "source").transform(documents).drop("source")
+    return features.index_frequencies(documents, "source").transform(documents).drop("source")
 
 
 @query(

@@ -479,7 +479,7 @@ def sort_multi(spark: SparkSession, sf: str) -> DataFrame:
 @query("topk", _ORDERS_SORTED + "o_totalprice DESC, o_orderkey LIMIT 10")
 def topk(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select(*_ORDER_COLUMNS)
-    return ordering.top_k(orders, 10, F.desc("o_totalprice"), "o_orderkey")
+    return ordering.top_k(orders, 10, ordering.By("o_totalprice", falling=True), "o_orderkey")
 
 
 @query("limit", _ORDERS_SORTED + "o_orderkey LIMIT 20")

@@ -38,6 +38,104 @@ def test_string_index_order_and_unseen(spark):
     assert slots == [[0, 0, 1, 0, 0], [0, 0, 0, 0, 1], [0, 0, 0, 0, 1]]
 
 
+@pytest.mark.parametrize("hot", [1000, 2, 0])
+def test_frequency_index_is_that_of_the_indexer(spark, monkeypatch, hot):
+    monkeypatch.setattr(features, "HOT_CATEGORIES", hot)
+    words = [f"c{i * i % 37}" for i in range(400)] + ["b"] * 90 + ["a"] * 90
+    seen = spark.createDataFrame([(c, i) for i, c in enumerate(words)] + [(None, 0)], "c string, `index` int")
+    ours, theirs = features.index_frequencies(seen, "c"), features.index_strings(seen, "c")
+    assert [r["category"] for r in ours.index(spark).orderBy("index").collect()] == list(theirs.labels)
+    later = seen.unionByName(spark.createDataFrame([("unseen", 1), (None, 2), ("", 3)], "c string, `index` int"))
+    one, two = (sorted(map(tuple, m.transform(later).collect()), key=repr) for m in (ours, theirs))
+    assert one == two and len(one) == later.count()
+
+
+def test_frequency_index_is_saved_with_its_table(spark, tmp_path):
+    seen = spark.createDataFrame([("x",), ("y",), ("y",)], "c string")
+    model = features.index_frequencies(seen, "c", path=str(tmp_path / "table"))
+    model.save(str(tmp_path / "model"))
+    loaded = features.FrequencyIndexModel.load(str(tmp_path / "model"))
+    assert {tuple(r) for r in loaded.transform(seen).collect()} == {("x", 1.0), ("y", 0.0)}
+    empty = features.index_frequencies(seen.limit(0), "c")
+    assert {r["c_index"] for r in empty.transform(seen).collect()} == {0.0}
+
+
+def test_rank_areas_of_several_scores(spark):
+    draw = np.random.default_rng(9)
+    rows = [(float(draw.random() < 0.4), float(draw.integers(0, 9)), float(draw.normal()), 1.0) for _ in range(500)]
+    df = spark.createDataFrame([*rows, (1.0, None, None, None), (None, 3.0, 0.1, 1.0)], "label double, a double, b double, c double")
+    found = {r["score"]: r["auc"] for r in evaluate.rank_areas(df, ["a", "b", "c"]).collect()}
+    for k, name in enumerate("abc", 1):
+        pairs = [(x[k], z[k]) for x in rows if x[0] == 1 for z in rows if z[0] == 0]
+        assert np.isclose(found[name], sum((p > n) + 0.5 * (p == n) for p, n in pairs) / len(pairs))
+    assert evaluate.rank_areas(df.where("label = 1"), ["a"]).first()["auc"] is None
+
+
+def test_raw_predictions_of_a_model_are_ranked(planted):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    scored = train.fit_tree(planted, depth=3).transform(planted)
+    theirs = BinaryClassificationEvaluator(numBins=0).evaluate(scored)
+    assert np.isclose(evaluate.auc(scored), theirs) and np.isclose(evaluate.auc_evaluator().evaluate(scored), theirs)
+
+
+def test_forest_samples_follow_from_keys(planted):
+    fit = dict(trees=5, depth=4)
+    one, two = (train.fit_hash_forest(d, "id", **fit).transform(planted) for d in (planted, planted.repartition(7)))
+    both = one.select("id", vector_to_array("probability").alias("p"), "prediction", "label").join(
+        two.select("id", vector_to_array("probability").alias("q")), "id")
+    assert both.where("p = q").count() == 600
+    assert evaluate.accuracy(one).first()["accuracy"] > 0.85
+    weights = planted.select(train.HashForestClassifier(keyCol="id", numTrees=3).weights().alias("w")).selectExpr("explode(w) w")
+    mean, spread = weights.agg(F.avg("w"), F.var_pop("w")).first()
+    assert abs(mean - 1) < 0.1 and abs(spread - 1) < 0.2
+
+
+def test_many_models_in_one_pass_equal_single_fits(planted):
+    stage = gradient.GradientDescentClassifier(keyCol="id", tol=0.02)
+    grid = tune.param_grid(stage, {"maxIter": [1, 4], "stepSize": [1.0, 10.0], "miniBatchFraction": [0.5, 1.0], "loss": ["logistic", "hinge"]})
+    together = dict(stage.fitMultiple(planted, grid))
+    for i in (0, 5, 10, 15):
+        assert np.allclose(together[i].weights, stage.copy(grid[i]).fit(planted).weights, atol=1e-12)
+    areas = gradient.hard_aucs([together[i] for i in range(16)], planted)
+    assert np.isclose(areas[7], evaluate.auc_hard(together[7].transform(planted)).first()["auc"])
+
+
+def test_sparse_rows_stay_sparse(spark):
+    from pyspark.ml.linalg import Vectors
+
+    draw = np.random.default_rng(3)
+    size, rows = 100_000, []
+    for i in range(60):
+        at = sorted({0 if i % 2 else 1, *map(int, draw.integers(2, size, 5))})
+        rows.append((i, Vectors.sparse(size, at, [1.0] * len(at)), float(i % 2)))
+    df = spark.createDataFrame(rows, ["id", "features", "label"])
+    dense = df.withColumn("features", array_to_vector(vector_to_array("features"))).limit(3)
+    model = gradient.fit_gd(df.where("id >= 3").unionByName(dense), "logistic", iterations=3)
+    assert model.weights[0] > 0 > model.weights[1] and len(model.weights) == size
+    assert evaluate.accuracy(model.transform(df)).first()["accuracy"] == 1.0
+    plan = model.transform(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 20_000
+
+
+def test_named_sweeps(planted):
+    tuned = tune.named_sweep(
+        "logistic", "miniBatchFraction", planted.filter("id < 400"), planted.filter("id >= 400"),
+        evaluate.hard_auc_evaluator(), keyCol="id",
+    )
+    assert tuned.table.count() == 3 and tuned.params["miniBatchFraction"] in (0.5, 0.8, 1.0)
+    # As the sweep says: 50 steps of size 500.
+    alone = gradient.fit_gd(
+        planted.filter("id < 400"), "logistic", iterations=50, step=500.0, tol=0.0, key="id",
+        fraction=tuned.params["miniBatchFraction"],
+    )
+    assert np.allclose(tuned.model.weights, alone.weights, atol=1e-9)
+    assert np.isclose(tuned.metric, evaluate.auc_hard(alone.transform(planted.filter("id >= 400"))).first()["auc"])
+    with pytest.raises(ValueError, match="no sweep"):
+        tune.named_sweep("tree", "stepSize", planted, planted, evaluate.hard_auc_evaluator())
+    assert {kind for kind, _ in tune.SWEEPS} <= set(tune.BUILDERS) and set(tune.GRIDS) <= set(tune.BUILDERS)
+
+
 def test_assemble_refuses_null(spark):
     df = spark.createDataFrame([(1.0, None)], "a double, b double")
     with pytest.raises((PySparkException, Py4JJavaError)):

@@ -83,21 +83,50 @@ def test_sort_spreads_a_hot_value(spark):
     assert values == sorted(values)
 
 
-def test_top_k_by_merge_and_by_position(spark, monkeypatch):
-    df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("v"))
-    small = [r["v"] for r in ordering.top_k(df, 5, F.desc("v")).collect()]
-    assert small == [999, 998, 997, 996, 995]
-    plan = ordering.top_k(df, 5, "v")._jdf.queryExecution().executedPlan().toString()
-    assert "TakeOrderedAndProject" in plan
-    monkeypatch.setattr(ordering, "_TOP_MERGED", 3)
-    assert [r["v"] for r in ordering.top_k(df, 5, F.desc("v")).collect()] == small
+def test_top_k_keeps_what_reaches_the_key(spark):
+    df = spark.range(20_000).select((F.col("id") * 7919 % 20_000).alias("v"))
+    found = ordering.top_k(df, 5, ordering.By("v", falling=True))
+    assert [r["v"] for r in found.collect()] == [19_999, 19_998, 19_997, 19_996, 19_995]
+    key, reached = ordering._threshold(df.select(F.col("v").cast("double").alias("key")), 50)
+    assert 50 <= reached <= 120 and key < 120
+    for k in (0, 1, 19_999, 20_000, 30_000):
+        assert [r["v"] for r in ordering.top_k(df, k, "v").collect()] == list(range(min(k, 20_000)))
 
 
-def test_top_k_breaks_ties_alike_either_way(spark, monkeypatch):
+def test_top_k_breaks_ties_alike(spark):
     df = spark.range(600).select("id", (F.col("id") % 3).alias("v")).repartition(7)
-    merged = [tuple(r) for r in ordering.top_k(df, 250, "v").collect()]
-    monkeypatch.setattr(ordering, "_TOP_MERGED", 249)
-    assert [tuple(r) for r in ordering.top_k(df.repartition(4), 250, "v").collect()] == merged
+    first = [tuple(r) for r in ordering.top_k(df, 250, "v").collect()]
+    assert [tuple(r) for r in ordering.top_k(df.repartition(4), 250, "v").collect()] == first
+    assert [v for _, v in first] == [0] * 200 + [1] * 50
+
+
+@pytest.mark.parametrize("falling", [False, True])
+@pytest.mark.parametrize(
+    "kind, values",
+    [
+        ("string", [None, "", "a", "aaaaaaaa", "aaaaaaab", "é", "zz", "\U0001f600"]),
+        ("double", [None, float("nan"), float("inf"), -1.5, 0.0, 3.25]),
+        ("boolean", [None, True, False]),
+        ("bigint", [None, -(2**62), 2**62, 2**62 + 1, 0]),
+        ("decimal(20,3)", [None, "1.5", "-2.25", "7"]),
+        ("date", [None, "2024-01-02", "1969-12-31"]),
+        ("timestamp", [None, "2024-01-02 03:04:05.000001", "2024-01-02 03:04:05.000002"]),
+    ],
+)
+def test_top_k_of_every_kind(spark, kind, values, falling):
+    rows = [(i, values[i % len(values)]) for i in range(40)]
+    text = kind in ("decimal(20,3)", "date", "timestamp")
+    df = spark.createDataFrame(rows, f"id int, v {'string' if text else kind}").withColumn("v", F.col("v").cast(kind))
+    by = ordering.By("v", falling)
+    every = [r["id"] for r in df.orderBy(by.order(), "id").collect()]
+    for k in (1, 6, 21):
+        assert [r["id"] for r in ordering.top_k(df, k, by, "id").collect()] == every[:k]
+
+
+def test_null_keys_of_a_dense_index_are_not_joined(spark):
+    df = spark.range(100).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("x"))
+    found = ordering.dense_index(df, "x")
+    assert found.where("x is null and x_index is null").count() == 50 and found.where("x_index = x / 2").count() == 50
 
 
 def test_odd_columns_pass_through(spark):

@@ -51,7 +51,19 @@ def test_nth_per_key(events, start, stop, cap):
 def test_nth_rows_are_cut_down_before_the_shuffle(events):
     split = splits.split_nth_per_key(events, "user", ["at", "id"], 1, 10)
     plan = split._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("WindowGroupLimit") == 2
+    # Before and after each of two shuffles: by key and salt, then by key.
+    assert plan.count("WindowGroupLimit") == 4 and "_key#" in plan
+
+
+def test_ties_in_the_order_give_exact_sizes(spark):
+    df = spark.range(900).select("id", (F.col("id") % 3).alias("user"), F.lit(1).alias("at"))
+    split = splits.split_nth_per_key(df, "user", ["at"], 4, 11)
+    sizes = split.groupBy("user", "split").count().collect()
+    assert sorted((r["user"], r["split"], r["count"]) for r in sizes) == [
+        (u, s, n) for u in range(3) for s, n in (("base", 292), ("test", 8))
+    ]
+    again = splits.split_nth_per_key(df.repartition(9), "user", ["at"], 4, 11)
+    assert split.exceptAll(again).count() == 0
 
 
 def test_two_nth_splits_are_disjoint(events):
