@@ -162,8 +162,9 @@ def rental_sentence() -> Column:
         return F.round(F.col(name) * RENTAL_MAXIMA[name], 2)
 
     return sentence(
-        "特征：", decode(code("season"), SEASON), "季节，", code("mnth"), "月，", code("hr"), "时，",
-        decode(code("holiday"), HOLIDAY), "，星期", decode(code("weekday"), WEEKDAY), "，",
-        decode(code("workingday"), WORKINGDAY), "，", decode(code("weathersit"), WEATHER), "，",
-        real("temp"), "度，体感", real("atemp"), "度，湿度", real("hum"), "，风速", real("windspeed"),
+        "month ", code("mnth"), " (", decode(code("season"), SEASON), "), hour ", code("hr"),
+        ", day ", decode(code("weekday"), WEEKDAY), " - ", decode(code("holiday"), HOLIDAY), " - ",
+        decode(code("workingday"), WORKINGDAY), "; weather ", decode(code("weathersit"), WEATHER),
+        "; degrees ", real("temp"), ", felt as ", real("atemp"), "; humidity ", real("hum"),
+        "; wind ", real("windspeed"),
     )

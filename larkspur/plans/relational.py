@@ -591,16 +591,15 @@ def fn_match_flag(spark: SparkSession, sf: str) -> DataFrame:
     "fn_describe_row",
     f"""
     WITH {RENTALS_SQL}
-    SELECT '特征：' || {_case('season', SEASON)} || '季节，' || mnth || '月，' || hr || '时，星期'
-           || {_case('weekday', WEEKDAY)} || '，' || {_case('weathersit', WEATHER)}
-           || '，实际：' || cnt AS description
+    SELECT cnt || ' rides in month ' || mnth || ' (' || {_case('season', SEASON)} || '), hour ' || hr
+           || ', day ' || {_case('weekday', WEEKDAY)} || '; weather ' || {_case('weathersit', WEATHER)} AS description
     FROM rentals
     """,
 )
 def fn_describe_row(spark: SparkSession, sf: str) -> DataFrame:
     text = sentence(
-        "特征：", decode("season", SEASON), "季节，", F.col("mnth"), "月，", F.col("hr"), "时，星期",
-        decode("weekday", WEEKDAY), "，", decode("weathersit", WEATHER), "，实际：", F.col("cnt"),
+        F.col("cnt"), " rides in month ", F.col("mnth"), " (", decode("season", SEASON), "), hour ", F.col("hr"),
+        ", day ", decode("weekday", WEEKDAY), "; weather ", decode("weathersit", WEATHER),
     )
     return rentals(spark, sf).select(text.alias("description"))
 

@@ -111,7 +111,7 @@ def test_hourly_rentals(spark, tmp_path, kind):
     scored = evaluate.score(flows.rental_pipeline(hours, model).fit(hours), hours)
     assert evaluate.rmse(scored, label="cnt").first()["rmse"] < 15
     text = scored.orderBy("hr").select(flows.rental_sentence()).first()[0]
-    assert text.startswith("特征：春季节，1月，0时，非假日，星期") and "20.5度，体感12.5度，湿度81.0" in text
+    assert text.startswith("month 1 (春), hour 0, day ") and "; degrees 20.5, felt as 12.5; humidity 81.0; wind " in text
 
 
 def test_sweeps_name_real_parameters():
