@@ -1,4 +1,4 @@
-"""Passages that repeat across documents, by a sparse suffix array."""
+"""Passages that repeat across documents, by a sparse suffix array sorted to the right and to the left."""
 
 from __future__ import annotations
 
@@ -18,6 +18,15 @@ PASSAGE = 50
 #: passage holds a whole window, so equal passages retain a suffix at the same word.
 HEAD = 12
 WINDOW = PASSAGE - HEAD + 1
+#: Blocks of words, (offset, length), by which suffixes with equal heads are sorted on: what
+#: follows the head, to the end of a passage, and what comes before it, from there backwards.
+AHEAD = [(12, 13), (25, 13), (38, 12)]
+BEHIND = [(-13, 13), (-26, 13), (-38, 12)]
+BITS = 21
+#: By the number of blocks in common: the least words that a passage must reach back if it
+#: ends before the next block ahead does, and the most it can reach back.
+LEAST_BACK = [26, 13, 1, 0]
+MOST_BACK = [12, 25, 37, 38]
 
 
 def sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
@@ -42,69 +51,103 @@ def minimisers(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return keep, heads[keep]
 
 
+def packed(words: Words, keep: np.ndarray, blocks: list[tuple[int, int]]) -> np.ndarray:
+    """21 bits a block of words, in one number that sorts as the blocks do in turn.
+
+    ``blocks`` are (offset from the retained word, length). A block that leaves the text is 0.
+    """
+    hashes = words.hashes()
+    doc = np.searchsorted(words.first, keep, "right") - 1
+    out = np.zeros(keep.size, np.int64)
+    for offset, length in blocks:
+        codes, at = runs(hashes, length), keep + offset
+        inside = (at >= words.first[doc]) & (at + length <= words.first[doc + 1])
+        out <<= BITS
+        out[inside] |= (codes[at[inside]] >> np.uint64(64 - BITS)).astype(np.int64)
+    return out
+
+
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         words = Words(batch.column("text"))
         keep, heads = minimisers(words)
         doc = np.searchsorted(words.first, keep, "right") - 1
         yield pa.RecordBatch.from_arrays(
-            [pa.array(heads.view(np.int64)), batch.column("uid").take(pa.array(doc)), pa.array((keep - words.first[doc]).astype(np.int32))],
-            ["head", "uid", "pos"],
+            [pa.array(heads.view(np.int64)), pa.array(packed(words, keep, AHEAD)), pa.array(packed(words, keep, BEHIND)),
+             batch.column("uid").take(pa.array(doc)), pa.array((keep - words.first[doc]).astype(np.int32))],
+            ["head", "right", "left", "uid", "pos"],
         )
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of suffixes in order, those of runs with equal heads that more than one text is in.
+def common_blocks(head: np.ndarray, key: np.ndarray, other_head: np.ndarray, other_key: np.ndarray) -> np.ndarray:
+    """How many leading blocks two suffixes have in common, 0 to 3; -1 where the heads differ."""
+    differ = key ^ other_key
+    blocks = 3 - (differ > 0) - (differ >> BITS > 0) - (differ >> (2 * BITS) > 0)
+    return np.where(head == other_head, blocks, -1)
 
-    Equal rows, of equal texts, count once. A run that reaches the end of a batch is held
-    back while only one text is in it, which bounds what is held by the length of a text.
-    The first and the last run of a part may go on in another one and always pass.
-    Whether two documents share anything is decided later, on whole passages.
+
+def _compared(key: str, names: list[str], level: str):
+    """Of suffixes in the order (head, key, uid, pos): the most blocks in common with another text.
+
+    In this order no suffix has more in common with a row than the nearest ones of another
+    text, before and after it. Equal rows, of equal texts, count once. Held back are the last
+    text's rows and the one before, which bounds what is held by the length of a text. The
+    first and the last text of a part have unseen neighbours and count as equal to them.
+    Rows whose head no other text has are left out.
     """
-    names = ["head", "uid", "pos"]
-    held = [np.zeros(0, np.int64)] * 3
-    known, first = None, True  # head of an open run that is known to pass
-
-    def rows(columns: list[np.ndarray], pick: np.ndarray) -> pa.RecordBatch:
-        arrays = [pa.array(columns[1][pick]), pa.array(columns[2][pick].astype(np.int32))]
-        return pa.RecordBatch.from_arrays(arrays, ["uid", "pos"])
-
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        now = [np.append(h, batch.column(n).to_numpy().astype(np.int64)) for h, n in zip(held, names)]
-        fresh = np.ones(now[0].size, bool)
-        fresh[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in now])
-        head, uid, _ = now = [x[fresh] for x in now]
-        starts = np.append(0, np.flatnonzero(head[1:] != head[:-1]) + 1)
-        ends = np.append(starts[1:], head.size)
-        passes = uid[starts] != uid[ends - 1]
-        passes[0] |= first or head[0] == known
-        first = False
-        if passes[-1]:
-            known = int(head[-1])
-            held = [np.zeros(0, np.int64)] * 3
-            yield rows(now, np.repeat(passes, ends - starts))
-        else:
-            pick = np.repeat(passes, ends - starts)
-            known = None
-            held = [x[starts[-1] :] for x in now]
-            yield rows(now, pick)
-    if held[0].size:
-        yield rows(held, np.ones(held[0].size, bool))
+    others = [n for n in names if n != key]
+
+    def rows(columns: dict[str, np.ndarray], blocks: np.ndarray, start: int, stop: int) -> pa.RecordBatch:
+        pick = np.flatnonzero(blocks >= 0)
+        arrays = [pa.array(columns[n][start:stop][pick]) for n in others]
+        return pa.RecordBatch.from_arrays([*arrays, pa.array(blocks[pick].astype(np.int32))], [*others, level])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] = {}
+        context = 0  # 1 if the first held row is the one before the last text's
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            now = {n: batch.column(n).to_numpy() for n in names}
+            if held:
+                now = {n: np.append(held[n], now[n]) for n in names}
+            fresh = np.ones(now["uid"].size, bool)
+            fresh[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in now.values()])
+            now = {n: x[fresh] for n, x in now.items()}
+            head, code, uid = now["head"], now[key], now["uid"]
+            starts = np.append(0, np.flatnonzero(uid[1:] != uid[:-1]) + 1)
+            last = int(starts[-1])
+            if last > context:
+                row = np.arange(context, last)
+                text = np.searchsorted(starts, row, "right") - 1
+                after = starts[text + 1]
+                before = np.maximum(starts[text] - 1, 0)
+                blocks = np.maximum(
+                    common_blocks(head[row], code[row], head[after], code[after]),
+                    common_blocks(head[row], code[row], head[before], code[before]),
+                )
+                if not context:
+                    blocks[text == 0] = 3
+                yield rows(now, blocks, context, last)
+                now = {n: x[last - 1 :] for n, x in now.items()}
+                context = 1
+            held = now
+        if held:
+            size = held["uid"].size
+            yield rows(held, np.full(size - context, 3), context, size)
+
+    return run
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All runs of ``PASSAGE`` words around each retained suffix: the match, extended both ways."""
+    """The runs of ``PASSAGE`` words that begin in the given ranges."""
     for batch in slices(batches):
         words = Words(batch.column("text"))
         lists = batch.column("places")
-        places = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        low, high = (x.to_numpy(zero_copy_only=False).astype(np.int64) for x in lists.flatten().flatten())
         doc = np.repeat(np.arange(batch.num_rows), np.asarray(lists.value_lengths()))
         at, sizes = within(words.first, PASSAGE)
-        most = sizes[doc]
-        low = np.maximum(places - (WINDOW - 1), 0)
-        high = np.minimum(places, most - 1)
+        high = np.maximum(np.minimum(high, sizes[doc] - 1), low - 1)
         marks = np.zeros(len(words) + 1, np.int64)
         np.add.at(marks, words.first[doc] + low, 1)
         np.add.at(marks, words.first[doc] + high + 1, -1)
@@ -128,15 +171,32 @@ def _identified(docs: DataFrame) -> DataFrame:
     )
 
 
+def _sorted(suffixes: DataFrame, key: str) -> DataFrame:
+    order = ["head", key, "uid", "pos"]
+    return suffixes.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def _shared(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """(ord, start, first_ord): windows that different texts hold, a text under its least ord."""
     suffixes = materialize(
-        docs.select("uid", "text").mapInArrow(_suffixes, "head bigint, uid bigint, pos int"), "suffixes"
+        docs.select("uid", "text").mapInArrow(
+            _suffixes, "head bigint, right bigint, left bigint, uid bigint, pos int"
+        ),
+        "suffixes",
+    )
+    ahead = _sorted(suffixes, "right").mapInArrow(
+        _compared("right", ["head", "right", "left", "uid", "pos"], "ahead"),
+        "head bigint, left bigint, uid bigint, pos int, ahead int",
+    )
+    both = _sorted(materialize(ahead, "ahead"), "left").mapInArrow(
+        _compared("left", ["head", "left", "uid", "pos", "ahead"], "behind"),
+        "head bigint, uid bigint, pos int, ahead int, behind int",
     )
-    order = ["head", "uid", "pos"]
-    ranged = suffixes.repartitionByRange(*order).sortWithinPartitions(*order)
-    met = ranged.mapInArrow(_neighbours, "uid bigint, pos int")
-    places = met.groupBy("uid").agg(F.collect_set("pos").alias("places"))
+    least, most = (F.array(*map(F.lit, steps)) for steps in (LEAST_BACK, MOST_BACK))
+    low = F.greatest(F.col("pos") - F.get(most, F.col("behind")), F.lit(0))
+    high = F.col("pos") - F.get(least, F.col("ahead"))
+    met = both.select("uid", low.alias("low"), high.alias("high")).where("low <= high")
+    places = met.groupBy("uid").agg(F.collect_set(F.struct("low", "high")).alias("places"))
     places = materialize(places.join(ids.select("uid", "ord"), "uid"), "places")
     held = docs.select("uid", "text").join(places, "uid").dropDuplicates(["uid"])
     windows = held.select("ord", "text", "places").mapInArrow(
@@ -151,9 +211,12 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     """(doc_id, starts, repeat_starts, first_doc_ids, copy_of), a row for each row of
     (doc_id, text) that shares a run of 50 words or more with another document.
 
-    Suffixes are retained at minimisers of 12 words, sorted by those, and compared with
-    their neighbours in order. Around every suffix that has an equal neighbour all runs
-    of 50 words are compared, which extends the match left and right word by word.
+    Suffixes are retained at minimisers of 12 words and sorted by those and the words that
+    follow, hashed in blocks. The nearest suffixes of other texts in that order tell how far
+    a match can go to the right. Those with a match are sorted once more, by the words
+    before, and compared likewise, which extends it to the left. Where both together can
+    reach 50 words, the runs of 50 words in that reach are compared, which settles the match
+    to the word: the text that goes furthest to the right need not be the one to the left.
     ``starts`` are the words at which a shared run begins; ``repeat_starts`` those of
     which another document, with a lower id, is the first holder; ``first_doc_ids`` lists
     these holders. Equal texts are looked at once; of them, all but the one with the least

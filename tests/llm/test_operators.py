@@ -8,6 +8,7 @@ import sys
 from collections import defaultdict
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,6 +120,78 @@ def test_suffix_dedup_against_brute_force(spark, awkward):
     assert {r.doc_id: r.text for r in left.collect()}[9].split() == ["before", "after", "it"]
 
 
+def test_passages_cut_from_each_other(spark):
+    """Pieces of 30 to 90 words from one source: texts that go far to the right with one
+    partner and far to the left with another one, over many parts of few rows."""
+    random.seed(11)
+    source = ["q%d" % random.randrange(10**6) for _ in range(400)]
+    rows = []
+    for i in range(150):
+        words = []
+        for _ in range(random.randint(1, 5)):
+            at, size = random.randrange(330), random.randint(30, 90)
+            words += source[at : at + size] + ["o%d" % random.randrange(10**6) for _ in range(random.randint(0, 3))]
+        rows.append((i, " ".join(words)))
+    rows += [(150, rows[3][1]), (151, " ".join([*source[:60], *source[:60]]))]
+    holders = brute_windows(rows)
+    expected = {}
+    for d, t in rows:
+        w = WORD.findall(t)
+        shared = {s for s in range(len(w) - 49) if len(holders[tuple(w[s : s + 50])]) > 1}
+        if shared:
+            expected[d] = shared
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for parts in ("1", "40"):
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            found = {r.doc_id: set(r.starts) for r in suffix_dedup.repeated_passages(docs).collect()}
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+        assert found == expected
+
+
+def test_neighbours_in_order_have_the_most_in_common():
+    """Blocks in common with the nearest other text, against all pairs, in batches of three rows."""
+    random.seed(2)
+    shift = suffix_dedup.BITS
+    rows = sorted({
+        (random.randrange(4), sum(random.randrange(3) << (shift * b) for b in range(3)), random.randrange(9), random.randrange(3))
+        for _ in range(120)
+    })
+    names = ["head", "right", "uid", "pos"]
+    repeated = [r for r in rows for _ in range(random.randint(1, 3))]
+    batches = [
+        pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in repeated[i : i + 3]]) for i in range(0, len(repeated), 3)
+    ]
+    found = {}
+    for batch in suffix_dedup._compared("right", names, "ahead")(iter(batches)):
+        for r in batch.to_pylist():
+            found[(r["head"], r["uid"], r["pos"], r["ahead"])] = found.get((r["head"], r["uid"], r["pos"], r["ahead"]), 0) + 1
+
+    def alike(a, b):
+        if a[0] != b[0]:
+            return -1
+        codes = [[(x[1] >> (shift * b)) % (1 << shift) for b in (2, 1, 0)] for x in (a, b)]
+        return next((k for k in range(3) if codes[0][k] != codes[1][k]), 3)
+
+    inner = list(rows)
+    while inner and inner[0][2] == rows[0][2]:
+        inner.pop(0)
+    while inner and inner[-1][2] == rows[-1][2]:
+        inner.pop()
+    expected = defaultdict(int)
+    for r in rows:
+        best = max(alike(r, o) for o in rows if o[2] != r[2])
+        if r not in inner:
+            best = 3  # the neighbour may be in another part
+        if best >= 0:
+            expected[(r[0], r[2], r[3], best)] += 1
+    assert found == dict(expected)
+
+
 def test_similarity_join_against_brute_force(spark, awkward):
     rows = texts_of(awkward)
     found = {str(r.doc_id): r for r in jaccard_join.join_similar(awkward).collect()}
