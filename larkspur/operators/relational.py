@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from larkspur.session import materialize
+
 
 def _names(columns: str | Sequence[str]) -> list[str]:
     return [columns] if isinstance(columns, str) else list(columns)
@@ -45,8 +47,10 @@ def count_distinct(df: DataFrame, columns: str | Sequence[str]) -> DataFrame:
 def crosstab(df: DataFrame, a: str, b: str, values: Sequence | None = None) -> DataFrame:
     """Contingency table: one row per ``a``, one column per ``b``, 0 for empty cells.
 
-    Listing ``values`` saves the extra pass that finds the distinct ones. A value that
-    is not listed is an error.
+    With ``values`` listed the plan stays lazy, and a value that is not listed is an error.
+    Without, the pairs are counted in one pass over ``df`` and written; the distinct values
+    and the cells come from those counts. Either way there is one column a value, so
+    ``spark.sql.pivotMaxValues`` bounds how many there may be.
     """
     if values is not None:
         listed = reduce(lambda x, y: x | y, [F.col(b).eqNullSafe(F.lit(v)) for v in values], F.lit(False))
@@ -58,7 +62,9 @@ def crosstab(df: DataFrame, a: str, b: str, values: Sequence | None = None) -> D
         complaint = F.raise_error(F.lit(f"{b} has values that are not listed"))
         checked = F.when(F.col("_others") == 0, F.col("_cells")).otherwise(complaint)
         return cells.withColumn("_cells", checked).select(f"{a}_{b}", "_cells.*")
-    cells = df.groupBy(F.col(a).alias(f"{a}_{b}")).pivot(b).agg(F.count(F.lit(1)))
+    pairs = df.groupBy(F.col(a).alias("_row"), F.col(b).alias("_column")).agg(F.count(F.lit(1)).alias("_n"))
+    counted = materialize(pairs, "crosstab").withColumnRenamed("_row", f"{a}_{b}")
+    cells = counted.groupBy(f"{a}_{b}").pivot("_column").agg(F.sum("_n"))
     row, *counts = cells.columns
     return cells.select(row, *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias(c) for c in counts])
 

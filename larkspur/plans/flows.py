@@ -23,9 +23,11 @@ from larkspur.functions import (
     WORKINGDAY,
     clean_numeric,
     decode,
+    match_flag,
     sentence,
 )
 from larkspur.operators import features, prep, splits
+from larkspur.operators.ordering import sort_rows
 from larkspur.operators.relational import split_by
 from larkspur.sources import read_delimited
 
@@ -77,6 +79,45 @@ def rating_splits(
         yield name, base.drop("split"), test.drop("split")
 
 
+def write_rating_splits(
+    ratings: DataFrame, path: str, order: list[str], max_test: int = 0
+) -> dict[str, dict[str, str]]:
+    """Write all sets of :func:`rating_splits`, each side sorted by user and item.
+
+    Gives the folder of each set and side. Folds and the two per-user splits are found
+    once; every row then goes to one side of each of the seven sets, and a single range
+    sort orders them all. ``ratings`` must not have columns named ``set`` or ``side``. A
+    side without rows is a folder without files, or none.
+    """
+    clash = {"set", "side"} & set(ratings.columns)
+    if clash:
+        raise ValueError(f"columns named {sorted(clash)} would be lost")
+    labelled = splits.split_kfold(ratings, order, 5, "_fold")
+    for name, start in (("ua", 1), ("ub", 11)):
+        labelled = splits.split_nth_per_key(labelled, "user", order, start, start + 9, max_test, f"_{name}")
+    sides = {f"u{i + 1}": F.when(F.col("_fold") == i, "test").otherwise("base") for i in range(5)}
+    sides |= {"ua": F.col("_ua"), "ub": F.col("_ub")}
+    pairs = F.array(*[F.struct(F.lit(name).alias("set"), side.alias("side")) for name, side in sides.items()])
+    rows = labelled.select(*ratings.columns, F.inline(pairs))
+    sort_rows(rows, "set", "side", "user", "item").write.mode("overwrite").partitionBy("set", "side").parquet(path)
+    return {name: {side: f"{path}/set={name}/side={side}" for side in ("base", "test")} for name in sides}
+
+
+def items_sentence(title: str = "title") -> Column:
+    """Say which item is recommended to a user, from columns user, rank, item, title and score."""
+    what = F.coalesce(F.col(title), F.concat(F.lit("item "), F.col("item").cast("string")))
+    return sentence("user ", F.col("user"), ", choice ", F.col("rank"), ": ", what, ", score ", F.round("score", 2))
+
+
+def users_sentence(title: str = "title") -> Column:
+    """Say to which user an item is recommended, from columns item, title, rank, user and score."""
+    what = F.coalesce(F.col(title), F.lit("untitled"))
+    return sentence(
+        "item ", F.col("item"), " (", what, "), choice ", F.col("rank"), ": user ", F.col("user"),
+        ", score ", F.round("score", 2),
+    )
+
+
 # -- page classification ------------------------------------------------------
 
 
@@ -132,6 +173,15 @@ def present_cover(scored: DataFrame) -> DataFrame:
     return scored.withColumnsRenamed(COVER_NAMES).select(*COVER_NAMES.values(), "label", "prediction")
 
 
+def cover_sentence() -> Column:
+    """Describe a row of :func:`present_cover`: measurements, predicted and true kind."""
+    measured = [part for name in COVER_NAMES.values() for part in (f"{name} ", F.col(name), ", ")]
+    return sentence(
+        *measured, "predicted kind ", F.col("prediction").cast("int"), ", true kind ", F.col("label").cast("int"),
+        ": ", match_flag("label", "prediction"),
+    )
+
+
 # -- hourly rentals -----------------------------------------------------------
 
 

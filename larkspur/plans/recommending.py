@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from larkspur.operators import evaluate, recommend
+from larkspur.operators.relational import lookup
+from larkspur.plans import flows
 from larkspur.plans.registry import query
 from larkspur.session import materialize, scratch_path
 from larkspur.sources import load_or_fit, save_model, table
@@ -133,6 +135,39 @@ def rec_best_products(spark: SparkSession, sf: str) -> DataFrame:
     return recommend.best_products(vectors.where("label = 3").drop("label"), vectors.drop("label"), 10)
 
 
+@query(
+    "rec_describe",
+    """
+    WITH v AS (
+        SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings),
+    s AS (
+        SELECT a.vec_id AS owner, b.vec_id AS other, list_dot_product(a.q, b.q) AS score FROM v a, v b WHERE a.label = 5),
+    r AS (
+        SELECT *, row_number() OVER (PARTITION BY owner ORDER BY score DESC, other) AS rank FROM s
+        QUALIFY row_number() OVER (PARTITION BY owner ORDER BY score DESC, other) <= 5)
+    SELECT owner, CAST(rank AS INTEGER) AS rank,
+           'user ' || owner || ', choice ' || rank || ': ' || coalesce(i.p_name, 'item ' || other) || ', score '
+               || CAST(score AS BIGINT) AS for_user,
+           'item ' || owner || ' (' || coalesce(o.p_name, 'untitled') || '), choice ' || rank || ': user ' || other
+               || ', score ' || CAST(score AS BIGINT) AS for_item
+    FROM r LEFT JOIN part i ON other = i.p_partkey LEFT JOIN part o ON owner = o.p_partkey
+    """,
+)
+def rec_describe(spark: SparkSession, sf: str) -> DataFrame:
+    """The best five for each owner in words, once as items for a user and once as users for
+    an item. Scores are whole numbers, as in ``rec_best_products``."""
+    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("double"))
+    vectors = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), whole.alias("features"), "label")
+    best = recommend.best_products(vectors.where("label = 5").drop("label"), vectors.drop("label"), 5)
+    best = best.withColumn("score", F.col("score").cast("bigint"))
+    titles = table(spark, sf, "part").select("p_partkey", "p_name")
+    items = lookup(best.withColumnsRenamed({"owner": "user", "other": "item"}), titles, ("item", "p_partkey"), "p_name")
+    items = items.select(F.col("user").alias("owner"), "rank", flows.items_sentence("p_name").alias("for_user"))
+    users = lookup(best.withColumnsRenamed({"owner": "item", "other": "user"}), titles, ("item", "p_partkey"), "p_name")
+    users = users.select(F.col("item").alias("owner"), "rank", flows.users_sentence("p_name").alias("for_item"))
+    return items.join(users, ["owner", "rank"])
+
+
 @query(
     "rec_predict_pair",
     f'WITH {_RATING_SQL} SELECT "user", item, true AS is_product FROM rating',

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.functions import (
+    COVER_NAMES,
     RENTAL_MAXIMA,
     SEASON,
     WEATHER,
@@ -20,6 +21,7 @@ from larkspur.functions import (
     strip_quotes,
 )
 from larkspur.operators import ordering, prep, relational, splits
+from larkspur.plans import flows
 from larkspur.plans.inputs import NUMERIC, RENTAL_FEATURES, RENTALS_SQL, rentals
 from larkspur.plans.registry import query
 from larkspur.sources import register, table
@@ -604,6 +606,28 @@ def fn_describe_row(spark: SparkSession, sf: str) -> DataFrame:
     return rentals(spark, sf).select(text.alias("description"))
 
 
+_COVER = ["l_partkey", "l_suppkey", "l_linenumber", "l_orderkey", "l_suppkey + l_linenumber", "l_partkey % 360"]
+
+
+@query(
+    "fn_describe_cover",
+    f"""
+    SELECT l_orderkey, l_linenumber,
+           {" || ".join(f"'{name} ' || ({of}) || ', '" for name, of in zip(COVER_NAMES.values(), _COVER))}
+           || 'predicted kind ' || (l_suppkey % 7) || ', true kind ' || (l_partkey % 7) || ': '
+           || CASE WHEN l_partkey % 7 = l_suppkey % 7 THEN '正确' ELSE '错误' END AS description
+    FROM lineitem
+    """,
+)
+def fn_describe_cover(spark: SparkSession, sf: str) -> DataFrame:
+    """Six measurements, the predicted and the true kind of each row as a sentence."""
+    measured = [F.expr(of).alias(name) for name, of in zip(COVER_NAMES, _COVER)]
+    kinds = [F.expr("double(l_partkey % 7)").alias("label"), F.expr("double(l_suppkey % 7)").alias("prediction")]
+    scored = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", *measured, *kinds)
+    named = scored.withColumnsRenamed(COVER_NAMES)
+    return named.select("l_orderkey", "l_linenumber", flows.cover_sentence().alias("description"))
+
+
 @query(
     "udf_scalar",
     """

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.operators import relational, splits
+from larkspur.plans import flows
 from larkspur.plans.registry import query
 from larkspur.session import materialize, scratch_path
 from larkspur.sources import (
@@ -134,3 +135,26 @@ def snk_split_write(spark: SparkSession, sf: str) -> DataFrame:
     reader = spark.read.schema(events.schema)
     sides = [reader.parquet(p).withColumn("side", F.lit(s)) for s, p in paths.items()]
     return sides[0].unionByName(sides[1]).select("event_id", "user_id", "side")
+
+
+@query(
+    "snk_rating_sets",
+    """
+    WITH e AS (
+        SELECT user_id, event_id, ((row_number() OVER (ORDER BY ts, event_id) - 1) * 5) // count(*) OVER () AS fold,
+               row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n
+        FROM events)
+    SELECT 'u' || i AS "set", CASE WHEN fold = i - 1 THEN 'test' ELSE 'base' END AS side, user_id AS "user", event_id AS item
+    FROM e, range(1, 6) r(i)
+    UNION ALL SELECT 'ua', CASE WHEN n <= 10 THEN 'test' ELSE 'base' END, user_id, event_id FROM e
+    UNION ALL SELECT 'ub', CASE WHEN n BETWEEN 11 AND 20 THEN 'test' ELSE 'base' END, user_id, event_id FROM e
+    """,
+)
+def snk_rating_sets(spark: SparkSession, sf: str) -> DataFrame:
+    """Five folds and two per-user splits, written as named sets and read back."""
+    columns = [F.col("user_id").alias("user"), F.col("event_id").alias("item"), "ts"]
+    events = table(spark, sf, "events").select(*columns)
+    path = scratch_path(spark, "sets")
+    flows.write_rating_splits(events, path, ["ts", "item"])
+    schema = "user bigint, item bigint, ts timestamp, `set` string, side string"
+    return spark.read.schema(schema).parquet(path).select("set", "side", "user", "item")

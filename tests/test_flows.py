@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from larkspur.functions import PAGE_KIND
+from larkspur.functions import COVER_NAMES, PAGE_KIND
 from larkspur.operators import evaluate, gradient, relational, train, tune
 from larkspur.operators.splits import split_random
 from larkspur.plans import flows
@@ -33,6 +33,40 @@ def test_rating_splits(spark, tmp_path):
     assert sizes == {**{f"u{i}": (120, 30) for i in range(1, 6)}, "ua": (90, 60), "ub": (90, 60)}
 
 
+def test_written_rating_sets_are_the_splits(spark, tmp_path):
+    """Uneven users, one without a name and one with few rows; a capped test side."""
+    rows = [(u, i, float(i % 5), 1000 + (u or 0) * 7 + i * 13) for u in (1, 2, None) for i in range(30)] + [(4, 1, 1.0, 5)]
+    ratings = spark.createDataFrame(rows, flows.RATING_SCHEMA)
+    order = ["rated_at", "user", "item"]
+    paths = flows.write_rating_splits(ratings, str(tmp_path / "sets"), order, 25)
+    for name, base, test in flows.rating_splits(ratings, order, 25):
+        for side, expected in (("base", base), ("test", test)):
+            found = spark.read.parquet(paths[name][side])
+            assert found.columns == ratings.columns
+            assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+    parts = sorted((tmp_path / "sets" / "set=u1" / "side=base").glob("part-*"))
+    users = [r.user or 0 for p in parts for r in spark.read.parquet(str(p)).collect()]
+    assert users == sorted(users)
+    with pytest.raises(ValueError, match="side"):
+        flows.write_rating_splits(ratings.withColumn("side", ratings.user), str(tmp_path / "no"), order)
+
+
+def test_sentences_of_recommendations_and_covers(spark):
+    ranked = spark.createDataFrame(
+        [(7, 1, 3, "A Film", 4.256), (7, 2, 9, None, 4.0)], "user int, rank int, item int, title string, score double"
+    )
+    said = [tuple(r) for r in ranked.orderBy("rank").select(flows.items_sentence(), flows.users_sentence()).collect()]
+    assert said == [
+        ("user 7, choice 1: A Film, score 4.26", "item 3 (A Film), choice 1: user 7, score 4.26"),
+        ("user 7, choice 2: item 9, score 4.0", "item 9 (untitled), choice 2: user 7, score 4.0"),
+    ]
+    names = list(COVER_NAMES.values())
+    covers = spark.createDataFrame([(*range(6), 2.0, 2.0), (*range(6), 1.0, 2.0)], [*names, "label", "prediction"])
+    said = [r[0] for r in covers.select(flows.cover_sentence()).collect()]
+    assert said[0].startswith(f"{names[0]} 0, {names[1]} 1, ")
+    assert [s.split("predicted ")[1] for s in said] == ["kind 2, true kind 2: 正确", "kind 2, true kind 1: 错误"]
+
+
 @pytest.fixture(scope="module")
 def pages(spark, tmp_path_factory):
     """Evergreen pages have long texts; one category occurs in the unlabelled file only."""
