@@ -1,5 +1,6 @@
 """Each operator against a library, SQL or brute force, and on awkward rows."""
 
+import base64
 import hashlib
 import os
 import random
@@ -10,6 +11,7 @@ from collections import defaultdict
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -257,6 +259,92 @@ def test_fingerprints_against_sets(awkward):
     assert fingerprints.fingerprint_versions(awkward).count() == awkward.count()
 
 
+def peeled(one, other):
+    """Digests in which two fingerprints differ, from their text alone; None if stuck."""
+    sketch = []
+    for shown in (one, other):
+        raw = base64.b64decode(shown)
+        cells = [(int.from_bytes(raw[i : i + 2]), int.from_bytes(raw[i + 2 : i + 10]), int.from_bytes(raw[i + 10 : i + 14]))
+                 for i in range(0, len(raw), 14)]
+        sketch.append(cells)
+    third = min(len(s) for s in sketch) // 3
+    total = [[0, 0, 0] for _ in range(3 * third)]
+    for sign, cells in zip((1, -1), sketch):
+        wide = len(cells) // 3
+        for c, (n, k, x) in enumerate(cells):
+            cell = total[c // wide * third + c % wide % third]
+            cell[0] += sign * n
+            cell[1] ^= k
+            cell[2] ^= x
+
+    def chain(k, *more):
+        found = xxhash.xxh64_intdigest(k.to_bytes(8, "little"), seed=42)
+        for m in more:
+            found = xxhash.xxh64_intdigest(m.to_bytes(4, "little"), seed=found)
+        return found
+
+    def place(h):
+        return (h - (1 << 64) if h >> 63 else h) % third
+
+    found, going = 0, True
+    while going:
+        going = False
+        for n, k, x in total:
+            if abs(n) == 1 and x == chain(k, 99) & 0xFFFFFFFF:
+                for t in range(3):
+                    cell = total[t * third + place(chain(k, t, 0))]
+                    cell[0] -= n
+                    cell[1] ^= k
+                    cell[2] ^= x
+                found, going = found + 1, True
+                break
+    return None if any(map(any, total)) else found
+
+
+def test_fingerprints_peel_from_their_text(spark):
+    """Likeness follows from the two returned fingerprints, of whatever sizes."""
+    random.seed(8)
+    texts, lines = [], ["Line %d of the page has its own text." % i for i in range(40)]
+    for i in range(60):
+        lines[random.randrange(len(lines))] = "Line %d came later." % (1000 + i)
+        lines += ["Line %d was added at the end." % (2000 + i)] * (i % 2)
+        texts.append("\n".join(lines))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = sorted(fingerprints.fingerprint_versions(docs).collect())
+    paragraph = re.compile(fingerprints.PARAGRAPH)
+    sets = [set(paragraph.findall(t)) for t in texts]
+    sizes, settled = {len(r.fingerprint) for r in found}, 0
+    for i, (row, following) in enumerate(zip(found, found[1:] + found[:1])):
+        a, n = sets[i], sets[(i + 1) % 60]
+        assert row.near_next == pytest.approx(len(a & n) / len(a | n))
+        delta = peeled(row.fingerprint, following.fingerprint)
+        if delta is not None:
+            settled += 1
+            assert delta == len(a ^ n)
+        delta = peeled(row.fingerprint, row.edited_fingerprint)
+        cut = len(texts[i]) // 4
+        e = set(paragraph.findall(texts[i][: len(texts[i]) - cut] + texts[(i + 1) % 60][:cut]))
+        assert row.near_edited == pytest.approx(len(a & e) / len(a | e))
+        assert delta is None or delta == len(a ^ e)
+    assert settled >= 55 and len(sizes) > 1
+
+
+def test_fingerprints_of_ids_that_own_ranges(spark):
+    """A third of the ids null, a third the same one: the order holds across their ranges."""
+    ids = [None] * 40 + [7] * 40 + list(range(-20, 20))
+    rows = [(d, "".join("Text %d says this in line %d.\n" % (i, j) for j in range(6))) for i, d in enumerate(ids)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    hashed = {r.text: r.h for r in docs.select("text", F.xxhash64("text").alias("h")).collect()}
+    least = -(1 << 63)
+    order = sorted(rows, key=lambda r: (least if r[0] is None else r[0], hashed[r[1]]))
+    expected = sorted(
+        (least if d is None else d, hashlib.sha256((t[: len(t) - len(t) // 4] + n[: len(t) // 4]).encode()).hexdigest())
+        for (d, t), (_, n) in zip(order, order[1:] + order[:1])
+    )
+    found = fingerprints.fingerprint_versions(docs).collect()
+    assert sorted((least if r.doc_id is None else r.doc_id, r.edited_sha256) for r in found) == expected
+
+
 def test_line_rules(awkward, spark):
     found = {str(r.doc_id): r for r in line_rules.clean_lines(awkward).collect()}
     assert found["0"].n_words == 0 and found["0"].base_failed and not found["2"].kept
