@@ -6,11 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur.llm.scan import WORD
+from larkspur.operators.ordering import with_position
 from larkspur.session import materialize
 
 MAX_REPEATS = 3
 # Rows that one task orders at a time, on average.
 BUCKET_ROWS = 4_000
+# Buckets that one task adds up.
+GROUP = 4_096
 _HASH_RANGE = 1 << 32
 
 
@@ -19,25 +22,52 @@ def targets(sizes: DataFrame, most: int = MAX_REPEATS) -> DataFrame:
 
     Sources weigh 1, 2, 3, 1, ... in code point order, null last. All sizes together
     are shared by weight; a source stops at ``most`` times its size and the excess is
-    shared again. The level at which that ends has a closed form: with the sources in
-    order of ``most * size / weight``, it is the first level that the next source can
-    take whole. The window runs over one row a source, not over documents.
+    shared again among the others, until none stops any more. Each round of sharing is one
+    aggregate, and sources are numbered by position, so their number is not bounded.
     """
-    turn = F.row_number().over(Window.orderBy(F.asc_nulls_last("source")))
+    placed = with_position(sizes, [F.asc_nulls_last("source")], "_turn")
     cap = F.lit(float(most)) * F.col("source_size")
-    df = sizes.withColumn("weight", (turn - 1) % 3 + 1)
-    order = Window.orderBy((cap / F.col("weight")).asc(), F.asc_nulls_last("source"))
-    everything = Window.partitionBy()
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    onward = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    left = F.sum("source_size").over(everything) - most * F.coalesce(F.sum("source_size").over(before), F.lit(0))
-    df = df.withColumn("level", left.cast("double") / F.sum("weight").over(onward))
-    fits = F.when(cap >= F.col("level") * F.col("weight"), F.col("level"))
-    df = df.withColumn("level", F.first(fits, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    return df.select(
-        "source", "source_size",
-        F.least(cap, F.coalesce(F.col("level") * F.col("weight"), cap)).alias("target"),
-    )
+    df = placed.select("source", "source_size", (F.col("_turn") % 3 + 1).alias("weight"))
+    df = materialize(df, "sources")
+    level, stopped = 0.0, -1
+    while True:
+        stops = (cap < F.lit(level) * F.col("weight")) if stopped >= 0 else F.lit(False)
+        now = df.agg(
+            F.coalesce(F.sum("source_size"), F.lit(0)).alias("all"), F.count_if(stops).alias("stopped"),
+            F.coalesce(F.sum(F.when(stops, F.col("source_size"))), F.lit(0)).alias("full"),
+            F.coalesce(F.sum(F.when(~stops, F.col("weight"))), F.lit(0)).alias("weight"),
+        ).first()
+        if now["stopped"] == stopped or not now["weight"]:
+            break
+        level, stopped = (now["all"] - most * now["full"]) / now["weight"], now["stopped"]
+    share = F.lit(level) * F.col("weight") if now["weight"] else cap
+    return df.select("source", "source_size", F.least(cap, share).alias("target"))
+
+
+def _bases(sums: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, _bucket, _base): what the earlier buckets of the same keys add up to.
+
+    Buckets are added up in groups of ``GROUP`` first, so no task orders all of them.
+    """
+    sums = sums.withColumn("_group", F.floor(F.col("_bucket") / GROUP))
+    groups = sums.groupBy(*keys, "_group").agg(F.sum("_sum").alias("_whole"))
+    before = Window.partitionBy(*keys).orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+    groups = groups.withColumn("_start", F.coalesce(F.sum("_whole").over(before), F.lit(0))).drop("_whole")
+    inside = Window.partitionBy(*keys, "_group").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("_earlier", F.coalesce(F.sum("_sum").over(inside), F.lit(0)))
+    joined = _join_same(sums, groups, [*keys, "_group"])
+    return joined.select(*keys, "_bucket", (F.col("_start") + F.col("_earlier")).alias("_base"))
+
+
+def _join_same(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Join on equal keys, null among them."""
+    condition = F.lit(True)
+    for k in keys:
+        condition = condition & left[k].eqNullSafe(right[k])
+    joined = left.join(right, condition)
+    for k in keys:
+        joined = joined.drop(right[k])
+    return joined
 
 
 def _running(df: DataFrame, keys: list[str], bucket: Column, order: list[Column], value: str, name: str) -> DataFrame:
@@ -47,17 +77,9 @@ def _running(df: DataFrame, keys: list[str], bucket: Column, order: list[Column]
     """
     df = df.withColumn("_bucket", bucket)
     sums = df.groupBy(*keys, "_bucket").agg(F.sum(value).alias("_sum"))
-    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("_base", F.coalesce(F.sum("_sum").over(earlier), F.lit(0))).drop("_sum")
     here = Window.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = df.withColumn("_local", F.sum(value).over(here))
-    same = [local[k].eqNullSafe(sums[k]) for k in [*keys, "_bucket"]]
-    condition = same[0]
-    for s in same[1:]:
-        condition = condition & s
-    joined = local.join(sums, condition)
-    for k in [*keys, "_bucket"]:
-        joined = joined.drop(sums[k])
+    joined = _join_same(local, _bases(sums, keys), [*keys, "_bucket"])
     return joined.withColumn(name, F.col("_base") + F.col("_local")).drop("_bucket", "_base", "_local")
 
 

@@ -363,6 +363,33 @@ def test_mixing(awkward):
     assert taken.count() == sum(r.taken // r.size for r in found if r.size)
 
 
+def test_targets_of_many_sources(spark, monkeypatch):
+    """Shares, stops and reshared excess against a plain loop, in groups of buckets or not."""
+    random.seed(4)
+    sizes = {"s%03d" % i: random.choice([0, 1, 5, 40, 1000, 90000]) for i in range(200)} | {None: 77}
+    names = sorted((s for s in sizes if s), key=lambda s: s.encode()) + [None]
+    weight = {s: i % 3 + 1 for i, s in enumerate(names)}
+    goal, stopped = {}, set()
+    while True:
+        level = (sum(sizes.values()) - 3 * sum(sizes[s] for s in stopped)) / sum(weight[s] for s in names if s not in stopped)
+        more = {s for s in names if 3 * sizes[s] < level * weight[s]}
+        if more == stopped:
+            break
+        stopped = more
+    goal = {s: min(3 * sizes[s], level * weight[s]) for s in names}
+    assert 0 < len(stopped) < len(names)
+    df = spark.createDataFrame(list(sizes.items()), "source string, source_size bigint").repartition(5)
+    assert {r.source: r.target for r in mixing.targets(df).collect()} == pytest.approx(goal)
+
+    docs = spark.createDataFrame(
+        [(i, "s%d" % (i % 3 if i % 2 else 0), "word " * (i % 17)) for i in range(400)], "doc_id bigint, source string, text string"
+    )
+    whole = sorted(mixing.mix_sources(docs).collect())
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 5)
+    monkeypatch.setattr(mixing, "GROUP", 3)
+    assert sorted(mixing.mix_sources(docs).collect()) == whole
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100 + i, 100) for i in range(1, 60)] + [(7, 7), (None, 3)]
     found = components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()
