@@ -455,6 +455,17 @@ def test_classifiers(spark, awkward):
     assert toxicity.fit_toxicity(docs, none).weights == {}
 
 
+def test_toxicity_ranks_where_only_label_0_has_words_of_its_own(spark):
+    random.seed(4)
+    plain = ["river", "stone", "garden", "window", "morning", "paper", "silver", "number"]
+    rows = [(i, " ".join(random.choices(plain, k=30)) + (" vexoid" if i % 5 == 0 else ""), int(i % 5 != 0)) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, label int")
+    model = toxicity.fit_toxicity(docs.select("doc_id", "text"), docs.where("doc_id < 300").select("doc_id", "label"))
+    held = toxicity.score_toxicity(docs.select("doc_id", "text").where("doc_id >= 300"), model).join(docs, "doc_id")
+    low, high = held.agg(F.min(F.when(F.col("label") == 1, F.col("score"))), F.max(F.when(F.col("label") == 0, F.col("score")))).first()
+    assert low > high
+
+
 EMPTY = {
     "bpe": lambda d: bpe.round_trip(d, RANKS, public_tokenizers.PATTERN),
     "counts": lambda d: token_counts.count_tokens(d, public_tokenizers.path("byte_bpe_50k.json")),
