@@ -103,7 +103,7 @@ def rec_fit_als_implicit(spark: SparkSession, sf: str) -> DataFrame:
     f'WITH {_RATING_SQL} SELECT "user", rank, true AS falling, true AS is_product FROM {_RANKED_USERS}',
 )
 def rec_items_for_users(spark: SparkSession, sf: str) -> DataFrame:
-    model = recommend.fit_als(ratings(spark, sf), rank=5, reg=0.1)
+    model = recommend.fit_als(materialize(ratings(spark, sf), "ratings"), rank=5, reg=0.1)
     return _checked(recommend.recommend_items(model, _asked_users(spark, sf), 10), model, "user", "item")
 
 
@@ -112,7 +112,7 @@ def rec_items_for_users(spark: SparkSession, sf: str) -> DataFrame:
     f"WITH {_RATING_SQL} SELECT item, rank, true AS falling, true AS is_product FROM {_RANKED_ITEMS}",
 )
 def rec_users_for_items(spark: SparkSession, sf: str) -> DataFrame:
-    model = recommend.fit_als(ratings(spark, sf), rank=5, reg=0.1)
+    model = recommend.fit_als(materialize(ratings(spark, sf), "ratings"), rank=5, reg=0.1)
     return _checked(recommend.recommend_users(model, _asked_items(spark, sf), 10), model, "item", "user")
 
 
@@ -174,11 +174,12 @@ def rec_describe(spark: SparkSession, sf: str) -> DataFrame:
 )
 def rec_predict_pair(spark: SparkSession, sf: str) -> DataFrame:
     """A predicted rating is the product of the two factor vectors."""
-    rated = ratings(spark, sf)
+    rated = materialize(ratings(spark, sf), "ratings")
     model = recommend.fit_als(rated, rank=5, reg=0.1)
     users = model.userFactors.toDF("user", "u")
     items = model.itemFactors.toDF("item", "v")
-    both = evaluate.score(model, rated).join(users, "user").join(items, "item")
+    # Scored rows lie by item already, which the next join can use.
+    both = evaluate.score(model, rated).join(items, "item").join(users, "user")
     product = recommend.product("u", "v")
     near = F.abs(product - F.col("prediction")) < 1e-4 * (1 + F.abs(product))
     return both.select("user", "item", near.alias("is_product"))
@@ -189,7 +190,7 @@ def rec_predict_pair(spark: SparkSession, sf: str) -> DataFrame:
     f'WITH {_RATING_SQL} SELECT "user", rank, true AS titled FROM {_RANKED_USERS}',
 )
 def rec_with_titles(spark: SparkSession, sf: str) -> DataFrame:
-    model = recommend.fit_als(ratings(spark, sf), rank=5, reg=0.1)
+    model = recommend.fit_als(materialize(ratings(spark, sf), "ratings"), rank=5, reg=0.1)
     titles = table(spark, sf, "part").select("p_partkey", "p_name")
     named = recommend.recommend_named(
         model, _asked_users(spark, sf), titles, 10, "user", "p_partkey", "p_name"
@@ -203,7 +204,7 @@ def rec_with_titles(spark: SparkSession, sf: str) -> DataFrame:
 )
 def rec_users_with_titles(spark: SparkSession, sf: str) -> DataFrame:
     """The users for an item, with the item's title."""
-    model = recommend.fit_als(ratings(spark, sf), rank=5, reg=0.1)
+    model = recommend.fit_als(materialize(ratings(spark, sf), "ratings"), rank=5, reg=0.1)
     titles = table(spark, sf, "part").select("p_partkey", "p_name")
     named = recommend.recommend_named(
         model, _asked_items(spark, sf), titles, 10, "item", "p_partkey", "p_name"
@@ -217,7 +218,7 @@ def rec_users_with_titles(spark: SparkSession, sf: str) -> DataFrame:
 )
 def snk_model_save_load(spark: SparkSession, sf: str) -> DataFrame:
     """A stored model scores like the one it was made from."""
-    rated = ratings(spark, sf)
+    rated = materialize(ratings(spark, sf), "ratings")
     fitted = recommend.fit_als(rated, rank=5, reg=0.1)
     path = save_model(fitted, scratch_path(spark, "als"))
     loaded = load_or_fit(spark, path, ALSModel, lambda: recommend.fit_als(rated))

@@ -144,3 +144,21 @@ def test_implicit_and_reload(spark, ratings, tmp_path):
 def test_unknown_pairs_are_dropped(spark, model):
     pairs = spark.createDataFrame([(3, 7), (3, 4000)], "user int, item int")
     assert evaluate.score(model, pairs).count() == 1
+
+
+def test_blocks_stay_few(monkeypatch):
+    """What a half-step shuffles must not grow faster than the ratings."""
+    asked = []
+
+    class Ratings:
+        def __init__(self, n):
+            self.count = lambda: n
+
+    class Als:
+        def fit(self, ratings):
+            return None
+
+    monkeypatch.setattr(recommend, "als", lambda blocks, **options: (asked.append(blocks), Als())[1])
+    for n in (0, 3_600_000, 36_000_000, 216_000_000, 2_160_000_000):
+        recommend.fit_als(Ratings(n))
+    assert asked == [6, 6, 6, 6, 60]
