@@ -165,13 +165,16 @@ class HashForestClassifier(Estimator, _HashForestParams):
             maxBins=self.getOrDefault(self.maxBins), featuresCol=self.getFeaturesCol(),
             labelCol=self.getLabelCol(), weightCol="_weight", seed=0,
         )
-        columns = [self.getFeaturesCol(), self.getLabelCol(), self.weights().alias("_weights")]
-        with cached(dataset.select(*columns), partitions=self.partitions) as (rows,), ThreadPool(self.parallelism) as pool:
+        # Equal rows are one to a tree, with the sum of their weights.
+        columns, numbers = [self.getFeaturesCol(), self.getLabelCol()], range(self.getOrDefault(self.numTrees))
+        drawn = dataset.select(*columns, self.weights().alias("_weights"))
+        few = drawn.groupBy(*columns).agg(*[F.sum(F.col("_weights")[t]).alias(f"_weight{t}") for t in numbers])
+        with cached(few) as (few,), cached(few, partitions=self.partitions) as (rows,), ThreadPool(self.parallelism) as pool:
 
             def grow(tree: int) -> DecisionTreeClassificationModel:
-                return stage.fit(rows.withColumn("_weight", F.col("_weights")[tree]).where("_weight > 0"))
+                return stage.fit(rows.withColumn("_weight", F.col(f"_weight{tree}")).where("_weight > 0"))
 
-            trees = pool.map(grow, range(self.getOrDefault(self.numTrees)))
+            trees = pool.map(grow, numbers)
         return self._copyValues(HashForestModel(trees))
 
 
@@ -184,14 +187,44 @@ def poisson_edges(top: int = 1 << 32) -> list[int]:
     return edges
 
 
+def takes_counts(estimator: Estimator) -> bool:
+    """Whether a row with a weight of n counts for the fit like n equal rows.
+
+    True of trees, of boosted trees that look at all rows in each round, and of
+    multinomial naive Bayes, if they are given no weights already. Spark's forest draws rows.
+    """
+    if isinstance(estimator, GBTRegressor):
+        fits = estimator.getSubsamplingRate() == 1.0 and not estimator.isDefined(estimator.validationIndicatorCol)
+    elif isinstance(estimator, NaiveBayes):
+        fits = estimator.getModelType() == "multinomial"
+    else:
+        fits = isinstance(estimator, (DecisionTreeClassifier, DecisionTreeRegressor))
+    return fits and not estimator.isDefined(estimator.weightCol)
+
+
+def counted(df: DataFrame, *columns: str, name: str = "_weight") -> DataFrame:
+    """Equal rows once, with their number as a weight. They are added up before they are
+    shuffled; where no two rows are equal, all rows remain."""
+    return df.groupBy(*columns).agg(F.count("*").cast("double").alias(name))
+
+
+def with_weight(stage: Params, name: str = "_weight") -> Params:
+    return stage.copy({stage.getParam("weightCol"): name})
+
+
 def _fit(estimator: Estimator, df: DataFrame, partitions: int | None = None) -> Model:
     """Fit on the two columns needed, kept for the several passes these fits make.
 
     Naive Bayes makes a single pass and goes without. ``partitions`` lays the rows out,
-    which frames of a few files or row groups need to occupy many cores.
+    which frames of a few files or row groups need to occupy many cores. Trees read equal
+    rows once, weighted.
     """
-    with cached(df.select(estimator.getFeaturesCol(), estimator.getLabelCol()), partitions=partitions) as (rows,):
-        return estimator.fit(rows)
+    columns = [estimator.getFeaturesCol(), estimator.getLabelCol()]
+    if not takes_counts(estimator):
+        with cached(df.select(*columns), partitions=partitions) as (rows,):
+            return estimator.fit(rows)
+    with cached(counted(df, *columns)) as (few,), cached(few, partitions=partitions) as (rows,):
+        return with_weight(estimator).fit(rows)
 
 
 def fit_tree(df: DataFrame, partitions: int | None = None, **options) -> DecisionTreeClassificationModel:

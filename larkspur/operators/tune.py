@@ -7,14 +7,15 @@ metric per combination.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from itertools import product
 from multiprocessing.pool import ThreadPool
 from typing import Any
 
 from pyspark.ml import Estimator, Model
-from pyspark.ml.evaluation import Evaluator
+from pyspark.ml.evaluation import Evaluator, MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.param import Params
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
@@ -135,6 +136,11 @@ def _table(spark: SparkSession, grid: Sequence[dict], metrics: Sequence[float])
     return spark.createDataFrame(rows, ["trial", *names, "metric"])
 
 
+def _at_once(estimator: Estimator, evaluator: Evaluator) -> bool:
+    """Whether all models come from one fit and are measured in one pass."""
+    return isinstance(estimator, GradientDescentClassifier) and isinstance(evaluator, HardAucEvaluator)
+
+
 def _trials(
     estimator: Estimator, grid: Sequence[dict], rows: DataFrame, valid: DataFrame, evaluator: Evaluator, parallelism: int
 ) -> tuple[list[float], int, Model]:
@@ -153,7 +159,7 @@ def _trials(
             best = (index, model)
 
     fits = estimator.fitMultiple(rows, list(grid))
-    if isinstance(estimator, GradientDescentClassifier) and isinstance(evaluator, HardAucEvaluator):
+    if _at_once(estimator, evaluator):
         # All models are there at once and are measured in one pass.
         models = [model for _, model in sorted(fits, key=lambda pair: pair[0])]
         for index, metric in enumerate(hard_aucs(models, valid, evaluator.label)):
@@ -190,8 +196,13 @@ def tune_grid(
     """
     if not grid:
         raise ValueError("no combinations to try")
-    with cached(train, valid, partitions=partitions) as (train_rows, valid_rows):
-        metrics, index, model = _trials(estimator, grid, train_rows, valid_rows, evaluator, parallelism)
+    if _at_once(estimator, evaluator):
+        # Both sides are read once: the fit keeps its rows itself.
+        sides = [spread(rows, partitions) for rows in (train, valid)]
+        metrics, index, model = _trials(estimator, grid, *sides, evaluator, parallelism)
+    else:
+        with cached(train, valid, partitions=partitions) as sides:
+            metrics, index, model = _trials(estimator, grid, *sides, evaluator, parallelism)
     return Tuned(
         model=model,
         params={param.name: value for param, value in grid[index].items()},
@@ -239,6 +250,28 @@ def named_sweep(
     return tune_sweep(stage, stage, param, values, train, valid, evaluator, parallelism, partitions)
 
 
+#: Evaluators to which a row with a weight of n counts like n equal rows.
+_WEIGHTED = (MulticlassClassificationEvaluator, RegressionEvaluator)
+
+
+@contextmanager
+def _laid_out(
+    rows: DataFrame, estimator: Estimator, evaluator: Evaluator, side: str, partitions: int | None
+) -> Iterator[tuple[DataFrame, Estimator, Evaluator]]:
+    """The rows of a search, kept, and what to fit and measure them with.
+
+    Where fit and measure take weights, equal rows of a side are one row with their number
+    as its weight, so that the passes of all combinations read each different row once.
+    """
+    if train.takes_counts(estimator) and isinstance(evaluator, _WEIGHTED) and not evaluator.isDefined(evaluator.weightCol):
+        columns = dict.fromkeys([estimator.getFeaturesCol(), estimator.getLabelCol(), evaluator.getLabelCol(), side])
+        with cached(train.counted(rows, *columns)) as (few,), cached(few, partitions=partitions) as (kept,):
+            yield kept, train.with_weight(estimator), train.with_weight(evaluator)
+    else:
+        with cached(rows, partitions=partitions) as (kept,):
+            yield kept, estimator, evaluator
+
+
 class KeySplitSearch(Estimator):
     """Search with a single split, as an estimator to be fitted or put in a pipeline.
 
@@ -257,10 +290,11 @@ class KeySplitSearch(Estimator):
 
     def _fit(self, dataset: DataFrame) -> KeySplitSearchModel:
         sides = {"train": self.ratio, "valid": 1 - self.ratio}
-        with cached(split_random(dataset, self.key, sides, self.seed, "_side"), partitions=self.partitions) as (rows,):
+        labelled = split_random(dataset, self.key, sides, self.seed, "_side")
+        with _laid_out(labelled, self.estimator, self.evaluator, "_side", self.partitions) as (rows, estimator, evaluator):
             parts = [rows.where(F.col("_side") == side).drop("_side") for side in sides]
-            metrics, index, _ = _trials(self.estimator, self.grid, *parts, self.evaluator, self.parallelism)
-            best = self.estimator.fit(rows.drop("_side"), self.grid[index])
+            metrics, index, _ = _trials(estimator, self.grid, *parts, evaluator, self.parallelism)
+            best = estimator.fit(rows.drop("_side"), self.grid[index])
         return KeySplitSearchModel(best, metrics, index)
 
 
@@ -305,8 +339,14 @@ def tune_folds(
 
 
 def run_search(search: Estimator, rows: DataFrame, partitions: int | None = None) -> Model:
-    """Fit a search. Cross-validation keeps its folds itself; its rows are laid out only."""
-    return search.fit(spread(rows, partitions))
+    """Fit a search. Cross-validation keeps its folds itself; its rows are laid out only,
+    or, with a column of folds, read once for all equal rows of a fold where that fits."""
+    fold = search.getFoldCol() if isinstance(search, CrossValidator) else ""
+    estimator, evaluator = (search.getEstimator(), search.getEvaluator()) if fold else (None, None)
+    if not fold or not train.takes_counts(estimator) or not isinstance(evaluator, _WEIGHTED):
+        return search.fit(spread(rows, partitions))
+    with _laid_out(rows, estimator, evaluator, fold, partitions) as (kept, weighted, measure):
+        return search.copy().setEstimator(weighted).setEvaluator(measure).fit(kept)
 
 
 def validation_table(spark: SparkSession, searched: Model, grid: Sequence[dict]) -> DataFrame:
