@@ -1,5 +1,6 @@
 import math
 import warnings
+from contextlib import contextmanager
 
 import numpy as np
 import pytest
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from larkspur.functions import PAGE_KIND
 from larkspur.operators import evaluate, features, gradient, train, tune
 from larkspur.operators.splits import split_random
+from larkspur.sources import tables
 
 
 @pytest.fixture(scope="module")
@@ -435,3 +437,65 @@ def test_categorical_hours_need_enough_bins(spark):
     enough = train.tree_regressor(bins=24, label="cnt")
     model = features.build_pipeline([*stages, enough]).fit(df)
     assert evaluate.rmse(model.transform(df), label="cnt").first()["rmse"] < 5
+
+
+@pytest.fixture(scope="module")
+def repeated(spark):
+    """400 rows, 40 times each, with a key of their own."""
+    df = spark.range(16000).selectExpr("id", "double(id % 20) a", "double(id % 400 div 20) b", "double(id % 3) fold")
+    df = df.selectExpr("id", "int(fold) fold", "a", "b", "double(a + b > 19) label", "a * b + a AS y")
+    return features.assemble(df, ["a", "b"]).cache()
+
+
+@pytest.mark.parametrize("fit", [train.fit_tree, train.fit_tree_regressor, train.fit_gbt])
+def test_trees_read_equal_rows_once(repeated, monkeypatch, fit):
+    label = "label" if fit is train.fit_tree else "y"
+    read, spread = [], train.cached
+
+    @contextmanager
+    def watched(*frames, **options):
+        with spread(*frames, **options) as kept:
+            read.append(kept[0].count())
+            yield kept
+
+    options = {"iterations": 3} if fit is train.fit_gbt else {}
+    monkeypatch.setattr(train, "cached", watched)
+    model = fit(repeated, depth=4, bins=32, label=label, partitions=3, **options)
+    assert read == [400, 400]
+    build = {train.fit_tree: train.tree_classifier, train.fit_tree_regressor: train.tree_regressor, train.fit_gbt: train.gbt_regressor}[fit]
+    plain = build(depth=4, bins=32, label=label, **options).fit(repeated)
+    both = model.transform(repeated).withColumnRenamed("prediction", "mine").select("id", "mine").join(plain.transform(repeated), "id")
+    assert both.where(F.abs(F.col("mine") - F.col("prediction")) > 1e-9).isEmpty()
+
+
+def test_searches_read_equal_rows_once(repeated, monkeypatch):
+    counts, counted = [], train.counted
+    monkeypatch.setattr(train, "counted", lambda *a, **o: (found := counted(*a, **o), counts.append(found.count()))[0])
+    stage = train.naive_bayes()
+    grid = tune.param_grid(stage, {"smoothing": [1.0, 50.0]})
+    search = tune.tune_folds(stage, grid, evaluate.accuracy_evaluator(), folds=3, fold_col="fold")
+    assert tune.run_search(search, repeated, 2).avgMetrics == pytest.approx(search.fit(repeated).avgMetrics, abs=1e-12)
+    tree = train.tree_classifier()
+    grid = tune.param_grid(tree, {"maxDepth": [1, 3]})
+    tune.tune_split(tree, grid, evaluate.accuracy_evaluator(), "id").fit(repeated)
+    assert counts == [1200, 800]
+
+
+def test_parts_follow_the_rows(repeated, monkeypatch):
+    monkeypatch.setattr(tables, "PART_ROWS", 1000)
+    assert tables.spread(repeated, 4).rdd.getNumPartitions() == 16
+
+
+def test_parts_of_blocks_are_bounded(spark, monkeypatch):
+    rows = features.assemble(spark.range(50000).selectExpr("double(id % 7) a", "double(id % 7 > 3) label").coalesce(1), ["a"])
+    before = gradient.fit_gd(rows, iterations=2, tol=0.0).weights
+    sizes, descend = [], gradient.descend
+
+    def watched(blocks, courses):
+        sizes.extend(r["count"] for r in blocks.groupBy(F.spark_partition_id()).count().collect())
+        descend(blocks, courses)
+
+    monkeypatch.setattr(gradient, "PART_BLOCKS", 2)
+    monkeypatch.setattr(gradient, "descend", watched)
+    assert np.allclose(gradient.fit_gd(rows, iterations=2, tol=0.0).weights, before)
+    assert sum(sizes) == 5 and max(sizes) <= 2
