@@ -26,12 +26,15 @@ _RATING_SQL = """
 
 
 def ratings(spark: SparkSession, sf: str) -> DataFrame:
+    """(user, item, rating), the rows of a user side by side: what is written and what a fit
+    and scoring shuffle of them then holds each user's id once, compressed."""
     orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").cast("int").alias("user"))
     lines = table(spark, sf, "lineitem").select(
         "l_orderkey", F.col("l_partkey").cast("int").alias("item"), "l_quantity"
     )
     joined = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
-    return joined.groupBy("user", "item").agg((F.avg("l_quantity") / 10).alias("rating"))
+    rated = joined.repartition("user").groupBy("user", "item").agg((F.avg("l_quantity") / 10).alias("rating"))
+    return rated.sortWithinPartitions("user", "item")
 
 
 def _asked_users(spark: SparkSession, sf: str) -> DataFrame:
@@ -178,8 +181,8 @@ def rec_predict_pair(spark: SparkSession, sf: str) -> DataFrame:
     model = recommend.fit_als(rated, rank=5, reg=0.1)
     users = model.userFactors.toDF("user", "u")
     items = model.itemFactors.toDF("item", "v")
-    # Scored rows lie by item already, which the next join can use.
-    both = evaluate.score(model, rated).join(items, "item").join(users, "user")
+    # Scoring joins by user, then by item: both joins here find the rows where they lie.
+    both = evaluate.score(model, rated.join(users, "user")).join(items, "item")
     product = recommend.product("u", "v")
     near = F.abs(product - F.col("prediction")) < 1e-4 * (1 + F.abs(product))
     return both.select("user", "item", near.alias("is_product"))
@@ -222,7 +225,7 @@ def snk_model_save_load(spark: SparkSession, sf: str) -> DataFrame:
     fitted = recommend.fit_als(rated, rank=5, reg=0.1)
     path = save_model(fitted, scratch_path(spark, "als"))
     loaded = load_or_fit(spark, path, ALSModel, lambda: recommend.fit_als(rated))
-    once = evaluate.score(fitted, rated).withColumnRenamed("prediction", "before")
-    return evaluate.score(loaded, once).select(
-        "user", "item", (F.col("before") == F.col("prediction")).alias("same")
-    )
+    # Both scorings read the ratings dealt by user, and leave them by item, where they meet.
+    scored = evaluate.score(fitted, rated).unionByName(evaluate.score(loaded, rated))
+    same = (F.count("*") == 2) & (F.min("prediction") == F.max("prediction"))
+    return scored.groupBy("user", "item").agg(same.alias("same"))

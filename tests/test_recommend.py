@@ -4,6 +4,7 @@ from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import functions as F
 
 from larkspur.operators import evaluate, recommend
+from larkspur.plans import recommending
 from larkspur.sources import load_or_fit
 
 
@@ -162,3 +163,41 @@ def test_blocks_stay_few(monkeypatch):
     for n in (0, 3_600_000, 36_000_000, 216_000_000, 2_160_000_000):
         recommend.fit_als(Ratings(n))
     assert asked == [6, 6, 6, 6, 60]
+
+
+@pytest.fixture()
+def folder(spark, tmp_path):
+    """Orders and lines of 12 users and 30 items, some pairs more than once."""
+    orders = [(o, o % 12) for o in range(240)]
+    lines = [(o, (o * 7 + 3 * k) % 30, float(1 + (o + k) % 50)) for o in range(240) for k in range(4)]
+    spark.createDataFrame(orders, "o_orderkey bigint, o_custkey bigint").write.parquet(f"{tmp_path}/orders.parquet")
+    schema = "l_orderkey bigint, l_partkey bigint, l_quantity double"
+    spark.createDataFrame(lines, schema).write.parquet(f"{tmp_path}/lineitem.parquet")
+    return str(tmp_path)
+
+
+def test_rows_of_a_user_lie_together(spark, folder):
+    rated = recommending.ratings(spark, folder).withColumn("part", F.spark_partition_id())
+    rows = rated.select("part", "user", "item").collect()
+    assert len(rows) == rated.select("user", "item").distinct().count()
+    assert len({(r["part"], r["user"]) for r in rows}) == 12
+    assert rows == sorted(rows, key=lambda r: (r["part"], r["user"], r["item"]))
+
+
+@pytest.mark.parametrize("name", ["rec_predict_pair", "snk_model_save_load"])
+def test_pairs_travel_once_by_user_and_once_by_item(spark, folder, name):
+    """What is scored, or has met its item's factors, is not shuffled again."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = getattr(recommending, name)(spark, folder)
+        plan = found._jdf.queryExecution().executedPlan().toString().splitlines()
+        rows = found.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    sent = [below for line, below in zip(plan, plan[1:]) if "Exchange hashpartitioning(" in line]
+    assert sent and not [s for s in sent if "user#" in s and ("UDF(" in s or " v#" in s or "prediction#" in s)]
+    assert not [line for line in plan if "Exchange hashpartitioning(user" in line and ", item#" in line]
+    pairs = recommending.ratings(spark, folder).select("user", "item").collect()
+    assert sorted((r["user"], r["item"]) for r in rows) == sorted(map(tuple, pairs))
+    assert all(r[2] is True for r in rows)
