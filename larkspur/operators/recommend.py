@@ -17,8 +17,11 @@ from larkspur.session import materialize
 #: the number of blocks until that reaches the ratings of a user; what a task holds shrinks.
 LEAST_BLOCKS, BLOCK_RATINGS, MOST_BLOCKS = 6, 36_000_000, 1_000
 #: Owners and others that meet in one group of the search for best products, and the blocks
-#: of others that are looked at in its first round.
-OWNERS, OTHERS, FIRST_BLOCKS = 2_048, 1_024, 2
+#: of others that are looked at in its first round. An owner is sent once to each block that
+#: is open to it and a block once to each group, so what is shuffled falls as both grow.
+OWNERS, OTHERS, FIRST_BLOCKS = 8_192, 4_096, 2
+#: Owners of a group whose scores are held at a time.
+SCORED = 1_024
 #: No rounding of a product of so many factors moves it by more than this share.
 _SLACK = 1 + 1e-9
 
@@ -130,19 +133,22 @@ def _matches(n: int):
         u = np.stack(owners.column("features").to_numpy()).astype(np.float64)
         v = np.stack(others.column("features").to_numpy()).astype(np.float64)
         ids, names = others.column("other").to_numpy(), owners.column("owner").to_numpy()
-        scores = np.zeros((len(u), len(v)))
-        # Factor by factor: the same sum for equal vectors, wherever they lie.
-        for a, b in zip(u.T, v.T):
-            scores += a[:, None] * b
-        floor = owners.column("floor").to_numpy()
-        if len(v) > n:
-            floor = np.maximum(floor, np.partition(scores, len(v) - n, axis=1)[:, len(v) - n])
-        i, j = np.nonzero(scores >= floor[:, None])
-        if not i.size:
-            return schema.empty_table()
-        best = _first(i, scores[i, j], ids[j], n)
-        i, j = i[best], j[best]
-        return pa.Table.from_arrays([pa.array(names[i]), pa.array(ids[j]), pa.array(scores[i, j])], schema=schema)
+        floors, found = owners.column("floor").to_numpy(), []
+        for at in range(0, len(u), SCORED):
+            some, floor = u[at : at + SCORED], floors[at : at + SCORED]
+            scores = np.zeros((len(some), len(v)))
+            # Factor by factor: the same sum for equal vectors, wherever they lie.
+            for a, b in zip(some.T, v.T):
+                scores += a[:, None] * b
+            if len(v) > n:
+                floor = np.maximum(floor, np.partition(scores, len(v) - n, axis=1)[:, len(v) - n])
+            i, j = np.nonzero(scores >= floor[:, None])
+            if i.size:
+                best = _first(i, scores[i, j], ids[j], n)
+                i, j = i[best], j[best]
+                columns = [pa.array(names[at + i]), pa.array(ids[j]), pa.array(scores[i, j])]
+                found.append(pa.Table.from_arrays(columns, schema=schema))
+        return pa.concat_tables([schema.empty_table(), *found])
 
     return run
 

@@ -201,3 +201,11 @@ def test_pairs_travel_once_by_user_and_once_by_item(spark, folder, name):
     pairs = recommending.ratings(spark, folder).select("user", "item").collect()
     assert sorted((r["user"], r["item"]) for r in rows) == sorted(map(tuple, pairs))
     assert all(r[2] is True for r in rows)
+
+
+def test_scores_held_in_parts_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(recommend, "SCORED", 4)
+    draw = np.random.default_rng(5)
+    u, v = ([(i, draw.integers(-9, 10, 3).astype(float).tolist()) for i in range(k)] for k in (23, 60))
+    found = recommend.best_products(spark.createDataFrame(u, VECTORS), spark.createDataFrame(v, VECTORS), 5)
+    assert sorted(map(tuple, found.collect())) == brute(u, v, 5)
