@@ -486,6 +486,27 @@ def test_parts_follow_the_rows(repeated, monkeypatch):
     assert tables.spread(repeated, 4).rdd.getNumPartitions() == 16
 
 
+def test_parts_of_a_tree_of_many_classes_are_bounded(spark, monkeypatch):
+    """Rows that all differ are kept in parts of a bounded size, and give the tree of Spark's own fit."""
+    x = np.random.default_rng(6).uniform(size=(4000, 2))
+    rows = [(*map(float, v), float(int(v[0] * 7))) for v in x]
+    df = features.assemble(spark.createDataFrame(rows, "a double, b double, label double").coalesce(1), ["a", "b"])
+    sizes, keep = [], train.cached
+
+    @contextmanager
+    def watched(*frames, **options):
+        with keep(*frames, **options) as kept:
+            sizes.append([r["count"] for r in kept[0].groupBy(F.spark_partition_id()).count().collect()])
+            yield kept
+
+    monkeypatch.setattr(tables, "PART_ROWS", 500)
+    monkeypatch.setattr(train, "cached", watched)
+    options = dict(impurity="entropy", depth=5, bins=64)
+    model, plain = train.fit_tree(df, partitions=2, **options), train.tree_classifier(**options).fit(df)
+    assert sum(sizes[-1]) == 4000 and max(sizes[-1]) <= 2 * 500
+    assert model.transform(df).where("prediction != label").count() <= plain.transform(df).where("prediction != label").count() + 40
+
+
 def test_parts_of_blocks_are_bounded(spark, monkeypatch):
     rows = features.assemble(spark.range(50000).selectExpr("double(id % 7) a", "double(id % 7 > 3) label").coalesce(1), ["a"])
     before = gradient.fit_gd(rows, iterations=2, tol=0.0).weights
