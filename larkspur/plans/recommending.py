@@ -181,7 +181,8 @@ def rec_predict_pair(spark: SparkSession, sf: str) -> DataFrame:
     model = recommend.fit_als(rated, rank=5, reg=0.1)
     users = model.userFactors.toDF("user", "u")
     items = model.itemFactors.toDF("item", "v")
-    # Scoring joins by user, then by item: both joins here find the rows where they lie.
+    # Scoring joins by user, then by item, and checks ids, so it deals the rows by user again;
+    # sorted by user they are small. Scored rows lie by item, where the last join finds them.
     both = evaluate.score(model, rated.join(users, "user")).join(items, "item")
     product = recommend.product("u", "v")
     near = F.abs(product - F.col("prediction")) < 1e-4 * (1 + F.abs(product))
