@@ -8,6 +8,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from larkspur.operators.als import PackedALS
 from larkspur.operators.ordering import with_position
 from larkspur.operators.relational import lookup
 from larkspur.session import materialize
@@ -40,7 +41,7 @@ def als(
     items. The random start depends on it, so it is never taken from the cluster;
     :func:`fit_als` takes it from the number of ratings.
     """
-    return ALS(
+    return PackedALS(
         rank=rank, maxIter=iterations, regParam=reg, implicitPrefs=implicit, seed=seed,
         numUserBlocks=blocks, numItemBlocks=blocks,
         userCol="user", itemCol="item", ratingCol="rating", coldStartStrategy="drop",

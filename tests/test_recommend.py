@@ -1,9 +1,12 @@
+import pickle
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import functions as F
 
-from larkspur.operators import evaluate, recommend
+from larkspur.operators import als, evaluate, recommend
 from larkspur.plans import recommending
 from larkspur.sources import load_or_fit
 
@@ -209,3 +212,85 @@ def test_scores_held_in_parts_equal_brute_force(spark, monkeypatch):
     u, v = ([(i, draw.integers(-9, 10, 3).astype(float).tolist()) for i in range(k)] for k in (23, 60))
     found = recommend.best_products(spark.createDataFrame(u, VECTORS), spark.createDataFrame(v, VECTORS), 5)
     assert sorted(map(tuple, found.collect())) == brute(u, v, 5)
+
+
+def pieces_of(ids, others, ratings):
+    """Pieces of ratings of one block, in batches of seven rows, with two blocks of others."""
+    order = np.lexsort((others, ids))
+    names = ("block", "own", "other", "rating")
+    columns = [np.zeros(ids.size, np.int32), ids[order], others[order], ratings[order]]
+    rows = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+    batches = als._pack(2)(rows.slice(at, 7) for at in range(0, ids.size, 7))
+    return [data for batch in batches for data in batch.column("data").to_pylist()]
+
+
+@pytest.mark.parametrize("alpha", [None, 2.0])
+def test_a_half_step_holds_one_piece(monkeypatch, alpha):
+    monkeypatch.setattr(als, "PIECE", 20)
+    draw = np.random.default_rng(6)
+    # Id 3 has more ratings than a piece holds, and some pairs come twice.
+    ids = np.append(draw.integers(0, 30, 300), np.full(70, 3)).astype(np.int32)
+    others = draw.integers(-40, 40, ids.size).astype(np.int32)
+    ratings = draw.uniform(-1, 5, ids.size).astype(np.float32)
+    packed = pieces_of(ids, others, ratings)
+    assert max(len(pickle.loads(p)[4]) for p in packed) <= 27 and len(packed) > 15
+    named = np.unique(others)
+    v = draw.normal(size=(named.size, 3)).astype(np.float32)
+    gram = v.T.astype(float) @ v
+    drawn = []
+
+    def rows():
+        for half in (slice(None, None, 2), slice(1, None, 2)):
+            yield 0, (named[half], v[half])
+        if alpha:
+            yield 0, gram
+        for p in packed:
+            drawn.append(p)
+            yield 0, p
+
+    found, ahead = {}, []
+    for own, vectors, who, ends in als._half_step(3, 0.1, alpha)(rows()):
+        ahead.append(len(drawn))
+        found |= {i: (x, set(np.flatnonzero([k in who[a:b] for a, b in zip(ends, ends[1:])]))) for k, (i, x) in enumerate(zip(own, vectors))}
+    assert ahead[0] < 3 and ahead == sorted(ahead)
+    assert sorted(found) == np.unique(ids).tolist()
+    for i, (x, needs) in found.items():
+        u, r = v[np.searchsorted(named, others[ids == i])].astype(float), ratings[ids == i].astype(float)
+        weight, right, n = np.ones(r.size), r, r.size
+        if alpha:
+            weight, right, n = alpha * abs(r), np.where(r > 0, 1 + alpha * abs(r), 0), (r > 0).sum()
+        a = (u.T * weight) @ u + 0.1 * n * np.eye(3) + (gram if alpha else 0)
+        assert np.allclose(x, np.linalg.solve(a, u.T @ right), rtol=1e-4, atol=1e-5)
+        assert needs == set(als._block(others[ids == i], 2))
+
+
+@pytest.mark.parametrize("implicit", [False, True])
+def test_factors_do_not_depend_on_the_pieces(spark, ratings, monkeypatch, implicit):
+    fits = []
+    for piece in (als.PIECE, 5):
+        monkeypatch.setattr(als, "PIECE", piece)
+        fits.append(recommend.fit_als(ratings, rank=3, iterations=4, reg=0.1, implicit=implicit))
+    (users, items), (users2, items2) = map(factors, fits)
+    assert len(users) == 30 and len(items) == 40 and users.keys() == users2.keys() and items.keys() == items2.keys()
+    assert all(np.allclose(users[k], users2[k], atol=1e-5) for k in users)
+    assert all(np.allclose(items[k], items2[k], atol=1e-5) for k in items)
+
+
+def test_blocks_in_sql_and_in_tasks_agree(spark):
+    ids = [-(2**31), -7, -1, 0, 1, 14999, 20000, 2**31 - 1]
+    rows = spark.createDataFrame([(i,) for i in ids], "id int").select("id", als._block_column("id", 7).alias("block"))
+    assert {r["id"]: r["block"] for r in rows.collect()} == dict(zip(ids, als._block(np.array(ids, np.int32), 7).tolist()))
+
+
+@pytest.mark.parametrize(
+    "row, what", [((None, 1, 1.0), "integers"), ((1.5, 1, 1.0), "integers"), ((1.0, 1, None), "null or NaN"), ((1.0, 1, float("nan")), "null or NaN")]
+)
+def test_rows_that_cannot_be_fitted_fail(spark, row, what):
+    rows = spark.createDataFrame([row, (2.0, 2, 1.0)], "user double, item int, rating double")
+    with pytest.raises(Exception, match=what):
+        recommend.fit_als(rows, rank=2, iterations=1)
+
+
+def test_no_ratings_is_an_error(spark):
+    with pytest.raises(ValueError, match="no ratings"):
+        recommend.fit_als(spark.createDataFrame([], "user int, item int, rating double"), rank=2, iterations=1)
