@@ -5,7 +5,7 @@ for each vector of the other side that the block needs, which at hundreds of mil
 ratings is more than an executor has. This estimator takes the same parameters, solves the
 same equations and gives the same kind of model, but packs the ratings of a block into pieces
 once and takes them one by one. The other side's vectors go to a file of the task, which it
-maps, so a task holds one piece, the ids of those vectors and their places in the file.
+maps, so a task holds one piece and the ids of those vectors.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.session import discard, materialize, scratch_path
+from larkspur.session import collect_garbage, discard, materialize, scratch_path
 
 #: Ratings in a piece, and cells of normal equations solved at a time.
 PIECE, CELLS = 131_072, 2_097_152
@@ -123,7 +123,7 @@ def _start(ids: np.ndarray, rank: int, seed: int) -> np.ndarray:
 
 
 class _Vectors:
-    """The vectors that a block needs, in a file."""
+    """The vectors that a block needs, in a file, by ascending id."""
 
     def __init__(self, rank: int):
         self.rank, self.ids, self.file, self.all = rank, [], tempfile.TemporaryFile(), None
@@ -134,23 +134,31 @@ class _Vectors:
         self.ids.append(ids)
         self.file.write(vectors.tobytes())
 
+    def _mapped(self, n: int) -> np.ndarray:
+        self.file.flush()
+        return np.asarray(np.memmap(self.file, np.float32, "r", shape=(n, self.rank)))
+
+    def _sort(self) -> None:
+        ids = np.concatenate(self.ids)
+        order, loose = np.argsort(ids), self._mapped(ids.size)
+        self.ids, self.file = ids[order], tempfile.TemporaryFile()
+        for low in range(0, ids.size, PIECE):
+            self.file.write(loose.take(order[low : low + PIECE], axis=0).tobytes())
+        self.all = self._mapped(ids.size)
+
     def of(self, ids: np.ndarray) -> np.ndarray:
         if self.all is None:
-            self.file.flush()
-            came = np.concatenate(self.ids)
-            self.all = np.memmap(self.file, np.float32, "r", shape=(came.size, self.rank))
-            self.places = np.argsort(came).astype(np.int32)
-            self.ids = came[self.places]
+            self._sort()
         at = np.minimum(np.searchsorted(self.ids, ids), self.ids.size - 1)
-        if (self.ids[at] != ids).any():
+        if (self.ids.take(at) != ids).any():
             raise RuntimeError("a block lacks vectors that its ratings name")
-        return self.all[self.places[at]]
+        return self.all.take(at, axis=0)
 
 
 def _sums(v, at, ratings, counts, alpha):
     """Upper cells of the Gram matrix, right side and weight of the ridge for each id."""
     rank, starts = v.shape[1], np.cumsum(counts) - counts
-    x = np.ascontiguousarray(v.T, np.float64)[:, at]
+    x = np.ascontiguousarray(v.take(at, axis=0).T, np.float64)
     r = ratings.astype(np.float64)
     if alpha is None:
         pulled, right, n = x, r, counts.astype(np.float64)
@@ -257,6 +265,7 @@ class PackedALS(ALS):
         user, item, rating = self.getUserCol(), self.getItemCol(), F.col(self.getRatingCol()).cast("float")
         rating = F.when(rating.isNull() | F.isnan(rating), F.raise_error(F.lit("ratings must not be null or NaN"))).otherwise(rating)
         rows = dataset.select(_id(dataset, user).alias("user"), _id(dataset, item).alias("item"), rating.alias("rating"))
+        collect_garbage(spark)
         users = self._pieces(rows, "user", self.getNumUserBlocks(), "item", self.getNumItemBlocks())
         items = self._pieces(rows, "item", self.getNumItemBlocks(), "user", self.getNumUserBlocks())
         vectors = users.mapPartitions(_first_step(rank, self.getSeed()))
@@ -274,7 +283,7 @@ class PackedALS(ALS):
                 if old:
                     discard(spark, old)
                 del met
-                spark.sparkContext._jvm.System.gc()
+                collect_garbage(spark)
         if not kept:
             starts = {"user": vectors, "item": items.mapPartitions(_first_step(rank, self.getSeed()))}
             kept = {side: self._kept(spark, start) for side, start in starts.items()}
